@@ -2,12 +2,20 @@
 
 Each dimension is the DISTINCT set of its normalised attributes (trimmed,
 blank -> NULL; a NULL member is kept) with a dense surrogate key in the
-sort order of the attributes.  DISTINCT is a hash aggregate with map-side
-combine, so the shuffle carries at most one row per member per map task.
+sort order of the attributes.  The date dimension keeps non-NULL dates and
+adds Year, Month and MonthName.
+
+``build_dimensions`` makes all five in one pass: one scan of the clean rows,
+GROUPING SETS over the five attribute lists (hash aggregate with map-side
+combine, so the shuffle carries at most one row per member per map task),
+one range-partitioned key assignment for all members, written partitioned
+by dimension so each dimension is its own folder with its own size
+statistics (which the fact load's broadcast decisions rely on).
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -15,6 +23,7 @@ from pyspark.sql import functions as F
 
 from spendstar.functions.text import norm_text
 from spendstar.operators.keys import dense_keys
+from spendstar.session import scratch_path
 
 # --- fixed values: dimension layout (key, {output column: clean column}) ----
 DIMENSIONS = {
@@ -35,27 +44,59 @@ def dimension_members(clean: DataFrame, columns: Mapping[str, str]) -> DataFrame
 
 def build_dimension(clean: DataFrame, columns: Mapping[str, str], key: str,
                     name: str = "dim") -> DataFrame:
-    """[key, *columns] with key = 1..n in attribute order, NULLs first."""
+    """One dimension: [key, *columns], key = 1..n in attribute order, NULLs first."""
     members = dimension_members(clean, columns)
     return dense_keys(members, list(columns), key, name=name)
 
 
+def _date_columns(key: str) -> list:
+    return [key, "FullDate",
+            F.year("FullDate").alias("Year"),
+            F.month("FullDate").alias("Month"),
+            F.date_format("FullDate", "MMMM").alias("MonthName")]
+
+
 def build_date_dimension(clean: DataFrame, column: str = "DateOfPayment",
                          key: str = "DateID") -> DataFrame:
-    """[DateID, FullDate, Year, Month, MonthName] for every non-NULL date."""
+    """One date dimension: [DateID, FullDate, Year, Month, MonthName], non-NULL dates."""
     dates = (clean.where(F.col(column).isNotNull())
                   .select(F.col(column).alias("FullDate")).distinct())
-    keyed = dense_keys(dates, ["FullDate"], key, name="DimDate")
-    return keyed.select(
-        key, "FullDate",
-        F.year("FullDate").alias("Year"),
-        F.month("FullDate").alias("Month"),
-        F.date_format("FullDate", "MMMM").alias("MonthName"))
-
-
-def build_dimensions(clean: DataFrame) -> dict[str, DataFrame]:
-    """All five dimensions, keyed by table name."""
-    dims = {name: build_dimension(clean, cols, key, name=name)
-            for name, (key, cols) in DIMENSIONS.items()}
-    dims[DATE_DIMENSION[0]] = build_date_dimension(clean, key=DATE_DIMENSION[1])
+    return dense_keys(dates, ["FullDate"], key, name="DimDate").select(*_date_columns(key))
+
+
+def build_dimensions(clean: DataFrame, path: str | None = None) -> dict[str, DataFrame]:
+    """All five dimensions from one scan of ``clean``, keyed by table name."""
+    attrs: dict[str, str] = {}
+    sets: dict[str, list[str]] = {}
+    for name, (_key, cols) in DIMENSIONS.items():
+        sets[name] = list(cols)
+        attrs.update(cols)
+    date_name, date_key = DATE_DIMENSION
+    attrs["FullDate"] = "DateOfPayment"
+    sets[date_name] = ["FullDate"]
+    names = list(attrs)
+    projected = clean.select(*[
+        (F.col(src) if out == "FullDate" else norm_text(src)).alias(out)
+        for out, src in attrs.items()])
+    members = projected.groupingSets([sets[n] for n in sets], *names).agg(
+        F.grouping_id().alias("_gid"))
+    # grouping_id(): bit i (from the left) is 1 when names[i] is not grouped.
+    gid = {n: sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in cols)
+           for n, cols in sets.items()}
+    dim_of = F.lit(None).cast("string")
+    for n, g in gid.items():
+        dim_of = F.when(F.col("_gid") == g, F.lit(n)).otherwise(dim_of)
+    members = (members.select(dim_of.alias("dim"), *names)
+                      .where((F.col("dim") != date_name) | F.col("FullDate").isNotNull()))
+    base = path or scratch_path(clean.sparkSession, "dimensions")
+    dense_keys(members, names, "_key", by="dim", name="dimensions",
+               partition_by=["dim"], path=base)
+    spark = clean.sparkSession
+    dims = {}
+    for name, (key, cols) in DIMENSIONS.items():
+        part = spark.read.parquet(os.path.join(base, f"dim={name}"))
+        dims[name] = part.select(F.col("_key").alias(key), *cols)
+    part = spark.read.parquet(os.path.join(base, f"dim={date_name}"))
+    dims[date_name] = part.select(F.col("_key").alias(date_key), "FullDate").select(
+        *_date_columns(date_key))
     return dims

@@ -1,12 +1,13 @@
 """Surrogate keys.
 
 ``dense_keys`` gives 1..n in the sort order of the natural columns (NULLs
-first), computed in parallel: range-partition and sort the rows, write them
-with their partition index and position (fixing the sampled range bounds
-so a retry cannot shift them), count rows per partition, and add each
-partition's running offset.  Only one small row per partition is combined
-on a single task (the offsets), and that table is broadcast; its size is
-bounded by the partition count.
+first), optionally restarting per group, computed in parallel:
+range-partition and sort the rows, write them with their partition index
+and position (fixing the sampled range bounds, so a retried task cannot
+shift them), count rows per partition and group, and add each partition's
+running offset.  Only the per-partition counts (one small row per partition
+and group) are combined on a single task, and that table is broadcast; its
+size is bounded by partitions x groups, not by the data.
 
 ``row_ids`` gives unique, increasing (not dense) ids with no shuffle at
 all, for tables too large to sort just for numbering (the fact).
@@ -28,29 +29,34 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def dense_keys(df: DataFrame, order: Sequence[str], key: str,
-               partitions: int | None = None, name: str = "keys") -> DataFrame:
+def dense_keys(df: DataFrame, order: Sequence[str], key: str, by: str | None = None,
+               partitions: int | None = None, name: str = "keys",
+               partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
     """Add ``key`` = 1..n (int) in ascending order of ``order`` (NULLs first).
 
-    Rows must be distinct on ``order`` for the keys to be a total order.
-    The result is materialised (written to the shared scratch folder).
+    With ``by`` the numbering restarts at 1 for each value of that column.
+    Rows must be distinct on (``by``, ``order``) for the keys to be a total
+    order.  The result is materialised at ``path`` or in the shared scratch
+    folder (``partition_by`` lays it out in sub-folders).
     """
-    sort = [F.col(c).asc_nulls_first() for c in order]
+    groups = [by] if by else []
+    sort = [F.col(c).asc_nulls_first() for c in groups + list(order)]
     ranged = (df.repartitionByRange(_partitions(df, partitions), *sort)
                 .sortWithinPartitions(*sort)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
     staged = materialize(ranged, f"{name}-ranged")
-    counts = staged.groupBy("_pid").agg(
+    counts = staged.groupBy("_pid", *groups).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    # One row per partition: a global window here is bounded by the partition count.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition and group: this window is bounded by that count.
+    before = (Window.partitionBy(*groups) if groups else Window).orderBy("_pid") \
+        .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    keyed = staged.join(F.broadcast(offsets), "_pid").select(
+        "_pid", *groups, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    keyed = staged.join(F.broadcast(offsets), ["_pid", *groups]).select(
         (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("int").alias(key),
-        *[c for c in df.columns])
-    return materialize(keyed, name)
+        *df.columns)
+    return materialize(keyed, name, path=path, partition_by=partition_by)
 
 
 def row_ids(df: DataFrame, key: str) -> DataFrame:

@@ -108,8 +108,7 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
     counters: dict[str, int] = {}
     for o in obs.values():
         counters.update({k: int(v) for k, v in o.get.items()})
-    dims = {name: (materialize(df, name, target(name)) if path else df)
-            for name, df in build_dimensions(clean).items()}
+    dims = build_dimensions(clean, path=target("dimensions"))
     # Sorting each fact file by DateID keeps Parquet row-group min/max tight,
     # so date-window reports prune row groups; no shuffle is added.
     fact = materialize(build_fact(clean, dims).sortWithinPartitions("DateID"),

@@ -51,21 +51,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem joined to its order, part, supplier, nation and region."""
+    """lineitem joined to its order, part, supplier, nation and region.
+
+    Each lookup table is joined on its own, so the planner sizes it from its
+    own file statistics (broadcast when small, shuffle join when large).  A
+    lineitem input split into fewer partitions than the cluster has cores
+    (one row group, say) is spread round-robin first; a normally split
+    input is left alone.
+    """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
+    cores = spark.sparkContext.defaultParallelism
+    if li.rdd.getNumPartitions() < cores:
+        li = li.repartition(cores)
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    suppliers = (supplier
-                 .join(nation, supplier.s_nationkey == nation.n_nationkey)
-                 .join(region, nation.n_regionkey == region.r_regionkey))
     return (li
+            .join(supplier, li.l_suppkey == supplier.s_suppkey)
+            .join(nation, supplier.s_nationkey == nation.n_nationkey)
+            .join(region, nation.n_regionkey == region.r_regionkey)
             .join(part, li.l_partkey == part.p_partkey)
-            .join(suppliers, li.l_suppkey == suppliers.s_suppkey)
             .join(orders, li.l_orderkey == orders.o_orderkey))
 
 

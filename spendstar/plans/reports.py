@@ -149,7 +149,11 @@ def supplier_time_hierarchy(wh: Warehouse) -> DataFrame:
     per_id = (wh.fact.join(dates, "DateID")
                 .groupBy("SupplierID", "Year", "Quarter", "Month")
                 .agg(F.sum("Amount").alias("_m")))
+    # The per-ID monthly rows are small; hash them once by (SupplierName,
+    # Year): that partitioning serves both the regrouping by name and the
+    # year-to-date window, so neither adds an exchange of its own.
     base = (per_id.join(wh.dim_supplier.select("SupplierID", "SupplierName"), "SupplierID")
+                  .repartition("SupplierName", "Year")
                   .groupBy("SupplierName", "Year", "Quarter", "Month")
                   .agg(_total("_m").alias("MonthlyTotal")))
     # Whole-quarter totals as an aggregate joined back: the result has one

@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,12 +92,25 @@ def build_dimensions(clean: DataFrame, path: str | None = None) -> dict[str, Dat
     base = path or scratch_path(clean.sparkSession, "dimensions")
     dense_keys(members, names, "_key", by="dim", name="dimensions",
                partition_by=["dim"], path=base)
-    spark = clean.sparkSession
+    return read_dimensions(clean.sparkSession, base)
+
+
+def _dimension_folder(spark, base: str, name: str) -> DataFrame:
+    try:
+        return spark.read.parquet(os.path.join(base, f"dim={name}"))
+    except AnalysisException:
+        # a dimension with no members has no folder: an empty frame, same columns
+        return spark.read.parquet(base).where(F.col("dim") == name).drop("dim")
+
+
+def read_dimensions(spark, base: str) -> dict[str, DataFrame]:
+    """The five dimensions from their folders under ``base`` (one per table)."""
+    date_name, date_key = DATE_DIMENSION
     dims = {}
     for name, (key, cols) in DIMENSIONS.items():
-        part = spark.read.parquet(os.path.join(base, f"dim={name}"))
+        part = _dimension_folder(spark, base, name)
         dims[name] = part.select(F.col("_key").alias(key), *cols)
-    part = spark.read.parquet(os.path.join(base, f"dim={date_name}"))
+    part = _dimension_folder(spark, base, date_name)
     dims[date_name] = part.select(F.col("_key").alias(date_key), "FullDate").select(
         *_date_columns(date_key))
     return dims

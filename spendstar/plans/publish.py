@@ -1,4 +1,4 @@
-"""Publish a loaded warehouse: Parquet tables plus a row-count manifest."""
+"""Publish a loaded warehouse: Parquet folders, catalog tables, report views."""
 
 from __future__ import annotations
 
@@ -7,23 +7,70 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendstar.plans import reports
 from spendstar.plans.warehouse import Warehouse
 
+# --- fixed values: report view names, in report order ------------------------
+VIEW_NAMES = {
+    "vw_Top3Suppliers": reports.top_suppliers,
+    "vw_Top3Suppliers_Monthly": reports.top_suppliers_monthly,
+    "vw_ExpenseTypeAboveAvg2Month": reports.expense_types_above_avg,
+    "vw_MonthlyExpenseAreaRanking": reports.area_rank_movement,
+    "vw_SupplierTimeHierarchyAnalysis": reports.supplier_time_hierarchy,
+}
+
+
+def _publish_order(wh: Warehouse) -> list[str]:
+    # dimensions before the fact, as foreign keys require
+    tables = wh.tables()
+    return [n for n in tables if n != "FactInvoice"] + ["FactInvoice"]
+
 
 def publish(wh: Warehouse, path: str, mode: str = "overwrite") -> DataFrame:
     """Write dimensions first, then the fact, under ``path/<TableName>``.
 
-    Returns ``[table, rows]`` read back from what was written (a cheap
-    count over Parquet metadata per table).
+    Returns ``[table, rows]`` read back from what was written (a count over
+    Parquet metadata per table).
     """
     tables = wh.tables()
-    order = [n for n in tables if n != "FactInvoice"] + ["FactInvoice"]
     spark = wh.fact.sparkSession
     manifest = None
-    for name in order:
+    for name in _publish_order(wh):
         target = os.path.join(path, name)
         tables[name].write.mode(mode).parquet(target)
         rows = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("table"), "rows")
         manifest = rows if manifest is None else manifest.unionByName(rows)
     return manifest
+
+
+def save_tables(wh: Warehouse, database: str, mode: str = "overwrite") -> list[str]:
+    """Save every table in the session catalog as ``database.TableName``.
+
+    The database is created if missing and never dropped.  Returns the
+    qualified names, dimensions first.
+    """
+    spark = wh.fact.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    tables = wh.tables()
+    names = []
+    for name in _publish_order(wh):
+        qualified = f"`{database}`.`{name}`"
+        tables[name].write.mode(mode).format("parquet").saveAsTable(qualified)
+        names.append(f"{database}.{name}")
+    return names
+
+
+def register_views(wh: Warehouse, prefix: str = "") -> list[str]:
+    """Register the star schema and the five report views as temp views.
+
+    Report views have the report columns and no ORDER BY (the caller
+    orders).  The date-window report fixes its window from the warehouse at
+    registration time, as a view over a loaded warehouse would.
+    """
+    wh.register(prefix)
+    names = []
+    for view, fn in VIEW_NAMES.items():
+        fn(wh).createOrReplaceTempView(prefix + view)
+        names.append(prefix + view)
+    return names

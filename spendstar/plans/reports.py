@@ -27,6 +27,11 @@ def _total(c) -> F.Column:
     return F.sum(c).cast(TOTAL_TYPE)
 
 
+def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    """The procedures' final ORDER BY, applied only on request (views are unordered)."""
+    return df.orderBy(*keys) if ordered else df
+
+
 def _top_supplier_ids(wh: Warehouse, k: int) -> DataFrame:
     """The k SupplierIDs with the largest total (ties broken by lower id)."""
     totals = wh.fact.groupBy("SupplierID").agg(_total("Amount").alias("TotalSpent"))
@@ -45,10 +50,11 @@ def top_suppliers(wh: Warehouse, k: int = 3) -> DataFrame:
                  .select("SupplierName", "TotalSpent"))
 
 
-def top_suppliers_monthly(wh: Warehouse, k: int = 3) -> DataFrame:
+def top_suppliers_monthly(wh: Warehouse, k: int = 3, ordered: bool = False) -> DataFrame:
     """Q2: [Year, Month, SupplierName, MonthlyTotal] for the top-k SupplierIDs.
 
-    Months are regrouped by name, as the reference does.
+    Months are regrouped by name, as the reference does.  ``ordered`` sorts
+    by Year, Month, MonthlyTotal descending.
     """
     top = _top_supplier_ids(wh, k).select("SupplierID")
     facts = wh.fact.join(F.broadcast(top), "SupplierID", "left_semi")
@@ -56,9 +62,11 @@ def top_suppliers_monthly(wh: Warehouse, k: int = 3) -> DataFrame:
                    .groupBy("SupplierID", "Year", "Month")
                    .agg(F.sum("Amount").alias("_m")))
     names = wh.dim_supplier.select("SupplierID", "SupplierName")
-    return (per_id.join(names, "SupplierID")
-                  .groupBy("Year", "Month", "SupplierName")
-                  .agg(_total("_m").alias("MonthlyTotal")))
+    out = (per_id.join(names, "SupplierID")
+                 .groupBy("Year", "Month", "SupplierName")
+                 .agg(_total("_m").alias("MonthlyTotal")))
+    return _ordered(out, ordered, "Year", "Month", F.col("MonthlyTotal").desc_nulls_last(),
+                    "SupplierName")
 
 
 def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int] | None:
@@ -80,10 +88,11 @@ def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int] | None:
     return int(lo), int(hi)
 
 
-def expense_types_above_avg(wh: Warehouse, months: int = 2) -> DataFrame:
+def expense_types_above_avg(wh: Warehouse, months: int = 2, ordered: bool = False) -> DataFrame:
     """Q3: [ExpenseType, TwoMonthTotal, AvgTwoMonth] above the unweighted average.
 
-    Window is (latest fact date - months, latest fact date].
+    Window is (latest fact date - months, latest fact date].  ``ordered``
+    sorts by TwoMonthTotal descending.
     """
     bounds = _window_date_ids(wh, months)
     if bounds is None:
@@ -95,9 +104,10 @@ def expense_types_above_avg(wh: Warehouse, months: int = 2) -> DataFrame:
     by_id = window.groupBy("ExpenseTypeID").agg(_total("Amount").alias("TwoMonthTotal"))
     totals = by_id.join(wh.dim_expense_type, "ExpenseTypeID").select("ExpenseType", "TwoMonthTotal")
     avg = totals.agg(F.avg("TwoMonthTotal").cast(RATIO_TYPE).alias("AvgTwoMonth"))
-    return (totals.crossJoin(F.broadcast(avg))  # one row
-                  .where(F.col("TwoMonthTotal") > F.col("AvgTwoMonth"))
-                  .select("ExpenseType", "TwoMonthTotal", "AvgTwoMonth"))
+    out = (totals.crossJoin(F.broadcast(avg))  # one row
+                 .where(F.col("TwoMonthTotal") > F.col("AvgTwoMonth"))
+                 .select("ExpenseType", "TwoMonthTotal", "AvgTwoMonth"))
+    return _ordered(out, ordered, F.col("TwoMonthTotal").desc_nulls_last(), "ExpenseType")
 
 
 def expense_types_above_avg_json(wh: Warehouse, months: int = 2) -> DataFrame:
@@ -117,12 +127,13 @@ def expense_types_above_avg_json(wh: Warehouse, months: int = 2) -> DataFrame:
     return doc.select(F.to_json(F.struct(F.col("items").alias(EXPENSE_JSON_ROOT))).alias("json"))
 
 
-def area_rank_movement(wh: Warehouse, k: int = 10) -> DataFrame:
+def area_rank_movement(wh: Warehouse, k: int = 10, ordered: bool = False) -> DataFrame:
     """Q4: monthly top-k expense areas with rank movement.
 
     [ExpenseArea, Year, Month, TotalSpent, RankNow, PrevRank, Movement, SortKey].
     RANK leaves gaps and keeps ties; PrevRank is the area's rank in its
-    previous month with spend, taken before the top-k filter.
+    previous month with spend, taken before the top-k filter.  ``ordered``
+    sorts by Year, Month, RankNow.
     """
     monthly = (wh.fact.join(wh.dim_date.select("DateID", "Year", "Month"), "DateID")
                  .groupBy("ExpenseAreaID", "Year", "Month")
@@ -132,18 +143,20 @@ def area_rank_movement(wh: Warehouse, k: int = 10) -> DataFrame:
     by_area = Window.partitionBy("ExpenseArea").orderBy("Year", "Month")
     ranked = base.withColumn("RankNow", F.rank().over(by_month))
     prev = ranked.withColumn("PrevRank", F.lag("RankNow").over(by_area))
-    return (prev.where(F.col("RankNow") <= k)
-                .select("ExpenseArea", "Year", "Month", "TotalSpent", "RankNow", "PrevRank",
-                        (F.col("PrevRank") - F.col("RankNow")).alias("Movement"),
-                        (F.col("Year") * 10000 + F.col("Month") * 100 + F.col("RankNow"))
-                        .alias("SortKey")))
+    out = (prev.where(F.col("RankNow") <= k)
+               .select("ExpenseArea", "Year", "Month", "TotalSpent", "RankNow", "PrevRank",
+                       (F.col("PrevRank") - F.col("RankNow")).alias("Movement"),
+                       (F.col("Year") * 10000 + F.col("Month") * 100 + F.col("RankNow"))
+                       .alias("SortKey")))
+    return _ordered(out, ordered, "Year", "Month", "RankNow", "ExpenseArea")
 
 
-def supplier_time_hierarchy(wh: Warehouse) -> DataFrame:
+def supplier_time_hierarchy(wh: Warehouse, ordered: bool = False) -> DataFrame:
     """Q5: supplier spend by year / quarter / month with YTD and share of quarter.
 
     [SupplierName, Year, Quarter, Month, MonthLabel, MonthlyTotal,
     SupplierYearToDate, QuarterTotalAllSuppliers, MonthlyShareOfQuarterPercent].
+    ``ordered`` sorts by Year, Quarter, Month, SupplierName.
     """
     dates = wh.dim_date.select("DateID", "Year", F.quarter("FullDate").alias("Quarter"), "Month")
     per_id = (wh.fact.join(dates, "DateID")
@@ -165,10 +178,12 @@ def supplier_time_hierarchy(wh: Warehouse) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     share = (F.lit(Decimal("100.0")) * F.col("MonthlyTotal")
              / F.nullif(F.col("QuarterTotalAllSuppliers"), F.lit(0)))
-    return (base.join(F.broadcast(quarters), ["Year", "Quarter"])
-                .select("SupplierName", "Year", "Quarter", "Month",
+    out = (base.join(F.broadcast(quarters), ["Year", "Quarter"])
+               .select("SupplierName", "Year", "Quarter", "Month",
                         month_label("Year", "Month").alias("MonthLabel"),
                         "MonthlyTotal",
                         F.sum("MonthlyTotal").over(ytd).cast(TOTAL_TYPE).alias("SupplierYearToDate"),
                         "QuarterTotalAllSuppliers",
-                        share.cast(RATIO_TYPE).alias("MonthlyShareOfQuarterPercent")))
+                       share.cast(RATIO_TYPE).alias("MonthlyShareOfQuarterPercent")))
+    return _ordered(out, ordered, "Year", "Quarter", "Month",
+                    F.col("SupplierName").asc_nulls_first())

@@ -129,3 +129,11 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
                        "FactInvoice", target("FactInvoice"))
     lap("fact")
     return Warehouse(clean=clean, dims=dims, fact=fact, counters=counters)
+
+
+def open_warehouse(spark, path: str) -> Warehouse:
+    """Reopen a warehouse that ``build_warehouse(..., path=path)`` wrote."""
+    from spendstar.operators.dimensions import read_dimensions
+    return Warehouse(clean=spark.read.parquet(os.path.join(path, "Invoice_Clean")),
+                     dims=read_dimensions(spark, os.path.join(path, "dimensions")),
+                     fact=spark.read.parquet(os.path.join(path, "FactInvoice")))

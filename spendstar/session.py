@@ -24,12 +24,13 @@ DEFAULT_CONF = {
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spendstar",
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", extra_conf: dict | None = None) -> SparkSession:
     """A local session configured the way the tests and the bench expect."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = driver_memory
+    conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -1,3 +1,8 @@
 """Streaming: the reference has no streaming operator (every script is a full
-rebuild).  ``ingest`` offers the staging load over a folder of arriving spend
-files as an incremental Structured Streaming job with the same reader."""
+rebuild).  The one piece offered here is the staging load itself as a
+file-source stream, so files that arrive over time are appended exactly once
+(see ``ingest``)."""
+
+from spendstar.streaming.ingest import ingest_spend, stream_spend
+
+__all__ = ["ingest_spend", "stream_spend"]

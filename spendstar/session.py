@@ -46,11 +46,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     create one, as the tests do; on a cluster an unset value is an error,
     because a machine-local folder would not survive executor loss.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured

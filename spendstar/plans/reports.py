@@ -77,7 +77,10 @@ def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int] | None:
     are scalars (as the reference's variables are); filtering the fact by
     literal bounds lets Parquet skip row groups outside the window.
     """
-    hi = wh.fact.agg(F.max("DateID")).first()[0]
+    if "MaxDateID" in wh.counters:  # observed while the fact was written
+        hi = wh.counters["MaxDateID"]
+    else:
+        hi = wh.fact.agg(F.max("DateID")).first()[0]
     if hi is None:
         return None
     d = wh.dim_date

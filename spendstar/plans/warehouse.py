@@ -124,9 +124,14 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
     dims = build_dimensions(clean, path=target("dimensions"))
     lap("dimensions")
     # Sorting each fact file by DateID keeps Parquet row-group min/max tight,
-    # so date-window reports prune row groups; no shuffle is added.
-    fact = materialize(build_fact(clean, dims).sortWithinPartitions("DateID"),
-                       "FactInvoice", target("FactInvoice"))
+    # so date-window reports prune row groups; no shuffle is added.  The
+    # fact's size and latest date are observed while it is written.
+    fact_obs = Observation("fact")
+    fact_df = build_fact(clean, dims).observe(
+        fact_obs, F.count(F.lit(1)).alias("FactRows"), F.max("DateID").alias("MaxDateID"))
+    fact = materialize(fact_df.sortWithinPartitions("DateID"), "FactInvoice",
+                       target("FactInvoice"))
+    counters.update({k: (int(v) if v is not None else None) for k, v in fact_obs.get.items()})
     lap("fact")
     return Warehouse(clean=clean, dims=dims, fact=fact, counters=counters)
 

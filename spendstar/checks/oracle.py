@@ -279,18 +279,21 @@ def _unmatched_sql() -> str:
 
 def _counters_sql() -> str:
     parts = [
-        "SELECT 'StagingRowCount' AS metric, count(*) AS value FROM staging",
-        "SELECT 'InvalidSupplierCount', count(*) FROM rejects",
-        "SELECT 'StagingRowCount_After', count(*) FROM rejected",
-        f"SELECT 'RedactedSupplierRows', count_if(Supplier = '{REDACTED_SUPPLIER}') FROM redacted",
-        "SELECT 'CleanRowCount', count(*) FROM typed",
-        "SELECT 'InvalidDateCount', count_if(DateOfPayment IS NULL) FROM typed",
-        "SELECT 'InvalidAmountCount', count_if(Amount IS NULL) FROM typed",
-        "SELECT 'DuplicateGroups', count(*) FROM (SELECT 1 FROM typed GROUP BY "
-        "TransactionNumber, Supplier, Amount, DateOfPayment HAVING count(*) > 1) t",
-        "SELECT 'RowCount_AfterDeDup', count(*) FROM deduped",
+        ("StagingRowCount", "count(*)", "staging"),
+        ("InvalidSupplierCount", "count(*)", "rejects"),
+        ("StagingRowCount_After", "count(*)", "rejected"),
+        ("RedactedSupplierRows", f"count_if(Supplier = '{REDACTED_SUPPLIER}')", "redacted"),
+        ("CleanRowCount", "count(*)", "typed"),
+        ("InvalidDateCount", "count_if(DateOfPayment IS NULL)", "typed"),
+        ("InvalidAmountCount", "count_if(Amount IS NULL)", "typed"),
+        ("DuplicateGroups", "count(*)",
+         "(SELECT 1 FROM typed GROUP BY TransactionNumber, Supplier, Amount, DateOfPayment "
+         "HAVING count(*) > 1) t"),
+        ("RowCount_AfterDeDup", "count(*)", "deduped"),
     ]
-    return _with(CLEAN, "\nUNION ALL\n".join(parts))
+    selects = [f"SELECT '{m}' AS metric, CAST({e} AS BIGINT) AS value FROM {src}"
+               for m, e, src in parts]
+    return _with(CLEAN, "\nUNION ALL\n".join(selects))
 
 
 def oracle_sql() -> dict[str, str]:

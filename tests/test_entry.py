@@ -21,6 +21,15 @@ def _norm(v):
     return repr(v) if v is not None else "NULL"
 
 
+_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE"}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper()
+    return _TYPES.get(spark_type, spark_type.upper())
+
+
 def _digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
@@ -57,6 +66,8 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(E.oracle_sql()[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: _duck_type(t) for c, t in df.dtypes} == duck_types
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(rel.columns, orows)
 

@@ -37,6 +37,26 @@ def reject_suppliers(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
     return left.join(r, "_reject_key", "left_anti").drop("_reject_key")
 
 
+REJECTED_FLAG = "_rejected"
+
+
+def mark_rejected(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
+                  name: str = REJECT_ATTRIBUTE, case_insensitive: bool = False,
+                  flag: str = REJECTED_FLAG) -> DataFrame:
+    """Add a boolean ``flag``: the trimmed supplier is on the reject list.
+
+    Same match as :func:`reject_suppliers` (NULL never matches), as a left
+    join against the distinct list keys, so a load can count the rejected
+    rows in the same pass and filter them afterwards.
+    """
+    r = (rejects.select(_match_key(F.col(name), case_insensitive).alias("_reject_key"))
+                .where(F.col("_reject_key").isNotNull()).distinct()
+                .withColumn(flag, F.lit(True)))
+    left = df.withColumn("_reject_key", _match_key(F.col(key), case_insensitive))
+    return (left.join(r, "_reject_key", "left").drop("_reject_key")
+                .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+
+
 def redact(df: DataFrame, patterns: Sequence[str] = REDACT_PATTERNS,
            replacement: str = REDACTED_SUPPLIER, columns: Sequence[str] = ("Supplier",),
            case_insensitive: bool = False) -> DataFrame:
@@ -48,15 +68,17 @@ def redact(df: DataFrame, patterns: Sequence[str] = REDACT_PATTERNS,
     return df
 
 
-def type_columns(df: DataFrame, date_format: str = DAY_FIRST_DATE) -> DataFrame:
+def type_columns(df: DataFrame, date_format: str = DAY_FIRST_DATE,
+                 keep: Sequence[str] = ()) -> DataFrame:
     """Typed clean rows: DateOfPayment -> DATE, Amount -> DECIMAL(18,2).
 
     Parse failures become NULL and the row is kept.  Other text columns are
-    passed through untouched (not trimmed).  Extra columns are dropped.
+    passed through untouched (not trimmed).  Extra columns are dropped
+    unless named in ``keep``.
     """
     typed = {"DateOfPayment": parse_day_first_date("DateOfPayment", date_format),
              "Amount": parse_amount("Amount")}
-    return df.select(*[typed.get(c, F.col(c)).alias(c) for c in SPEND_COLUMNS])
+    return df.select(*[typed.get(c, F.col(c)).alias(c) for c in SPEND_COLUMNS], *keep)
 
 
 def duplicate_audit(df: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFrame:

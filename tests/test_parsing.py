@@ -110,3 +110,15 @@ def test_dedup_hot_key_is_limited_before_the_shuffle(spark):
     assert out.first().Department == "0"
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2  # partial (map side) and final
+
+
+def test_flagged_rejects_equal_anti_join(spark):
+    from spendstar.operators.cleaning import mark_rejected
+    df = _staging(spark, [{"Supplier": " BAD CO "}, {"Supplier": None}, {"Supplier": "GOOD"},
+                          {"Supplier": "BAD CO"}])
+    rejects = spark.createDataFrame([("BAD CO",), ("BAD CO ",), (None,)], "SupplierName string")
+    flagged = mark_rejected(df, rejects)
+    assert flagged.count() == 4  # duplicate list entries never multiply rows
+    kept = flagged.where("NOT _rejected").drop("_rejected")
+    assert sorted(map(repr, kept.collect())) == sorted(
+        map(repr, reject_suppliers(df, rejects).collect()))

@@ -23,12 +23,6 @@ from pyspark.sql import functions as F
 from spendstar.sources.tables import materialize
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def dense_keys(df: DataFrame, order: Sequence[str], key: str, by: str | None = None,
                partitions: int | None = None, name: str = "keys",
                partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
@@ -41,7 +35,10 @@ def dense_keys(df: DataFrame, order: Sequence[str], key: str, by: str | None = N
     """
     groups = [by] if by else []
     sort = [F.col(c).asc_nulls_first() for c in groups + list(order)]
-    ranged = (df.repartitionByRange(_partitions(df, partitions), *sort)
+    # Without an explicit count AQE may merge small neighbouring ranges; it
+    # merges in order, so partition index order is still key order.
+    parts = [partitions] if partitions else []
+    ranged = (df.repartitionByRange(*parts, *sort)
                 .sortWithinPartitions(*sort)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))

@@ -68,3 +68,17 @@ def test_hot_supplier_third_of_rows(spark):
                         "SupplierID").count() == 301
     top = {r.SupplierName: r.TotalSpent for r in reports.top_suppliers(wh).collect()}
     assert top["OTHER"] == 2400 and top["HOT LTD"] == 301
+
+
+def test_many_shuffle_partitions_give_the_same_keys(spark):
+    small = warehouse_for(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        wide = build_warehouse(spend_from_tpch(spark, SF_SMALL),
+                               rejects_from_tpch(spark, SF_SMALL))
+        for name in small.dims:
+            assert _rows(wide.dims[name]) == _rows(small.dims[name]), name
+        assert _rows(wide.fact.drop("FactID")) == _rows(small.fact.drop("FactID"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

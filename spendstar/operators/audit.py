@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendstar.constants import REDACTED_SUPPLIER, TEXT_LIMITS
-from spendstar.operators.cleaning import duplicate_audit
+from spendstar.constants import NATURAL_KEY, REDACTED_SUPPLIER, TEXT_LIMITS
+from spendstar.operators.cleaning import REJECTED_FLAG, mark_rejected, redact, type_columns
 from spendstar.operators.dimensions import DATE_DIMENSION, DIMENSIONS
 from spendstar.operators.fact import FACT_KEYS
 
@@ -23,30 +23,35 @@ def _metrics(df: DataFrame, label: str = "metric", value: str = "value") -> Data
     return df.select(F.explode(F.array(*pairs)).alias("_m")).select(f"_m.{label}", f"_m.{value}")
 
 
-def stage_counters(staging: DataFrame, rejects: DataFrame, rejected: DataFrame,
-                   redacted: DataFrame, typed: DataFrame, deduped: DataFrame) -> DataFrame:
-    """The reference's step counts, one row per metric.
+def stage_counters(staging: DataFrame, rejects: DataFrame, case_insensitive: bool = False,
+                   redact_columns=("Supplier",)) -> DataFrame:
+    """The reference's step counts, one row per metric, in three aggregates.
 
-    StagingRowCount, InvalidSupplierCount, StagingRowCount_After (after the
-    reject list), RedactedSupplierRows, CleanRowCount, InvalidDateCount,
-    InvalidAmountCount, DuplicateGroups, RowCount_AfterDeDup.
+    StagingRowCount, StagingRowCount_After (after the reject list),
+    RedactedSupplierRows, CleanRowCount, InvalidDateCount and
+    InvalidAmountCount come from one pass over the flagged rows;
+    InvalidSupplierCount from the list; DuplicateGroups and
+    RowCount_AfterDeDup from one grouping by the natural key (the number of
+    groups is the number of rows de-duplication keeps).
     """
-    parts = [
-        staging.agg(F.count(F.lit(1)).alias("StagingRowCount")),
-        rejects.agg(F.count(F.lit(1)).alias("InvalidSupplierCount")),
-        rejected.agg(F.count(F.lit(1)).alias("StagingRowCount_After")),
-        redacted.agg(F.count_if(F.col("Supplier") == F.lit(REDACTED_SUPPLIER))
-                     .alias("RedactedSupplierRows")),
-        typed.agg(F.count(F.lit(1)).alias("CleanRowCount"),
-                  F.count_if(F.col("DateOfPayment").isNull()).alias("InvalidDateCount"),
-                  F.count_if(F.col("Amount").isNull()).alias("InvalidAmountCount")),
-        duplicate_audit(typed).agg(F.count(F.lit(1)).alias("DuplicateGroups")),
-        deduped.agg(F.count(F.lit(1)).alias("RowCount_AfterDeDup")),
-    ]
-    out = _metrics(parts[0])
-    for p in parts[1:]:
-        out = out.unionByName(_metrics(p))
-    return out
+    flagged = type_columns(
+        redact(mark_rejected(staging, rejects, case_insensitive=case_insensitive),
+               columns=redact_columns, case_insensitive=case_insensitive),
+        keep=[REJECTED_FLAG])
+    kept = ~F.col(REJECTED_FLAG)
+    steps = flagged.agg(
+        F.count(F.lit(1)).alias("StagingRowCount"),
+        F.count_if(kept).alias("StagingRowCount_After"),
+        F.count_if(kept & (F.col("Supplier") == F.lit(REDACTED_SUPPLIER)))
+        .alias("RedactedSupplierRows"),
+        F.count_if(kept).alias("CleanRowCount"),
+        F.count_if(kept & F.col("DateOfPayment").isNull()).alias("InvalidDateCount"),
+        F.count_if(kept & F.col("Amount").isNull()).alias("InvalidAmountCount"))
+    groups = (flagged.where(kept).groupBy(*NATURAL_KEY).agg(F.count(F.lit(1)).alias("n"))
+              .agg(F.count_if(F.col("n") > 1).alias("DuplicateGroups"),
+                   F.count(F.lit(1)).alias("RowCount_AfterDeDup")))
+    listed = rejects.agg(F.count(F.lit(1)).alias("InvalidSupplierCount"))
+    return _metrics(steps).unionByName(_metrics(listed)).unionByName(_metrics(groups))
 
 
 def clean_vs_fact(clean: DataFrame, fact: DataFrame) -> DataFrame:

@@ -56,8 +56,7 @@ def _reject_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = steps_for(spark, sf_dir)
-    return stage_counters(s.staging, s.rejects, s.rejected, s.redacted, s.typed, s.deduped)
+    return stage_counters(spend_from_tpch(spark, sf_dir), rejects_from_tpch(spark, sf_dir))
 
 
 def _latest_payments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ loaded warehouse.
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,7 @@ from spendstar.sources.reject_list import read_reject_list, write_reject_list
 from spendstar.sources.tpch_adapter import rejects_from_tpch, spend_from_tpch
 
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_LOCK = threading.Lock()
 
 
 def steps_for(spark: SparkSession, sf_dir: str) -> CleanSteps:
@@ -37,10 +39,11 @@ def steps_for(spark: SparkSession, sf_dir: str) -> CleanSteps:
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The loaded warehouse for ``sf_dir`` (built on first use in this session)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = build_warehouse(spend_from_tpch(spark, sf_dir),
-                                           rejects_from_tpch(spark, sf_dir))
-    return _WAREHOUSES[key]
+    with _LOCK:  # queries may be run from several threads: build once
+        if key not in _WAREHOUSES:
+            _WAREHOUSES[key] = build_warehouse(spend_from_tpch(spark, sf_dir),
+                                               rejects_from_tpch(spark, sf_dir))
+        return _WAREHOUSES[key]
 
 
 def _tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

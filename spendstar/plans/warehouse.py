@@ -31,6 +31,8 @@ from spendstar.operators.dimensions import build_dimensions
 from spendstar.operators.fact import build_fact
 from spendstar.sources.tables import materialize
 
+AUDIT_TABLE = "LoadAudit"
+
 
 @dataclass
 class CleanSteps:
@@ -141,6 +143,11 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
     fact = materialize(fact_df.sortWithinPartitions("DateID"), "FactInvoice",
                        target("FactInvoice"))
     counters.update({k: (int(v) if v is not None else None) for k, v in fact_obs.get.items()})
+    if path:
+        # the load audit travels with the tables (step counts, latest DateID)
+        audit = clean.sparkSession.createDataFrame(
+            sorted(counters.items()), "metric string, value bigint")
+        audit.coalesce(1).write.mode("overwrite").parquet(target(AUDIT_TABLE))
     lap("fact")
     return Warehouse(clean=clean, dims=dims, fact=fact, counters=counters)
 
@@ -148,6 +155,8 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
 def open_warehouse(spark, path: str) -> Warehouse:
     """Reopen a warehouse that ``build_warehouse(..., path=path)`` wrote."""
     from spendstar.operators.dimensions import read_dimensions
+    audit = spark.read.parquet(os.path.join(path, AUDIT_TABLE)).collect()  # a dozen rows
     return Warehouse(clean=spark.read.parquet(os.path.join(path, "Invoice_Clean")),
                      dims=read_dimensions(spark, os.path.join(path, "dimensions")),
-                     fact=spark.read.parquet(os.path.join(path, "FactInvoice")))
+                     fact=spark.read.parquet(os.path.join(path, "FactInvoice")),
+                     counters={r.metric: r.value for r in audit})

@@ -42,5 +42,6 @@ def test_build_into_folder_then_reopen(spark, tmp_path):
     built = build_warehouse(toy.staging(spark), toy.rejects(spark), path=path)
     again = open_warehouse(spark, path)
     assert again.fact.count() == built.fact.count() == 9
+    assert again.counters == built.counters and again.counters["MaxDateID"] == 6
     assert sorted(map(tuple, again.dims["DimSupplier"].collect())) == \
         sorted(map(tuple, built.dims["DimSupplier"].collect()))

@@ -43,9 +43,10 @@ def check_roots(spark: SparkSession, paths: str | Iterable[str]) -> None:
         F.input_file_name().alias("file"), F.col("value"))
     open_tag = rf"<{REJECT_ROOT_TAG}(\s|>|/>)"
     close_tag = rf"(</{REJECT_ROOT_TAG}\s*>|<{REJECT_ROOT_TAG}[^>]*/>)"
+    # occurrences, not lines: a one-line file may hold several roots
     per_file = lines.groupBy("file").agg(
-        F.count_if(F.col("value").rlike(open_tag)).alias("opens"),
-        F.count_if(F.col("value").rlike(close_tag)).alias("closes"))
+        F.sum(F.regexp_count("value", F.lit(open_tag))).alias("opens"),
+        F.sum(F.regexp_count("value", F.lit(close_tag))).alias("closes"))
     bad = per_file.where((F.col("opens") != 1) | (F.col("closes") != 1)).limit(5).collect()
     if bad:
         detail = ", ".join(f"{r.file} (opens={r.opens}, closes={r.closes})" for r in bad)

@@ -116,6 +116,13 @@ def test_reject_list_unclosed_root_raises(spark, tmp_path):
         read_reject_list(spark, path)
 
 
+def test_reject_list_two_roots_on_one_line_raise(spark, tmp_path):
+    path = _xml(tmp_path, '<Suppliers><Supplier SupplierName="A"/></Suppliers>'
+                          '<Suppliers><Supplier SupplierName="B"/></Suppliers>\n')
+    with pytest.raises(RejectListError):
+        read_reject_list(spark, path)
+
+
 def test_reject_list_write_read_round_trip(spark, tmp_path):
     names = spark.createDataFrame([("X & Y",), ("<Z>",), ("plain",)], "SupplierName string")
     write_reject_list(names.repartition(2), str(tmp_path / "xml"))

@@ -90,27 +90,32 @@ def build_dimensions(clean: DataFrame, path: str | None = None) -> dict[str, Dat
     members = (members.select(dim_of.alias("dim"), *names)
                       .where((F.col("dim") != date_name) | F.col("FullDate").isNotNull()))
     base = path or scratch_path(clean.sparkSession, "dimensions")
-    dense_keys(members, names, "_key", by="dim", name="dimensions",
-               partition_by=["dim"], path=base)
-    return read_dimensions(clean.sparkSession, base)
+    keyed = dense_keys(members, names, "_key", by="dim", name="dimensions",
+                       partition_by=["dim"], path=base)
+    return read_dimensions(clean.sparkSession, base, keyed.drop("dim").schema)
 
 
-def _dimension_folder(spark, base: str, name: str) -> DataFrame:
+def _dimension_folder(spark, base: str, name: str, schema=None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return spark.read.parquet(os.path.join(base, f"dim={name}"))
+        return reader.parquet(os.path.join(base, f"dim={name}"))
     except AnalysisException:
         # a dimension with no members has no folder: an empty frame, same columns
         return spark.read.parquet(base).where(F.col("dim") == name).drop("dim")
 
 
-def read_dimensions(spark, base: str) -> dict[str, DataFrame]:
-    """The five dimensions from their folders under ``base`` (one per table)."""
+def read_dimensions(spark, base: str, schema=None) -> dict[str, DataFrame]:
+    """The five dimensions from their folders under ``base`` (one per table).
+
+    ``schema`` (the member table's columns without ``dim``) skips schema
+    inference when the caller has just written the folders.
+    """
     date_name, date_key = DATE_DIMENSION
     dims = {}
     for name, (key, cols) in DIMENSIONS.items():
-        part = _dimension_folder(spark, base, name)
+        part = _dimension_folder(spark, base, name, schema)
         dims[name] = part.select(F.col("_key").alias(key), *cols)
-    part = _dimension_folder(spark, base, date_name)
+    part = _dimension_folder(spark, base, date_name, schema)
     dims[date_name] = part.select(F.col("_key").alias(date_key), "FullDate").select(
         *_date_columns(date_key))
     return dims

@@ -22,4 +22,5 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
-    return spark.read.parquet(target)
+    # The schema is known: passing it skips the footer-reading inference job.
+    return spark.read.schema(df.schema).parquet(target)

@@ -17,7 +17,7 @@ matches exactly (an unparsable date never matches).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spendstar.functions.text import norm_key, norm_text
@@ -26,6 +26,14 @@ from spendstar.operators.keys import row_ids
 # --- fixed values: fact layout ------------------------------------------------
 FACT_KEYS = ("OrganisationID", "SupplierID", "ExpenseTypeID", "ExpenseAreaID", "DateID")
 FACT_MEASURES = ("Amount", "TransactionNumber", "Description")
+# --- fixed values: in-flight counter names of the row-loss diagnostics ------
+MISS_COUNTERS = {
+    "OrganisationID": "NoOrganisationMatch",
+    "SupplierID": "NoSupplierMatch",
+    "ExpenseTypeID": "NoExpenseTypeMatch",
+    "ExpenseAreaID": "NoExpenseAreaMatch",
+    "DateID": "NoDateMatch",
+}
 # dimension name reported by the diagnostics, in report order
 DIAGNOSTIC_NAMES = {
     "OrganisationID": "Organisation",
@@ -74,9 +82,26 @@ def fact_rows(matched: DataFrame) -> DataFrame:
     return matched.where(cond).select(*FACT_KEYS, *FACT_MEASURES)
 
 
-def build_fact(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """FactInvoice: FactID (unique BIGINT), five keys, Amount, TransactionNumber, Description."""
-    return row_ids(fact_rows(match_dimensions(clean, dims)), "FactID")
+def build_fact(clean: DataFrame, dims: dict[str, DataFrame],
+               observation: Observation | None = None) -> DataFrame:
+    """FactInvoice: FactID (unique BIGINT), five keys, Amount, TransactionNumber, Description.
+
+    With ``observation`` the load also counts, in the same pass, the clean
+    rows (``CleanRows``), the rows missing each dimension
+    (``NoOrganisationMatch`` ... ``NoDateMatch``), the fact rows
+    (``FactRows``) and the latest DateID (``MaxDateID``).
+    """
+    matched = match_dimensions(clean, dims)
+    if observation is not None:
+        miss = [F.count_if(F.col(k).isNull()).alias(n) for k, n in MISS_COUNTERS.items()]
+        hit = F.lit(True)
+        for k in FACT_KEYS:
+            hit = hit & F.col(k).isNotNull()
+        matched = matched.observe(
+            observation, F.count(F.lit(1)).alias("CleanRows"), *miss,
+            F.count_if(hit).alias("FactRows"),
+            F.max(F.when(hit, F.col("DateID"))).alias("MaxDateID"))
+    return row_ids(fact_rows(matched), "FactID")
 
 
 def unmatched(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

@@ -60,6 +60,8 @@ def test_step_counts(loaded, wh):
     assert wh.counters == {
         "StagingRowCount": 14, "StagingRowCount_After": 13, "RedactedSupplierRows": 2,
         "CleanRowCount": 13, "InvalidDateCount": 1, "InvalidAmountCount": 1,
+        "CleanRows": 12, "NoOrganisationMatch": 1, "NoSupplierMatch": 1,
+        "NoExpenseTypeMatch": 0, "NoExpenseAreaMatch": 0, "NoDateMatch": 1,
         "FactRows": 9, "MaxDateID": 6}
 
 

@@ -6,7 +6,6 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from spendstar.constants import SPEND_COLUMNS
 from spendstar.functions.parsing import month_label, parse_amount, parse_day_first_date

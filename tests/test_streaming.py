@@ -31,3 +31,20 @@ def test_files_are_appended_once(spark, tmp_path):
     rows = spark.read.parquet(staging).collect()
     assert sorted(r.Entity for r in rows) == ["E1", "E2", "E3", "E4", "E5"]
     assert {r.source_file.rsplit("/", 1)[-1] for r in rows} == {"a.txt", "b.txt", "c.txt"}
+
+
+def test_streamed_staging_feeds_the_warehouse(spark, tmp_path):
+    import toy
+    from spendstar.plans import reports
+    from spendstar.plans.warehouse import build_warehouse
+    from spendstar.sources.delimited import write_spend
+
+    inbox = tmp_path / "inbox"
+    write_spend(toy.staging(spark).coalesce(2), str(inbox))  # two files arrive
+    staging = str(tmp_path / "staging")
+    ingest_spend(spark, str(inbox), staging, checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+    rows = spark.read.parquet(staging).drop("_corrupt_record", "source_file")
+    wh = build_warehouse(rows, toy.rejects(spark))
+    top = [tuple(r) for r in reports.top_suppliers(wh).collect()]
+    assert [name for name, _ in top] == ["BETA", "BETA", "ACME LTD"]
+    assert wh.counters["StagingRowCount"] == 14 and wh.counters["FactRows"] == 9

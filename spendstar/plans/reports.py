@@ -69,6 +69,15 @@ def top_suppliers_monthly(wh: Warehouse, k: int = 3, ordered: bool = False) -> D
                     "SupplierName")
 
 
+def top_suppliers_result_sets(wh: Warehouse, k: int = 3) -> dict[str, DataFrame]:
+    """Both result sets of the top-suppliers procedure, in its order.
+
+    ``overall``: Q1 (largest first); ``monthly``: Q2 ordered by Year, Month
+    and MonthlyTotal descending.
+    """
+    return {"overall": top_suppliers(wh, k), "monthly": top_suppliers_monthly(wh, k, ordered=True)}
+
+
 def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int] | None:
     """(lo, hi] DateID bounds of the last ``months`` months of fact data.
 

@@ -113,6 +113,12 @@ def test_top_suppliers_monthly(wh):
                     (2013, 4, "BETA", D("600.00"))]
 
 
+def test_procedure_result_sets(wh):
+    sets = reports.top_suppliers_result_sets(wh)
+    assert [r.SupplierName for r in sets["overall"].collect()] == ["BETA", "BETA", "ACME LTD"]
+    assert [(r.Year, r.Month) for r in sets["monthly"].collect()] == [(2013, 1), (2013, 2), (2013, 4)]
+
+
 def test_expense_types_above_avg(wh):
     rows = sorted(tuple(r) for r in reports.expense_types_above_avg(wh).collect())
     assert rows == [("Rent", D("312.00"), D("208.116667")),

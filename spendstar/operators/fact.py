@@ -26,6 +26,7 @@ from spendstar.operators.keys import row_ids
 # --- fixed values: fact layout ------------------------------------------------
 FACT_KEYS = ("OrganisationID", "SupplierID", "ExpenseTypeID", "ExpenseAreaID", "DateID")
 FACT_MEASURES = ("Amount", "TransactionNumber", "Description")
+PARTITION_COLUMN = "PaymentYear"  # storage layout only; not part of the reported fact
 # --- fixed values: in-flight counter names of the row-loss diagnostics ------
 MISS_COUNTERS = {
     "OrganisationID": "NoOrganisationMatch",
@@ -73,19 +74,26 @@ def match_dimensions(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return joined.drop("_dept", "_ent", "_sup", "_pc", "_st", "_et", "_ea", "_date")
 
 
-def fact_rows(matched: DataFrame) -> DataFrame:
-    """Rows that matched every dimension, in fact layout (no FactID)."""
+def fact_rows(matched: DataFrame, year_column: bool = False) -> DataFrame:
+    """Rows that matched every dimension, in fact layout (no FactID).
+
+    With ``year_column`` the rows also carry ``PaymentYear`` (the year of
+    the payment date), a storage partition column.
+    """
     cond = None
     for k in FACT_KEYS:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
-    return matched.where(cond).select(*FACT_KEYS, *FACT_MEASURES)
+    extra = [F.year("DateOfPayment").alias(PARTITION_COLUMN)] if year_column else []
+    return matched.where(cond).select(*FACT_KEYS, *FACT_MEASURES, *extra)
 
 
 def build_fact(clean: DataFrame, dims: dict[str, DataFrame],
-               observation: Observation | None = None) -> DataFrame:
+               observation: Observation | None = None, year_column: bool = False) -> DataFrame:
     """FactInvoice: FactID (unique BIGINT), five keys, Amount, TransactionNumber, Description.
 
+    ``year_column`` adds ``PaymentYear`` for a year-partitioned layout.
+
     With ``observation`` the load also counts, in the same pass, the clean
     rows (``CleanRows``), the rows missing each dimension
     (``NoOrganisationMatch`` ... ``NoDateMatch``), the fact rows
@@ -101,7 +109,7 @@ def build_fact(clean: DataFrame, dims: dict[str, DataFrame],
             observation, F.count(F.lit(1)).alias("CleanRows"), *miss,
             F.count_if(hit).alias("FactRows"),
             F.max(F.when(hit, F.col("DateID"))).alias("MaxDateID"))
-    return row_ids(fact_rows(matched), "FactID")
+    return row_ids(fact_rows(matched, year_column), "FactID")
 
 
 def unmatched(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

@@ -107,7 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_expense_type": _wh(lambda wh: wh.dims["DimExpenseType"]),
     "dim_expense_area": _wh(lambda wh: wh.dims["DimExpenseArea"]),
     "dim_date": _wh(lambda wh: wh.dims["DimDate"]),
-    "fact_spend": _wh(lambda wh: wh.fact.drop("FactID")),
+    "fact_spend": _wh(lambda wh: wh.fact.drop("FactID", "PaymentYear")),
     "unmatched_by_dimension": _wh(lambda wh: unmatched(wh.clean, wh.dims)),
     "clean_vs_fact": _wh(lambda wh: clean_vs_fact(wh.clean, wh.fact)),
     "integrity_report": _wh(lambda wh: integrity(wh.dims, wh.fact)),

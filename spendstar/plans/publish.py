@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendstar.operators.fact import PARTITION_COLUMN
 from spendstar.plans import reports
 from spendstar.plans.warehouse import Warehouse
 
@@ -20,6 +21,14 @@ VIEW_NAMES = {
 }
 
 
+def _writer(df: DataFrame, mode: str):
+    """A writer that keeps the fact's year folders."""
+    writer = df.write.mode(mode)
+    if PARTITION_COLUMN in df.columns:
+        writer = writer.partitionBy(PARTITION_COLUMN)
+    return writer
+
+
 def _publish_order(wh: Warehouse) -> list[str]:
     # dimensions before the fact, as foreign keys require
     tables = wh.tables()
@@ -37,7 +46,7 @@ def publish(wh: Warehouse, path: str, mode: str = "overwrite") -> DataFrame:
     manifest = None
     for name in _publish_order(wh):
         target = os.path.join(path, name)
-        tables[name].write.mode(mode).parquet(target)
+        _writer(tables[name], mode).parquet(target)
         rows = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("table"), "rows")
         manifest = rows if manifest is None else manifest.unionByName(rows)
@@ -56,7 +65,7 @@ def save_tables(wh: Warehouse, database: str, mode: str = "overwrite") -> list[s
     names = []
     for name in _publish_order(wh):
         qualified = f"`{database}`.`{name}`"
-        tables[name].write.mode(mode).format("parquet").saveAsTable(qualified)
+        _writer(tables[name], mode).format("parquet").saveAsTable(qualified)
         names.append(f"{database}.{name}")
     return names
 

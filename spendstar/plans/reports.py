@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from spendstar.constants import EXPENSE_JSON_ROOT, RATIO_TYPE, TOTAL_TYPE
 from spendstar.functions.parsing import month_label
+from spendstar.operators.fact import PARTITION_COLUMN
 from spendstar.plans.warehouse import Warehouse
 
 
@@ -78,13 +79,15 @@ def top_suppliers_result_sets(wh: Warehouse, k: int = 3) -> dict[str, DataFrame]
     return {"overall": top_suppliers(wh, k), "monthly": top_suppliers_monthly(wh, k, ordered=True)}
 
 
-def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int] | None:
-    """(lo, hi] DateID bounds of the last ``months`` months of fact data.
+def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int, int, int] | None:
+    """(lo, hi] DateID bounds of the last ``months`` months of fact data, and
+    the first and last payment year they span.
 
     DateIDs are dense in date order, so the latest fact date is the date of
-    the largest DateID and a date window is a DateID range.  The two bounds
-    are scalars (as the reference's variables are); filtering the fact by
-    literal bounds lets Parquet skip row groups outside the window.
+    the largest DateID and a date window is a DateID range.  The bounds are
+    scalars (as the reference's variables are); filtering the fact by
+    literal bounds lets Spark skip year folders and Parquet row groups
+    outside the window.
     """
     if "MaxDateID" in wh.counters:  # observed while the fact was written
         hi = wh.counters["MaxDateID"]
@@ -94,10 +97,10 @@ def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int] | None:
         return None
     d = wh.dim_date
     end = d.where(F.col("DateID") == hi).select(
-        F.add_months("FullDate", -months).alias("start")).first()
+        "Year", F.add_months("FullDate", -months).alias("start")).first()
     lo = (d.where(F.col("FullDate") <= F.lit(end.start))
            .agg(F.coalesce(F.max("DateID"), F.lit(0))).first()[0])
-    return int(lo), int(hi)
+    return int(lo), int(hi), end.start.year, end.Year
 
 
 def expense_types_above_avg(wh: Warehouse, months: int = 2, ordered: bool = False) -> DataFrame:
@@ -111,8 +114,10 @@ def expense_types_above_avg(wh: Warehouse, months: int = 2, ordered: bool = Fals
         return wh.dim_expense_type.select(
             "ExpenseType", F.lit(None).cast(TOTAL_TYPE).alias("TwoMonthTotal"),
             F.lit(None).cast(RATIO_TYPE).alias("AvgTwoMonth")).limit(0)
-    lo, hi = bounds
+    lo, hi, first_year, last_year = bounds
     window = wh.fact.where((F.col("DateID") > lo) & (F.col("DateID") <= hi))
+    if PARTITION_COLUMN in wh.fact.columns:
+        window = window.where(F.col(PARTITION_COLUMN).between(first_year, last_year))
     by_id = window.groupBy("ExpenseTypeID").agg(_total("Amount").alias("TwoMonthTotal"))
     totals = by_id.join(wh.dim_expense_type, "ExpenseTypeID").select("ExpenseType", "TwoMonthTotal")
     avg = totals.agg(F.avg("TwoMonthTotal").cast(RATIO_TYPE).alias("AvgTwoMonth"))

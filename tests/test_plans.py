@@ -45,6 +45,8 @@ def test_date_window_is_pushed_to_the_fact_scan(wh):
     df.collect()
     plan = _plan(df)
     assert "GreaterThan(DateID," in plan and "LessThanOrEqual(DateID," in plan
+    # the year folders outside the window are pruned before any file is opened
+    assert "PartitionFilters: [isnotnull(PaymentYear" in plan
 
 
 def test_fact_load_broadcasts_small_dimensions_and_never_shuffles_the_fact(wh):

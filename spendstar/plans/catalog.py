@@ -38,7 +38,7 @@ def steps_for(spark: SparkSession, sf_dir: str) -> CleanSteps:
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The loaded warehouse for ``sf_dir`` (built on first use in this session)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.conf.get("spark.app.id", str(id(spark))), os.path.abspath(sf_dir))
     with _LOCK:  # queries may be run from several threads: build once
         if key not in _WAREHOUSES:
             _WAREHOUSES[key] = build_warehouse(spend_from_tpch(spark, sf_dir),

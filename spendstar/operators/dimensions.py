@@ -101,6 +101,8 @@ def _dimension_folder(spark, base: str, name: str, schema=None) -> DataFrame:
         return reader.parquet(os.path.join(base, f"dim={name}"))
     except AnalysisException:
         # a dimension with no members has no folder: an empty frame, same columns
+        if schema is not None:
+            return spark.createDataFrame([], schema)
         return spark.read.parquet(base).where(F.col("dim") == name).drop("dim")
 
 

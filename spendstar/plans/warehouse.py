@@ -32,6 +32,25 @@ from spendstar.operators.fact import PARTITION_COLUMN, build_fact
 from spendstar.sources.tables import materialize
 
 AUDIT_TABLE = "LoadAudit"
+# --- fixed values: names of the counters observed during the load ----------
+LOAD_COUNTERS = ("StagingRowCount", "StagingRowCount_After", "RedactedSupplierRows",
+                 "CleanRowCount", "InvalidDateCount", "InvalidAmountCount")
+FACT_COUNTERS = ("CleanRows", "NoOrganisationMatch", "NoSupplierMatch", "NoExpenseTypeMatch",
+                 "NoExpenseAreaMatch", "NoDateMatch", "FactRows", "MaxDateID")
+
+
+def _observed(obs: Observation, names: tuple[str, ...]) -> dict[str, int | None]:
+    """Observed counters; when Spark proved the input empty and optimised the
+    pass away, nothing was observed and every count is 0 (no latest date)."""
+    try:
+        got = obs.get
+    except Exception:  # the observing node was removed with the empty plan
+        got = {}
+    out = {}
+    for n in names:
+        v = got.get(n, None if n == "MaxDateID" else 0)
+        out[n] = int(v) if v is not None else None
+    return out
 
 
 @dataclass
@@ -131,7 +150,7 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
 
     clean = materialize(dedup(typed), "Invoice_Clean", target("Invoice_Clean"))
     lap("clean")
-    counters: dict[str, int] = {k: int(v) for k, v in obs.get.items()}
+    counters = _observed(obs, LOAD_COUNTERS)
     dims = build_dimensions(clean, path=target("dimensions"))
     lap("dimensions")
     # The fact is stored in one folder per payment year, and each file is
@@ -144,7 +163,7 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
         build_fact(clean, dims, fact_obs, year_column=True)
         .sortWithinPartitions(PARTITION_COLUMN, "DateID"),
         "FactInvoice", target("FactInvoice"), partition_by=[PARTITION_COLUMN])
-    counters.update({k: (int(v) if v is not None else None) for k, v in fact_obs.get.items()})
+    counters.update(_observed(fact_obs, FACT_COUNTERS))
     if path:
         # the load audit travels with the tables (step counts, latest DateID)
         audit = clean.sparkSession.createDataFrame(

@@ -82,3 +82,13 @@ def test_many_shuffle_partitions_give_the_same_keys(spark):
         assert _rows(wide.fact.drop("FactID")) == _rows(small.fact.drop("FactID"))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_empty_input_gives_an_empty_warehouse(spark):
+    wh = build_warehouse(toy.staging(spark).limit(0), toy.rejects(spark))
+    assert wh.counters["StagingRowCount"] == 0 and wh.counters["MaxDateID"] is None
+    assert all(d.count() == 0 for d in wh.dims.values()) and wh.fact.count() == 0
+    for fn in (reports.top_suppliers, reports.top_suppliers_monthly,
+               reports.expense_types_above_avg, reports.expense_types_above_avg_json,
+               reports.area_rank_movement, reports.supplier_time_hierarchy):
+        assert fn(wh).count() == 0, fn.__name__

@@ -4,6 +4,7 @@ from spendstar.operators.audit import clean_vs_fact, integrity, stage_counters
 from spendstar.operators.cleaning import (
     dedup,
     duplicate_audit,
+    mark_rejected,
     redact,
     reject_suppliers,
     type_columns,
@@ -27,6 +28,7 @@ __all__ = [
     "duplicate_audit",
     "fact_rows",
     "integrity",
+    "mark_rejected",
     "match_dimensions",
     "redact",
     "reject_suppliers",

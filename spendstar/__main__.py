@@ -54,7 +54,8 @@ def _load(args) -> int:
                .observe(malformed, F.count_if(F.col("_corrupt_record").isNotNull()).alias("n"))
                .drop("_corrupt_record", "source_file"))
     rejects = read_reject_list(spark, args.rejects, repair=args.repair_xml)
-    wh = build_warehouse(staging, rejects, path=args.out, case_insensitive=args.case_insensitive)
+    wh = build_warehouse(staging, rejects, path=args.out, case_insensitive=args.case_insensitive,
+                         exact_counters=args.exact_counters)
     print(json.dumps({"counters": wh.counters, "malformed_rows": malformed.get["n"]}))
     for key, counter in MISS_COUNTERS.items():  # observed during the fact load
         print(f"unmatched {DIAGNOSTIC_NAMES[key]}: {wh.counters[counter]}")
@@ -94,6 +95,9 @@ def main(argv: list[str] | None = None) -> int:
     load.add_argument("--repair-xml", action="store_true", help="escape bare '&' first")
     load.add_argument("--case-insensitive", action="store_true",
                       help="reject list and redaction ignore case")
+    load.add_argument("--exact-counters", action="store_true",
+                      help="recount the step counters in a separate pass (exact under "
+                           "stage retries)")
     rep = sub.add_parser("report", help="run one report on a loaded warehouse")
     rep.add_argument("name", choices=sorted(REPORTS))
     rep.add_argument("--warehouse", required=True)

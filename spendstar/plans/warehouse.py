@@ -27,6 +27,7 @@ from spendstar.operators.cleaning import (
     reject_suppliers,
     type_columns,
 )
+from spendstar.operators.audit import stage_counters
 from spendstar.operators.dimensions import build_dimensions
 from spendstar.operators.fact import PARTITION_COLUMN, build_fact
 from spendstar.sources.tables import materialize
@@ -112,13 +113,21 @@ def clean_steps(staging: DataFrame, rejects: DataFrame, *, case_insensitive: boo
 
 def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None = None,
                     case_insensitive: bool = False, redact_columns=("Supplier",),
-                    timings: dict[str, float] | None = None) -> Warehouse:
+                    timings: dict[str, float] | None = None,
+                    exact_counters: bool = False) -> Warehouse:
     """Run the whole load and return the materialised star schema.
 
     With ``path`` the tables are written under ``path/<TableName>`` (the
     publish layout); otherwise to fresh folders in the shared scratch area.
     ``timings``, when given, receives seconds per phase (clean, dimensions,
     fact).
+
+    The step counters of the clean phase are observed on the map side of
+    the de-duplication shuffle; like any accumulator in a shuffle-map stage
+    they count a re-run map task again if an executor is lost and the stage
+    is re-executed.  ``exact_counters=True`` recomputes them with one extra
+    aggregate pass (``stage_counters``) instead.  The fact-phase counters are
+    observed in the write's result stage and are exact either way.
     """
     clock = [time.perf_counter()]
 
@@ -151,6 +160,10 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
     clean = materialize(dedup(typed), "Invoice_Clean", target("Invoice_Clean"))
     lap("clean")
     counters = _observed(obs, LOAD_COUNTERS)
+    if exact_counters:
+        exact = stage_counters(staging, rejects, case_insensitive=case_insensitive,
+                               redact_columns=redact_columns).collect()  # nine rows
+        counters.update({r.metric: int(r.value) for r in exact if r.metric in counters})
     dims = build_dimensions(clean, path=target("dimensions"))
     lap("dimensions")
     # The fact is stored in one folder per payment year, and each file is

@@ -65,6 +65,13 @@ def test_step_counts(loaded, wh):
         "FactRows": 9, "MaxDateID": 6}
 
 
+def test_exact_counters_agree_with_observed(loaded, wh):
+    staging, rejects = loaded
+    exact = build_warehouse(staging.drop("_corrupt_record", "source_file"), rejects,
+                            exact_counters=True)
+    assert exact.counters == wh.counters
+
+
 def test_duplicate_audit_and_dedup(loaded, wh):
     staging, rejects = loaded
     typed = clean_steps(staging, rejects).typed

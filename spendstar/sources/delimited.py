@@ -52,8 +52,9 @@ def write_spend(df: DataFrame, path: str, sep: str = "\t", header: bool = True,
                 mode: str = "overwrite") -> None:
     """Write staging-shaped rows as delimited text that ``read_spend`` reads back.
 
-    Values are written verbatim: no quoting, no whitespace trimming.  Empty
-    and NULL fields both become empty fields (and load back as NULL).
+    Values are written verbatim: no quoting, no whitespace trimming, so a
+    value must not contain the separator or a line break.  Empty and NULL
+    fields both become empty fields (and load back as NULL).
     """
     (df.select(*SPEND_COLUMNS).write.mode(mode)
        .option("sep", sep)

@@ -32,8 +32,9 @@ def test_multi_file_header_skip_and_lineage(spark, tmp_path):
 def test_quotes_are_data_and_empty_is_null(spark, tmp_path):
     p = tmp_path / "q.txt"
     p.write_text(HEADER + "\n" + _line("D", "  ", "01/02/2013", "T", "A", '"ACME, LTD"', "X",
-                                       '"1,234.56"') + "\n")
+                                       '"1,234.56"', "", "", "", "C:\\x\\y") + "\n")
     r = read_spend(spark, str(p)).first()
+    assert r.ContractNumber == "C:\\x\\y"  # backslashes are data too
     assert r.Supplier == '"ACME, LTD"'
     assert r.Amount == '"1,234.56"'
     assert r.Entity == "  "          # whitespace is kept

@@ -94,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
     load.add_argument("--encoding", default="UTF-8")
     load.add_argument("--repair-xml", action="store_true", help="escape bare '&' first")
     load.add_argument("--case-insensitive", action="store_true",
-                      help="reject list and redaction ignore case")
+                      help="ignore case (and trailing spaces in keys) everywhere")
     load.add_argument("--exact-counters", action="store_true",
                       help="recount the step counters in a separate pass (exact under "
                            "stage retries)")

@@ -47,7 +47,10 @@ def stage_counters(staging: DataFrame, rejects: DataFrame, case_insensitive: boo
         F.count_if(kept).alias("CleanRowCount"),
         F.count_if(kept & F.col("DateOfPayment").isNull()).alias("InvalidDateCount"),
         F.count_if(kept & F.col("Amount").isNull()).alias("InvalidAmountCount"))
-    groups = (flagged.where(kept).groupBy(*NATURAL_KEY).agg(F.count(F.lit(1)).alias("n"))
+    types = dict(flagged.dtypes)
+    natural = [F.lower(F.rtrim(F.col(k))) if case_insensitive and types[k] == "string"
+               else F.col(k) for k in NATURAL_KEY]
+    groups = (flagged.where(kept).groupBy(*natural).agg(F.count(F.lit(1)).alias("n"))
               .agg(F.count_if(F.col("n") > 1).alias("DuplicateGroups"),
                    F.count(F.lit(1)).alias("RowCount_AfterDeDup")))
     listed = rejects.agg(F.count(F.lit(1)).alias("InvalidSupplierCount"))

@@ -91,16 +91,25 @@ def duplicate_audit(df: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFra
               .where(F.col("DuplicateCount") > 1))
 
 
-def dedup(df: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str] = NATURAL_KEY,
+          case_insensitive: bool = False) -> DataFrame:
     """Keep one row per natural key (NULLs compare equal).
 
     The survivor is the first row in the order of all remaining columns
     (NULLs first), so reruns and other engines pick the same row.  The rank
     filter sits right on ROW_NUMBER, so Spark applies it on both sides of
     the shuffle (WindowGroupLimit): a hot key sends at most one row per map
-    task across the network.
+    task across the network.  With ``case_insensitive`` text keys compare
+    ignoring case and trailing spaces (a server-style collation); the key
+    spellings then break remaining ties.
     """
     rest = [c for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
+    order = [F.col(c).asc_nulls_first() for c in rest]
+    part = list(keys)
+    if case_insensitive:
+        types = dict(df.dtypes)
+        part = [F.lower(F.rtrim(F.col(k))) if types[k] == "string" else F.col(k) for k in keys]
+        order += [F.col(k).asc_nulls_first() for k in keys]
+    w = Window.partitionBy(*part).orderBy(*order)
     return (df.withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") == 1).drop("_rn"))

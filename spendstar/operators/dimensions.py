@@ -65,8 +65,32 @@ def build_date_dimension(clean: DataFrame, column: str = "DateOfPayment",
     return dense_keys(dates, ["FullDate"], key, name="DimDate").select(*_date_columns(key))
 
 
-def build_dimensions(clean: DataFrame, path: str | None = None) -> dict[str, DataFrame]:
-    """All five dimensions from one scan of ``clean``, keyed by table name."""
+def canonical_spellings(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Case-insensitive members: each text value becomes its class's spelling.
+
+    A class is all values of one column of one dimension that are equal
+    ignoring case; its spelling is the smallest in binary order, so reruns
+    agree.  The class table is an aggregate (map-side combined) joined back;
+    NULL stays NULL.  Members that become equal collapse into one.
+    """
+    for c in columns:
+        key = F.lower(F.col(c))
+        spelling = (members.where(F.col(c).isNotNull())
+                    .groupBy("dim", key.alias("_ci")).agg(F.min(c).alias("_canon")))
+        members = (members.withColumn("_ci", key)
+                   .join(spelling, ["dim", "_ci"], "left")
+                   .withColumn(c, F.coalesce(F.col("_canon"), F.col(c)))
+                   .drop("_ci", "_canon"))
+    return members.distinct()
+
+
+def build_dimensions(clean: DataFrame, path: str | None = None,
+                     case_insensitive: bool = False) -> dict[str, DataFrame]:
+    """All five dimensions from one scan of ``clean``, keyed by table name.
+
+    With ``case_insensitive`` members that differ only in case are one
+    member, spelled as :func:`canonical_spellings` chooses.
+    """
     attrs: dict[str, str] = {}
     sets: dict[str, list[str]] = {}
     for name, (_key, cols) in DIMENSIONS.items():
@@ -89,6 +113,8 @@ def build_dimensions(clean: DataFrame, path: str | None = None) -> dict[str, Dat
         dim_of = F.when(F.col("_gid") == g, F.lit(n)).otherwise(dim_of)
     members = (members.select(dim_of.alias("dim"), *names)
                       .where((F.col("dim") != date_name) | F.col("FullDate").isNotNull()))
+    if case_insensitive:
+        members = canonical_spellings(members, [n for n in names if n != "FullDate"])
     base = path or scratch_path(clean.sparkSession, "dimensions")
     keyed = dense_keys(members, names, "_key", by="dim", name="dimensions",
                        partition_by=["dim"], path=base)

@@ -45,25 +45,32 @@ DIAGNOSTIC_NAMES = {
 }
 
 
-def match_dimensions(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Clean rows with the five dimension keys (NULL where a dimension missed)."""
+def match_dimensions(clean: DataFrame, dims: dict[str, DataFrame],
+                     case_insensitive: bool = False) -> DataFrame:
+    """Clean rows with the five dimension keys (NULL where a dimension missed).
+
+    With ``case_insensitive`` text keys compare ignoring case on both sides.
+    """
+    def k(c):
+        return F.lower(c) if case_insensitive else c
+
     rows = clean.select(
         "*",
-        norm_text("Department").alias("_dept"),
-        norm_text("Entity").alias("_ent"),
-        norm_text("Supplier").alias("_sup"),
-        norm_key("SupplierPostCode").alias("_pc"),
-        norm_key("SupplierType").alias("_st"),
-        norm_text("ExpenseType").alias("_et"),
-        norm_text("ExpenseArea").alias("_ea"),
+        k(norm_text("Department")).alias("_dept"),
+        k(norm_text("Entity")).alias("_ent"),
+        k(norm_text("Supplier")).alias("_sup"),
+        k(norm_key("SupplierPostCode")).alias("_pc"),
+        k(norm_key("SupplierType")).alias("_st"),
+        k(norm_text("ExpenseType")).alias("_et"),
+        k(norm_text("ExpenseArea")).alias("_ea"),
     )
     org = dims["DimOrganisation"].select(
-        "OrganisationID", F.col("Department").alias("_dept"), F.col("Entity").alias("_ent"))
+        "OrganisationID", k(F.col("Department")).alias("_dept"), k(F.col("Entity")).alias("_ent"))
     sup = dims["DimSupplier"].select(
-        "SupplierID", F.col("SupplierName").alias("_sup"),
-        norm_key("SupplierPostCode").alias("_pc"), norm_key("SupplierType").alias("_st"))
-    et = dims["DimExpenseType"].select("ExpenseTypeID", F.col("ExpenseType").alias("_et"))
-    ea = dims["DimExpenseArea"].select("ExpenseAreaID", F.col("ExpenseArea").alias("_ea"))
+        "SupplierID", k(F.col("SupplierName")).alias("_sup"),
+        k(norm_key("SupplierPostCode")).alias("_pc"), k(norm_key("SupplierType")).alias("_st"))
+    et = dims["DimExpenseType"].select("ExpenseTypeID", k(F.col("ExpenseType")).alias("_et"))
+    ea = dims["DimExpenseArea"].select("ExpenseAreaID", k(F.col("ExpenseArea")).alias("_ea"))
     dd = dims["DimDate"].select("DateID", F.col("FullDate").alias("_date"))
     joined = (rows
               .join(org, ["_dept", "_ent"], "left")
@@ -89,7 +96,8 @@ def fact_rows(matched: DataFrame, year_column: bool = False) -> DataFrame:
 
 
 def build_fact(clean: DataFrame, dims: dict[str, DataFrame],
-               observation: Observation | None = None, year_column: bool = False) -> DataFrame:
+               observation: Observation | None = None, year_column: bool = False,
+               case_insensitive: bool = False) -> DataFrame:
     """FactInvoice: FactID (unique BIGINT), five keys, Amount, TransactionNumber, Description.
 
     ``year_column`` adds ``PaymentYear`` for a year-partitioned layout.
@@ -99,7 +107,7 @@ def build_fact(clean: DataFrame, dims: dict[str, DataFrame],
     (``NoOrganisationMatch`` ... ``NoDateMatch``), the fact rows
     (``FactRows``) and the latest DateID (``MaxDateID``).
     """
-    matched = match_dimensions(clean, dims)
+    matched = match_dimensions(clean, dims, case_insensitive)
     if observation is not None:
         miss = [F.count_if(F.col(k).isNull()).alias(n) for k, n in MISS_COUNTERS.items()]
         hit = F.lit(True)

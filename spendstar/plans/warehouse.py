@@ -108,7 +108,8 @@ def clean_steps(staging: DataFrame, rejects: DataFrame, *, case_insensitive: boo
     redacted = redact(rejected, redact_patterns, replacement, redact_columns,
                       case_insensitive=case_insensitive)
     typed = type_columns(redacted)
-    return CleanSteps(staging, rejects, rejected, redacted, typed, dedup(typed))
+    return CleanSteps(staging, rejects, rejected, redacted, typed,
+                      dedup(typed, case_insensitive=case_insensitive))
 
 
 def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None = None,
@@ -157,14 +158,15 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
     def target(name: str) -> str | None:
         return os.path.join(path, name) if path else None
 
-    clean = materialize(dedup(typed), "Invoice_Clean", target("Invoice_Clean"))
+    clean = materialize(dedup(typed, case_insensitive=case_insensitive), "Invoice_Clean",
+                        target("Invoice_Clean"))
     lap("clean")
     counters = _observed(obs, LOAD_COUNTERS)
     if exact_counters:
         exact = stage_counters(staging, rejects, case_insensitive=case_insensitive,
                                redact_columns=redact_columns).collect()  # nine rows
         counters.update({r.metric: int(r.value) for r in exact if r.metric in counters})
-    dims = build_dimensions(clean, path=target("dimensions"))
+    dims = build_dimensions(clean, path=target("dimensions"), case_insensitive=case_insensitive)
     lap("dimensions")
     # The fact is stored in one folder per payment year, and each file is
     # sorted by DateID so Parquet row-group min/max stay tight: date-window
@@ -173,7 +175,7 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
     # Row loss per dimension is counted by the same pass (K4 in flight).
     fact_obs = Observation("fact")
     fact = materialize(
-        build_fact(clean, dims, fact_obs, year_column=True)
+        build_fact(clean, dims, fact_obs, year_column=True, case_insensitive=case_insensitive)
         .sortWithinPartitions(PARTITION_COLUMN, "DateID"),
         "FactInvoice", target("FactInvoice"), partition_by=[PARTITION_COLUMN])
     counters.update(_observed(fact_obs, FACT_COUNTERS))

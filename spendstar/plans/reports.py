@@ -97,10 +97,12 @@ def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int, int, int] |
         return None
     d = wh.dim_date
     end = d.where(F.col("DateID") == hi).select(
-        "Year", F.add_months("FullDate", -months).alias("start")).first()
-    lo = (d.where(F.col("FullDate") <= F.lit(end.start))
-           .agg(F.coalesce(F.max("DateID"), F.lit(0))).first()[0])
-    return int(lo), int(hi), end.start.year, end.Year
+        F.col("Year").alias("_last_year"), F.add_months("FullDate", -months).alias("_start"))
+    # one action: the window start (one row) and the last DateID on or before it
+    before = (d.join(F.broadcast(end), F.col("FullDate") <= F.col("_start"))
+               .agg(F.coalesce(F.max("DateID"), F.lit(0)).alias("_lo")))
+    row = end.crossJoin(before).first()
+    return int(row._lo), int(hi), row._start.year, row._last_year
 
 
 def expense_types_above_avg(wh: Warehouse, months: int = 2, ordered: bool = False) -> DataFrame:

@@ -199,23 +199,18 @@ above AS (
   FROM two CROSS JOIN avgd WHERE two.TwoMonthTotal > avgd.AvgTwoMonth
 )"""
 
-Q5_CTES = WAREHOUSE + f""",
-base AS (
-  SELECT s.SupplierName, CAST(d.Year AS INTEGER) AS Year,
-         CAST(quarter(d.FullDate) AS INTEGER) AS Quarter, CAST(month(d.FullDate) AS INTEGER) AS Month,
+Q5_CTES = WAREHOUSE + """,
+supplier_months AS (
+  SELECT s.SupplierName, CAST(year(d.FullDate) AS INTEGER) AS Year,
+         CAST(quarter(d.FullDate) AS INTEGER) AS Quarter,
+         CAST(month(d.FullDate) AS INTEGER) AS Month,
          CAST(sum(f.Amount) AS DECIMAL(38,2)) AS MonthlyTotal
-  FROM fact f
-  JOIN dim_sup s ON s.SupplierID = f.SupplierID
-  JOIN dim_date d ON d.DateID = f.DateID
-  GROUP BY s.SupplierName, d.Year, quarter(d.FullDate), month(d.FullDate)
+  FROM fact f JOIN dim_sup s USING (SupplierID) JOIN dim_date d USING (DateID)
+  GROUP BY ALL
 ),
-enriched AS (
-  SELECT *,
-    CAST(sum(MonthlyTotal) OVER (PARTITION BY SupplierName, Year ORDER BY Quarter, Month
-         ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS SupplierYearToDate,
-    CAST(sum(MonthlyTotal) OVER (PARTITION BY Year, Quarter) AS DECIMAL(38,2))
-         AS QuarterTotalAllSuppliers
-  FROM base
+quarter_totals AS (
+  SELECT Year, Quarter, CAST(sum(MonthlyTotal) AS DECIMAL(38,2)) AS QuarterTotalAllSuppliers
+  FROM supplier_months GROUP BY ALL
 )"""
 
 
@@ -299,36 +294,27 @@ def _counters_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     nullif_all = ", ".join(f"nullif({c}, '') AS {c}" for c in SPEND_COLUMNS)
     q4 = _with(WAREHOUSE + """,
-base AS (
-  SELECT ea.ExpenseArea, CAST(d.Year AS INTEGER) AS Year, CAST(d.Month AS INTEGER) AS Month,
-         CAST(sum(f.Amount) AS DECIMAL(38,2)) AS TotalSpent
-  FROM fact f
-  JOIN dim_ea ea ON ea.ExpenseAreaID = f.ExpenseAreaID
-  JOIN dim_date d ON d.DateID = f.DateID
-  GROUP BY ea.ExpenseArea, d.Year, d.Month
-),
-ranked AS (
-  SELECT *, CAST(rank() OVER (PARTITION BY Year, Month ORDER BY TotalSpent DESC NULLS LAST)
-                 AS INTEGER) AS RankNow
-  FROM base
-),
-prev AS (
-  SELECT *, lag(RankNow) OVER (PARTITION BY ExpenseArea ORDER BY Year, Month) AS PrevRank
-  FROM ranked
+area_months AS (
+  SELECT ea.ExpenseArea, d.Year, d.Month, CAST(sum(f.Amount) AS DECIMAL(38,2)) AS TotalSpent
+  FROM fact f JOIN dim_ea ea USING (ExpenseAreaID) JOIN dim_date d USING (DateID)
+  GROUP BY ALL
 )""", """
-SELECT ExpenseArea, Year, Month, TotalSpent, RankNow, PrevRank,
-       CASE WHEN PrevRank IS NULL THEN NULL ELSE PrevRank - RankNow END AS Movement,
-       Year * 10000 + Month * 100 + RankNow AS SortKey
-FROM prev WHERE RankNow <= 10""")
+SELECT *, PrevRank - RankNow AS Movement, Year * 10000 + Month * 100 + RankNow AS SortKey
+FROM (SELECT *, lag(RankNow) OVER (PARTITION BY ExpenseArea ORDER BY Year, Month) AS PrevRank
+      FROM (SELECT *, CAST(rank() OVER (PARTITION BY Year, Month
+                                        ORDER BY TotalSpent DESC NULLS LAST) AS INTEGER) AS RankNow
+            FROM area_months))
+WHERE RankNow <= 10""")
     pct = _round_div_micro(f"CAST(100 AS HUGEINT) * {_cents('MonthlyTotal')}",
                            _cents("QuarterTotalAllSuppliers"))
     q5 = _with(Q5_CTES, f"""
-SELECT SupplierName, Year, Quarter, Month,
-       strftime(make_date(Year, Month, 1), '%B %Y') AS MonthLabel,
-       MonthlyTotal, SupplierYearToDate, QuarterTotalAllSuppliers,
-       CASE WHEN QuarterTotalAllSuppliers = 0 THEN NULL ELSE {pct} END
-         AS MonthlyShareOfQuarterPercent
-FROM enriched""")
+SELECT m.SupplierName, m.Year, m.Quarter, m.Month,
+       strftime(make_date(m.Year, m.Month, 1), '%B %Y') AS MonthLabel, m.MonthlyTotal,
+       CAST(sum(m.MonthlyTotal) OVER (PARTITION BY m.SupplierName, m.Year
+            ORDER BY m.Month ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS SupplierYearToDate,
+       q.QuarterTotalAllSuppliers,
+       CASE WHEN q.QuarterTotalAllSuppliers <> 0 THEN {pct} END AS MonthlyShareOfQuarterPercent
+FROM supplier_months m JOIN quarter_totals q USING (Year, Quarter)""")
     json_doc = _with(Q3_CTES, f"""
 SELECT '{{"{EXPENSE_JSON_ROOT}":' || CAST(to_json(list(
          {{'ExpenseType': ExpenseType, 'TwoMonthTotal': TwoMonthTotal,

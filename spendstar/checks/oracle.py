@@ -291,6 +291,23 @@ def _counters_sql() -> str:
     return _with(CLEAN, "\nUNION ALL\n".join(selects))
 
 
+def _dimension_samples_sql() -> str:
+    layout = [
+        ("DimOrganisation", "dim_org", "OrganisationID", ["Department", "Entity"]),
+        ("DimSupplier", "dim_sup", "SupplierID",
+         ["SupplierName", "SupplierPostCode", "SupplierType"]),
+        ("DimExpenseType", "dim_et", "ExpenseTypeID", ["ExpenseType"]),
+        ("DimExpenseArea", "dim_ea", "ExpenseAreaID", ["ExpenseArea"]),
+        ("DimDate", "dim_date", "DateID", ["FullDate", "Year", "Month", "MonthName"]),
+    ]
+    parts = []
+    for name, cte, key, cols in layout:
+        member = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in cols)
+        parts.append(f"(SELECT '{name}' AS dimension, {key} AS id, "
+                     f"concat_ws(' | ', {member}) AS member FROM {cte} ORDER BY {key} LIMIT 10)")
+    return _with(WAREHOUSE, "\nUNION ALL\n".join(parts))
+
+
 def oracle_sql() -> dict[str, str]:
     nullif_all = ", ".join(f"nullif({c}, '') AS {c}" for c in SPEND_COLUMNS)
     q4 = _with(WAREHOUSE + """,
@@ -366,4 +383,5 @@ ORDER BY DateOfPayment DESC NULLS LAST, TransactionNumber NULLS FIRST, Supplier
          Amount NULLS FIRST, Department NULLS FIRST, Entity NULLS FIRST
 LIMIT 50"""),
         "first_rejects": _with(STAGING, "SELECT SupplierName FROM rejects ORDER BY SupplierName LIMIT 20"),
+        "dimension_samples": _dimension_samples_sql(),
     }

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from spendstar.constants import SPEND_COLUMNS
 from spendstar.operators.audit import clean_vs_fact, integrity, stage_counters
 from spendstar.operators.cleaning import duplicate_audit
+from spendstar.operators.dimensions import DIMENSIONS
 from spendstar.operators.fact import unmatched
 from spendstar.plans import reports
 from spendstar.plans.publish import publish
@@ -84,6 +85,30 @@ def _staging_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Department", "Entity", "DateOfPayment", "Amount", "Supplier", "ExpenseType").limit(50)
 
 
+def _dimension_samples(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
+    """The first ``n`` members of each dimension by key, as [dimension, id, member]."""
+    wh = warehouse_for(spark, sf_dir)
+    layout = {name: (key, list(cols)) for name, (key, cols) in DIMENSIONS.items()}
+    layout["DimDate"] = ("DateID", ["FullDate", "Year", "Month", "MonthName"])
+    out = None
+    for name, (key, cols) in layout.items():
+        member = F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL"))
+                                      for c in cols])
+        part = (wh.dims[name].orderBy(key).limit(n)
+                .select(F.lit(name).alias("dimension"), F.col(key).alias("id"),
+                        member.alias("member")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _fact_sample(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
+    """The first ``n`` fact rows by FactID (ids are engine-specific: rows-only)."""
+    fact = warehouse_for(spark, sf_dir).fact
+    return fact.orderBy("FactID").limit(n).select(
+        "FactID", "OrganisationID", "SupplierID", "ExpenseTypeID", "ExpenseAreaID", "DateID",
+        "Amount", "TransactionNumber")
+
+
 def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(warehouse_for(spark, sf_dir), scratch_path(spark, "published"))
 
@@ -120,5 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_payments": _latest_payments,
     "first_rejects": _first_rejects,
     "staging_sample": _staging_sample,
+    "dimension_samples": _dimension_samples,
+    "fact_sample": _fact_sample,
     "publish_warehouse": _publish,
 }

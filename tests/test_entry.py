@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"staging_sample", "publish_warehouse"}
+ROWS_ONLY = {"staging_sample", "publish_warehouse", "fact_sample"}
 
 
 def _norm(v):

@@ -7,8 +7,9 @@ averages and percentages DECIMAL(38,6), never floating point.
 Plan shape: aggregate the fact by surrogate keys first (partial aggregation
 on the map side, so a hot supplier or area costs one row per task in the
 shuffle), then join the small aggregated result to dimension names.  Only
-frames with a proven row bound are broadcast by hint: top-k rows (k), one-row
-scalars, and per-quarter totals (four per calendar year).
+frames with a proven row bound are broadcast by hint: top-k rows (k) and
+per-quarter totals (four per calendar year); one-row values are scalar
+subqueries.
 """
 
 from __future__ import annotations
@@ -96,12 +97,13 @@ def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int, int, int] |
     if hi is None:
         return None
     d = wh.dim_date
-    end = d.where(F.col("DateID") == hi).select(
-        F.col("Year").alias("_last_year"), F.add_months("FullDate", -months).alias("_start"))
-    # one action: the window start (one row) and the last DateID on or before it
-    before = (d.join(F.broadcast(end), F.col("FullDate") <= F.col("_start"))
-               .agg(F.coalesce(F.max("DateID"), F.lit(0)).alias("_lo")))
-    row = end.crossJoin(before).first()
+    end = d.where(F.col("DateID") == hi)
+    start = end.select(F.add_months("FullDate", -months)).scalar()
+    # one action: the window start and the last DateID on or before it
+    lo = d.where(F.col("FullDate") <= start).agg(
+        F.coalesce(F.max("DateID"), F.lit(0))).scalar()
+    row = end.select(F.col("Year").alias("_last_year"), start.alias("_start"),
+                     lo.alias("_lo")).first()
     return int(row._lo), int(hi), row._start.year, row._last_year
 
 
@@ -122,10 +124,10 @@ def expense_types_above_avg(wh: Warehouse, months: int = 2, ordered: bool = Fals
         window = window.where(F.col(PARTITION_COLUMN).between(first_year, last_year))
     by_id = window.groupBy("ExpenseTypeID").agg(_total("Amount").alias("TwoMonthTotal"))
     totals = by_id.join(wh.dim_expense_type, "ExpenseTypeID").select("ExpenseType", "TwoMonthTotal")
-    avg = totals.agg(F.avg("TwoMonthTotal").cast(RATIO_TYPE).alias("AvgTwoMonth"))
-    out = (totals.crossJoin(F.broadcast(avg))  # one row
-                 .where(F.col("TwoMonthTotal") > F.col("AvgTwoMonth"))
-                 .select("ExpenseType", "TwoMonthTotal", "AvgTwoMonth"))
+    # the unweighted average as a scalar subquery (computed once, no join)
+    avg = totals.agg(F.avg("TwoMonthTotal").cast(RATIO_TYPE)).scalar()
+    out = (totals.where(F.col("TwoMonthTotal") > avg)
+                 .select("ExpenseType", "TwoMonthTotal", avg.alias("AvgTwoMonth")))
     return _ordered(out, ordered, F.col("TwoMonthTotal").desc_nulls_last(), "ExpenseType")
 
 

@@ -2,6 +2,7 @@
 
     python -m spendstar load --spend 'raw/*.txt' --rejects suppliers.xml --out wh/
     python -m spendstar report top_suppliers --warehouse wh/ [--output out/] [--ordered]
+    python -m spendstar ingest --inbox raw/ --staging staging/   # append new files once
     python -m spendstar views                           # list the report view names
 
 ``load`` prints the step counters, the row loss per dimension and the
@@ -29,6 +30,7 @@ from spendstar.plans.warehouse import build_warehouse, open_warehouse
 from spendstar.session import DEFAULT_CONF
 from spendstar.sources.delimited import read_spend
 from spendstar.sources.reject_list import read_reject_list
+from spendstar.streaming.ingest import ingest_spend
 
 REPORTS = {
     "top_suppliers": reports.top_suppliers,
@@ -65,6 +67,14 @@ def _load(args) -> int:
     return 1 if violations else 0
 
 
+def _ingest(args) -> int:
+    spark = _session()
+    ingest_spend(spark, args.inbox, args.staging, checkpoint=args.checkpoint,
+                 sep=args.sep).awaitTermination()
+    print(json.dumps({"staging_rows": spark.read.parquet(args.staging).count()}))
+    return 0
+
+
 def _report(args) -> int:
     spark = _session()
     wh = open_warehouse(spark, args.warehouse)
@@ -104,12 +114,19 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--output")
     rep.add_argument("--ordered", action="store_true", help="apply the procedure's ORDER BY")
     rep.add_argument("--rows", type=int, default=20)
+    ing = sub.add_parser("ingest", help="append newly arrived spend files to a staging table")
+    ing.add_argument("--inbox", required=True, help="folder the spend files arrive in")
+    ing.add_argument("--staging", required=True, help="Parquet staging table (shared storage)")
+    ing.add_argument("--checkpoint", help="stream checkpoint (default: under spark.checkpoint.dir)")
+    ing.add_argument("--sep", default="\t")
     sub.add_parser("views", help="list the report view names")
     args = p.parse_args(argv)
     if args.cmd == "load":
         return _load(args)
     if args.cmd == "report":
         return _report(args)
+    if args.cmd == "ingest":
+        return _ingest(args)
     print("\n".join(VIEW_NAMES))
     return 0
 

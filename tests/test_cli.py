@@ -21,3 +21,15 @@ def test_load_then_report(spark, tmp_path, capsys):
     assert [r[0] for r in rows] == ["ACME LTD", "BETA", "BETA"]
     assert main(["report", "area_rank_movement", "--warehouse", wh, "--ordered"]) == 0
     assert "North" in capsys.readouterr().out
+
+
+def test_ingest_then_views(spark, tmp_path, capsys):
+    write_spend(toy.staging(spark).coalesce(1), str(tmp_path / "inbox"))
+    args = ["ingest", "--inbox", str(tmp_path / "inbox"), "--staging", str(tmp_path / "stg"),
+            "--checkpoint", str(tmp_path / "ckpt")]
+    assert main(args) == 0
+    assert '"staging_rows": 14' in capsys.readouterr().out
+    assert main(args) == 0  # nothing new: still 14
+    assert '"staging_rows": 14' in capsys.readouterr().out
+    assert main(["views"]) == 0
+    assert "vw_Top3Suppliers" in capsys.readouterr().out

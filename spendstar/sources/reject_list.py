@@ -79,14 +79,24 @@ def read_reject_list(spark: SparkSession, paths: str | Iterable[str],
                      repair: bool = False, validate: bool = True) -> DataFrame:
     """Supplier names to reject, one row each (column ``SupplierName``).
 
-    Malformed XML raises :class:`RejectListError` (root check, eager) or a
-    Spark parse error (FAILFAST, when the rows are first evaluated).
+    Malformed XML raises :class:`RejectListError` at read time (root check,
+    then a FAILFAST parse of the records) unless ``validate=False``.
     Elements without the attribute carry no name and are dropped.
     """
     paths = _paths(paths)
     if validate:
         check_roots(spark, paths)
     names = _read_repaired(spark, paths) if repair else _read_records(spark, paths)
+    if validate:
+        # Parse now (counting the parsed column forces it), so a malformed
+        # record stops the load here with a clear message, not mid-load.
+        try:
+            names.agg(F.count(F.col(REJECT_ATTRIBUTE))).collect()
+        except Exception as e:  # Spark's FAILFAST parse error
+            first = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
+            raise RejectListError(
+                "XML parsing failed (escape bare '&' as '&amp;' or use repair=True): "
+                + first[:300]) from e
     return names.where(F.col(REJECT_ATTRIBUTE).isNotNull())
 
 

@@ -97,8 +97,8 @@ def test_reject_list_bare_ampersand_raises(spark, tmp_path):
                           '  <Supplier SupplierName="A & B" />\n'
                           '  <Supplier SupplierName="C" />\n'
                           "</Suppliers>\n")
-    with pytest.raises(Exception):
-        read_reject_list(spark, path).collect()
+    with pytest.raises(RejectListError, match="XML parsing failed"):
+        read_reject_list(spark, path)
 
 
 def test_reject_list_repair_escapes_bare_ampersand(spark, tmp_path):

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import (feistel_shard, fm_quality, minhash_dedup, mix_sources, pow2_pack, toxicity_chain)
+from spendstar.llm import (feistel_shard, fm_quality, kdtree_search, minhash_dedup, mix_sources,
+                           pii_sanitise, pow2_pack, syncmers, toxicity_chain)
 from spendstar.llm.common import table
 
 #: The vocabulary file's place is a parameter; this is the registered queries' choice.
@@ -39,6 +40,28 @@ def op3_pow2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "doc_tokens", "sequence_id", "offset")
 
 
+def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = syncmers.fingerprints(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256",
+                      syncmers.as_string(F.col("sketch")).alias("fingerprint"),
+                      syncmers.as_string(F.col("edited_sketch")).alias("edited_fingerprint"),
+                      "near_edited", "near_next")
+
+
+def op5_kdtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree_search.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op6_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_sanitise.spans(table(spark, sf_dir, "documents"))
+    base = F.concat(*[pii_sanitise.joined(kind, F.col(kind)) for kind in pii_sanitise.KINDS])
+    return out.select(
+        "doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii_sanitise.KINDS],
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, pii_sanitise.joined("term", F.col("terms"))), ",").alias("spans"),
+        F.size("terms").cast("long").alias("n_term"))
+
+
 def op7_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_feistel_shard": op2_feistel_shard,
     "op3_pow2_pack": op3_pow2_pack,
+    "op4_syncmers": op4_syncmers,
+    "op5_kdtree_search": op5_kdtree_search,
+    "op6_pii_sanitise": op6_pii_sanitise,
     "op7_fm_quality": op7_fm_quality,
     "op8_toxicity_chain": op8_toxicity_chain,
     "op10_sainte_lague_mix": op10_sainte_lague_mix,
@@ -63,4 +89,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB twins; queries whose method SQL cannot express are tested against
 #: brute force in tests/llm instead.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_kdtree_search": """
+        WITH v AS (
+            SELECT vec_id, min(list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE)))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            GROUP BY vec_id
+        ), scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored
+        QUALIFY rank <= 5""",
+}

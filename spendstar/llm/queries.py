@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendstar.llm import (feistel_shard, fm_quality, kdtree_search, minhash_dedup, mix_sources,
-                           pii_sanitise, pow2_pack, syncmers, toxicity_chain)
+                           pii_sanitise, pow2_pack, suffix_dedup, syncmers, toxicity_chain)
 from spendstar.llm.common import table
 
 #: The vocabulary file's place is a parameter; this is the registered queries' choice.
@@ -70,6 +70,11 @@ def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_chain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix_sources.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii_sanitise": op6_pii_sanitise,
     "op7_fm_quality": op7_fm_quality,
     "op8_toxicity_chain": op8_toxicity_chain,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sainte_lague_mix": op10_sainte_lague_mix,
 }
 

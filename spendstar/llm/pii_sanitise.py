@@ -93,6 +93,13 @@ def joined(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["stop"]))
 
 
+def _with(spans: str, **fields: Column | None) -> Column:
+    """[start, stop, fields] of a column of spans; a field given as None is the span's own."""
+    return F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), s["stop"].alias("stop"),
+        *[(s[name] if value is None else value).alias(name) for name, value in fields.items()]))
+
+
 def _near(text: Column, spans: Column) -> Column:
     """The terms around each span: [entity, term, start, stop]."""
     def around(s: Column) -> Column:
@@ -124,9 +131,7 @@ def found(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.withColumn("k", F.xxhash64("doc_id", "text"))
     rows = rows.select("doc_id", "k", "text", *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
-    every = F.concat(*[F.transform(kind, lambda s, kind=kind: F.struct(
-        F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
-        s["found"].alias("found"))) for kind in KINDS])
+    every = F.concat(*[_with(kind, kind=F.lit(kind), found=None) for kind in KINDS])
     near = F.when(F.size(every) > 0, let(every, lambda e: _near(F.col("text"), e)))
     return rows.select("doc_id", "k", *KINDS, near.alias("near"))
 
@@ -178,9 +183,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     generalised term, nothing for a removed one) and ``n_chars``, if there is
     such a column, brought up to date."""
     marked = spans(docs).dropDuplicates(["k"])
-    labels = [F.transform(kind, lambda s, kind=kind: F.struct(
-        s["start"].alias("start"), s["stop"].alias("stop"), F.lit(f"[{kind.upper()}]").alias("label")))
-        for kind in KINDS]
+    labels = [_with(kind, label=F.lit(f"[{kind.upper()}]")) for kind in KINDS]
     term = F.transform("terms", lambda s: F.struct(
         s["start"].alias("start"), s["stop"].alias("stop"),
         F.when(s["share"] >= REMOVE, "").otherwise("[TERM]").alias("label")))

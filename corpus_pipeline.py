@@ -32,9 +32,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, in whole copies: the
-    words taken divided by its size, rounded half up, so 0 to 3 times.
-    Documents without words stay once: no source pays for them."""
+    """Each document in as many whole copies as the mix takes of its words (0 to
+    3, a fraction by a keyed draw); documents without words stay once."""
     return mix_sources.repeated(docs)
 
 

@@ -116,22 +116,21 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, shards: int = 16, block: int
                                  "target double, shard int, quota long, taken long")
 
 
-def repeated(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as its taken words fill it (rounded
-    half up); rows without words once.  Equal (doc_id, source, size) rows take
-    what their documents take on average."""
-    taken = mix(docs.select("doc_id", "source", "text"), **options)
-    share = (taken.groupBy("doc_id", "source", "size")
-                  .agg(F.sum("taken").alias("taken"), F.count("*").alias("n")))
+def repeated(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
+    """The rows of ``docs`` in whole copies: the words a document takes divided by
+    its size, rounded up or down by a keyed draw with that mean (so sources keep
+    their targets on average; 0 to ``max_repeats`` copies).  Rows without words
+    stay once.  Rows that repeat (doc_id, source) get the most of their draws."""
+    taken = mix(docs.select("doc_id", "source", "text"), seed=seed, **options)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed), F.lit("copies")), F.lit(1 << 20)) / F.lit(1 << 20)
     copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(
-        F.floor(F.col("taken") / (F.col("n") * F.col("size")) + 0.5).cast("int"))
-    share = share.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-                         copies.alias("_copies")).where(F.col("_copies") > 0)
+        F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + draw).cast("int"))
+    share = (taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
+                  .agg(F.max(copies).alias("_copies")).where(F.col("_copies") > 0))
     key = (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
            & F.col("source").cast("string").eqNullSafe(F.col("_source")))
-    rows = docs.join(share.groupBy("_id", "_source").agg(F.max("_copies").alias("_copies")), key)
     again = F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_again")
-    return rows.select(*docs.columns, again).drop("_again")
+    return docs.join(share, key).select(*docs.columns, again).drop("_again")
 
 
 def _sizes(batches):

@@ -36,7 +36,7 @@ SIZE = 72
 DEPTH = 3
 ORDERS = SIZE // DEPTH
 SORT_DEPTH = 12
-NEIGHBOURS = 8
+NEIGHBOURS = 4
 #: In crowded regions, members still apart: rows that follow, best ones confirmed.
 CROWD_REACH, CROWD_BEST = 64, 4
 #: Least agreement of signatures for a check on the sets: five standard
@@ -180,13 +180,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _regions(reps: DataFrame) -> DataFrame:
-    """One row per representative and order in which its region has other members."""
+    """One row per representative and order in which its region has other members.
+    Signatures join the rows that are left, not the exploded ones."""
     order = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1)))
     rows = reps.select("id", "signature", order.alias("tree"))
     lead = F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})")
-    rows = rows.withColumn("region", F.xxhash64("tree", lead))
+    rows = rows.select("id", "tree", F.xxhash64("tree", lead).alias("region"))
     crowded = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
-    return rows.join(crowded, "region")
+    return rows.join(crowded, "region").join(reps, "id")
 
 
 def _sorted_pairs(rows: DataFrame, reach: int, most: int | None = None) -> DataFrame:

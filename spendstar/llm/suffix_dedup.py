@@ -112,20 +112,42 @@ def _counted(buckets: int):
     return run
 
 
-def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(tag, codes): by content tag, the bucket's anchors of two or more contents."""
-    low = np.frombuffer(b"".join(pdf["low"]), np.uint32).astype(np.uint64)
-    tag = np.frombuffer(b"".join(pdf["tag"]), np.uint32).astype(np.uint64)
-    pair = np.unique((low << np.uint64(32)) | tag)
-    low = pair >> np.uint64(32)
-    same = np.concatenate([[False], low[1:] == low[:-1]])
-    pair = pair[same | np.append(same[1:], False)]
-    tag = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+def _shared(buckets: int):
+    """(part, tag, code): the bucket's anchors of two or more contents, packed by
+    part of the content tags."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        low = np.frombuffer(b"".join(pdf["low"]), np.uint32).astype(np.uint64)
+        tag = np.frombuffer(b"".join(pdf["tag"]), np.uint32).astype(np.uint64)
+        pair = np.unique((low << np.uint64(32)) | tag)
+        low = pair >> np.uint64(32)
+        same = np.concatenate([[False], low[1:] == low[:-1]])
+        pair = pair[same | np.append(same[1:], False)]
+        tag = pair & np.uint64(0xFFFFFFFF)
+        part = (tag % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part, tag = part[order], tag[order].astype(np.uint32)
+        code = (np.uint64(pdf["bucket"].iloc[0]) << np.uint64(32)) | (pair[order] >> np.uint64(32))
+        cuts = np.append(_heads(part), len(part))
+        return pd.DataFrame({"part": part[cuts[:-1]],
+                             "tag": [tag[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
+                             "code": [code[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]})
+    return run
+
+
+def _heads(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    if not len(values):
+        return np.zeros(0, dtype=np.int64)
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+
+
+def _by_tag(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(tag, codes): all shared anchors of each content tag of a part."""
+    tag = np.frombuffer(b"".join(pdf["tag"]), np.uint32).astype(np.int64)
+    code = np.frombuffer(b"".join(pdf["code"]), np.uint64)
     order = np.argsort(tag, kind="stable")
-    tag = tag[order]
-    code = (np.uint64(pdf["bucket"].iloc[0]) << np.uint64(32)) | (pair[order] >> np.uint64(32))
-    heads = np.flatnonzero(np.concatenate([[True], tag[1:] != tag[:-1]])) if len(tag) else []
-    cuts = np.append(heads, len(tag)).astype(np.int64)
+    tag, code = tag[order], code[order]
+    cuts = np.append(_heads(tag), len(tag))
     return pd.DataFrame({"tag": tag[cuts[:-1]],
                          "codes": [code[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]})
 
@@ -141,7 +163,7 @@ def _snippets(buckets: int):
                 at = offsets[i:j + 1] - offsets[i]
                 code, first, last, row = anchors(part, at)
                 bucket, own = _codes(code, buckets)
-                wanted = np.frombuffer(b"".join(b"".join(x) for x in codes.slice(i, j - i).to_pylist()),
+                wanted = np.frombuffer(b"".join(codes.slice(i, j - i).to_pylist()),
                                        np.uint64)
                 use = np.flatnonzero(np.isin(own, wanted))
                 use = use[np.argsort(bucket[use], kind="stable")]
@@ -341,9 +363,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(8, -(-total // BUCKET_BYTES))
     tagged = rows.select("k", "text").mapInArrow(_counted(buckets), "bucket long, low binary, tag binary")
-    shared = shared_table(tagged.groupBy("bucket").applyInPandas(_shared, "tag long, codes binary"),
+    shared = tagged.groupBy("bucket").applyInPandas(_shared(buckets), "part long, tag binary, code binary")
+    by_tag = shared_table(shared.groupBy("part").applyInPandas(_by_tag, "tag long, codes binary"),
                           "suffix-shared")
-    by_tag = shared.groupBy("tag").agg(F.collect_list("codes").alias("codes"))
     wanted = (first.where(F.col("first") < LAST)
                    .withColumn("tag", F.col("k").bitwiseAND(F.lit(0xFFFFFFFF))).join(by_tag, "tag")
                    .select(F.col("first").alias("id"), "k", "codes"))

@@ -13,7 +13,7 @@ each for itself; an empty table gives no pieces.
 
 from __future__ import annotations
 
-import re
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -21,61 +21,91 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendstar.llm.common import buffers, doc_slices, shared_table
+from spendstar.llm.common import (buffers, doc_slices, lowered, shared_table, span_hashes,
+                                  word_spans)
 
 WINDOW = 2048
 END_ID = 1
-#: Letters whose lower case and normal form do not depend on their neighbours,
-#: then ASCII marks: such a word's ids are those of the letters and of the marks.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-_MEMO_WORDS, _MEMO_BYTES = 200_000, 16 << 20
+_KNOWN_RUNS = 1_000_000
+#: Byte classes: letters (all bytes above ASCII count as such), digits, marks.
+_KIND = np.full(256, 3, dtype=np.uint8)
+_KIND[48:58] = 2
+_KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
+#: A word with one of these is coded whole: control bytes, the apostrophe of
+#: contractions and "<", which may open a special token.
+_WHOLE = np.zeros(256, dtype=bool)
+_WHOLE[:33] = _WHOLE[127] = _WHOLE[39] = _WHOLE[60] = True
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray):
+    """(starts, ends, first run of each text) of the runs that the tokenizer codes
+    one by one: runs of one kind within a word of ASCII and Latin-1 letters, else
+    the whole word.  It drops blanks and never joins across runs."""
+    starts, ends, at = word_spans(data, offsets)
+    kind = _KIND[data]
+    lead, high = data == 0xC3, data >= 0x80
+    after = np.concatenate([[False], lead[:-1]]) & (data < 0xC0) & (data != 0x97) & (data != 0xB7)
+    whole = _WHOLE[data] | (high & ~lead & ~after)
+    count = np.concatenate([[0], np.cumsum(whole)])
+    odd = count[ends] > count[starts]
+    inside = np.zeros(len(data) + 1, dtype=np.int8)
+    inside[starts[~odd]] += 1
+    np.add.at(inside, ends[~odd], -1)
+    split = np.cumsum(inside[:-1]) > 0
+    split[1:] &= kind[1:] != kind[:-1]
+    split[starts] = True
+    first = np.flatnonzero(split)
+    word = np.searchsorted(starts, first, side="right") - 1
+    last = np.minimum(np.append(first[1:], len(data)), ends[word]) if len(first) else first
+    return first, last, np.searchsorted(first, offsets)
 
 
 class _Ids:
-    """Ids of blank-separated words as little-endian uint32 bytes, with a bounded
-    memo (the tokenizer drops blanks, so a text's ids are its words' in turn)."""
+    """Token ids of texts; a bounded memo in arrays keeps those of known runs."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.plain: dict[str, bytes] = {}
-        self.held = 0
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(c.ids, dtype="<u4").tobytes() for c in coded]
-
-    def learn(self, missing: set[bytes]) -> None:
-        size = sum(map(len, missing))
-        if len(self.words) > _MEMO_WORDS or self.held + size > _MEMO_BYTES:
-            self.words, self.held = {}, 0
-        if len(self.plain) > 2 * _MEMO_WORDS:
-            self.plain = {}
-        self.held += size
-        split, other = [], []
-        for w in missing:
-            m = _PLAIN.fullmatch(w.decode()) if len(w) <= 64 else None
-            (split if m else other).append((w, *m.groups()) if m else w)
-        split = [(w, letters.lower(), marks) for w, letters, marks in split]
-        new = {x for _, letters, marks in split for x in (letters, marks)} - self.plain.keys()
-        new = sorted(new)
-        self.plain.update(zip(new, self._encode(new)))
-        for w, letters, marks in split:
-            self.words[w] = self.plain[letters] + self.plain[marks]
-        self.words.update(zip(other, self._encode([w.decode() for w in other])))
-
-    def texts(self, texts: list[bytes]) -> list[bytes]:
-        parts = [t.split() for t in texts]  # ASCII blanks
-        distinct = set().union(*parts)
-        missing = distinct - self.words.keys()
-        if missing:
-            self.learn(missing)
-            missing = distinct - self.words.keys()  # after the memo was emptied
-            if missing:
-                self.learn(missing)
-        get = self.words.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        self._empty()
+
+    def _empty(self) -> None:
+        self.names = np.zeros(0, np.uint64)
+        self.start = self.size = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _learn(self, names: np.ndarray, runs: list[str]) -> None:
+        if len(self.names) + len(names) > max(_KNOWN_RUNS, len(names)):
+            self._empty()
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        start = len(self.flat) + np.cumsum(size) - size
+        names = np.concatenate([self.names, names])
+        order = np.argsort(names)
+        self.names = names[order]
+        self.start = np.concatenate([self.start, start])[order]
+        self.size = np.concatenate([self.size, size])[order]
+        self.flat = np.concatenate([self.flat, np.fromiter(
+            itertools.chain.from_iterable(coded), np.uint32, int(size.sum()))])
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in turn, number of ids of each)."""
+        starts, ends, at = _runs(data, offsets)
+        names, where, which = np.unique(span_hashes(lowered(data), starts, ends),
+                                        return_index=True, return_inverse=True)
+        for _ in range(2):  # twice where the memo was emptied
+            place = np.searchsorted(self.names, names)
+            place[place == len(self.names)] = 0
+            new = self.names[place] != names if len(self.names) else np.ones(len(names), dtype=bool)
+            if not new.any():
+                break
+            raw = data.tobytes()
+            self._learn(names[new], [raw[starts[i]:ends[i]].decode() for i in where[new]])
+        place = np.searchsorted(self.names, names)
+        size = self.size[place][which] if len(names) else np.zeros(0, np.int64)
+        to = np.concatenate([[0], np.cumsum(size)])
+        begin = self.start[place][which] if len(names) else size
+        flat = self.flat[np.repeat(begin - to[:-1], size) + np.arange(to[-1])]
+        return flat, np.diff(to[at])
 
 
 _LOADED: dict[str, _Ids] = {}
@@ -90,19 +120,17 @@ def piece_lengths(total: int, window: int = WINDOW) -> list[int]:
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, doc_tokens, ids (binary, little-endian uint32), and the
     piece's place ``_slot`` among those of its length in partition ``_part``."""
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def split(batches):
         ids = _LOADED.get(tokenizer) or _LOADED.setdefault(tokenizer, _Ids(tokenizer))
         part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
-            for i, j in doc_slices(offsets):
-                texts = [data[offsets[k]:offsets[k + 1]].tobytes() for k in range(i, j)]
-                rows, start, length, total, slot, raw = [], [], [], [], [], []
-                for k, coded in enumerate(ids.texts(texts)):
-                    raw += [coded, end]
-                    n, at = len(coded) // 4 + 1, 0
+            for i, j in doc_slices(offsets, 2 << 20):
+                flat, counts = ids.texts(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
+                rows, start, length, total, slot = [], [], [], [], []
+                for k, n in enumerate((counts + 1).tolist()):
+                    at = 0
                     for size in piece_lengths(n, window):
                         rows.append(i + k)
                         start.append(at)
@@ -114,7 +142,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
                 cuts = np.concatenate([[0], np.cumsum(length)]) * 4
                 binary = pa.Array.from_buffers(
                     pa.large_binary(), len(length),
-                    [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(b"".join(raw))])
+                    [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(flat.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(rows, pa.int64())),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()),

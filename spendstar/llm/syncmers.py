@@ -77,22 +77,23 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     n = order.count()
     after = order.select(F.pmod(F.col("row_no") + n - 1, F.lit(max(n, 1))).alias("row_no"),
                          F.col("k").alias("next_k"))
-    follows = shared_table(order.join(after, "row_no").select("k", "next_k", "n_chars"), "syncmer-pairs")
+    follows = shared_table(order.join(after, "row_no").select("doc_id", "k", "next_k", "n_chars"), "syncmer-pairs")
+    rows = rows.select("k", "text")  # both joins below read one exchange of the texts
     # what each document takes of the next one: at most a quarter of its own length
     tails = (rows.join(follows.select(F.col("k").alias("own"), F.col("next_k").alias("k"),
                                       F.expr("n_chars div 4").cast("int").alias("q")), "k")
                  .select("own", F.substring("text", F.lit(1), F.col("q")).alias("tail"))
                  .dropDuplicates(["own"]).withColumnRenamed("own", "k"))
     texts = rows.join(tails, "k").select(
-        "doc_id", "k", "text",
+        "k", "text",
         F.concat(F.substring("text", F.lit(1), size - F.floor(size / 4).cast("int")), "tail").alias("edited"))
     prints = shared_table(texts.select(
-        "doc_id", "k", F.length("text").cast("long").alias("n_chars"), sketch(F.col("text")).alias("sketch"),
+        "k", F.length("text").cast("long").alias("n_chars"), sketch(F.col("text")).alias("sketch"),
         sketch(F.col("edited")).alias("edited_sketch"),
         F.sha2(F.col("edited"), 256).alias("edited_sha256")), "syncmer-prints")
     nexts = prints.select(F.col("k").alias("next_k"), F.col("sketch").alias("next_sketch")) \
                   .dropDuplicates(["next_k"])
-    out = prints.join(follows.select("k", "next_k"), "k").join(nexts, "next_k")
+    out = prints.join(follows.select("doc_id", "k", "next_k"), "k").join(nexts, "next_k")
     return out.select("doc_id", "n_chars", "sketch", "edited_sketch", "edited_sha256",
                       likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
                       likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))

@@ -14,6 +14,7 @@ each for itself; an empty table gives no pieces.
 from __future__ import annotations
 
 import itertools
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from spendstar.llm.common import (buffers, doc_slices, lowered, shared_table, sp
 
 WINDOW = 2048
 END_ID = 1
-_KNOWN_RUNS = 1_000_000
+_KNOWN_RUNS, _AT_ONCE = 500_000, 2048
 #: Byte classes: letters (all bytes above ASCII count as such), digits, marks.
 _KIND = np.full(256, 3, dtype=np.uint8)
 _KIND[48:58] = 2
@@ -64,6 +65,7 @@ class _Ids:
     """Token ids of texts; a bounded memo in arrays keeps those of known runs."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self._empty()
@@ -76,7 +78,8 @@ class _Ids:
     def _learn(self, names: np.ndarray, runs: list[str]) -> None:
         if len(self.names) + len(names) > max(_KNOWN_RUNS, len(names)):
             self._empty()
-        coded = [c.ids for c in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        coded = [c.ids for a in range(0, len(runs), _AT_ONCE) for c in
+                 self.tokenizer.encode_batch_fast(runs[a:a + _AT_ONCE], add_special_tokens=False)]
         size = np.fromiter(map(len, coded), np.int64, len(coded))
         start = len(self.flat) + np.cumsum(size) - size
         names = np.concatenate([self.names, names])
@@ -125,7 +128,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
         part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
-            for i, j in doc_slices(offsets, 2 << 20):
+            for i, j in doc_slices(offsets, 1 << 20):
                 flat, counts = ids.texts(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
                 rows, start, length, total, slot = [], [], [], [], []

@@ -125,7 +125,9 @@ def _dimension_folder(spark, base: str, name: str, schema=None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
         return reader.parquet(os.path.join(base, f"dim={name}"))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise  # unreadable is not empty
         # a dimension with no members has no folder: an empty frame, same columns
         if schema is not None:
             return spark.createDataFrame([], schema)

@@ -23,7 +23,7 @@ VIEW_NAMES = {
 
 def _writer(df: DataFrame, mode: str):
     """A writer that keeps the fact's year folders."""
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if PARTITION_COLUMN in df.columns:
         writer = writer.partitionBy(PARTITION_COLUMN)
     return writer

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -29,7 +30,12 @@ from spendstar.operators.cleaning import (
 )
 from spendstar.operators.audit import stage_counters
 from spendstar.operators.dimensions import build_dimensions
-from spendstar.operators.fact import PARTITION_COLUMN, build_fact
+from spendstar.operators.fact import (
+    MISS_COUNTERS,
+    PARTITION_COLUMN,
+    build_fact,
+    match_dimensions,
+)
 from spendstar.sources.tables import materialize
 
 AUDIT_TABLE = "LoadAudit"
@@ -40,18 +46,32 @@ FACT_COUNTERS = ("CleanRows", "NoOrganisationMatch", "NoSupplierMatch", "NoExpen
                  "NoExpenseAreaMatch", "NoDateMatch", "FactRows", "MaxDateID")
 
 
-def _observed(obs: Observation, names: tuple[str, ...]) -> dict[str, int | None]:
-    """Observed counters; when Spark proved the input empty and optimised the
-    pass away, nothing was observed and every count is 0 (no latest date)."""
+def _observed(obs: Observation, names: tuple[str, ...],
+              recount: Callable[[], dict[str, int | None]]) -> dict[str, int | None]:
+    """Observed counters.  Where nothing was observed (Spark proved the input
+    empty and removed the observing node, or the metric was lost) the counters
+    come from ``recount``, never from an assumption."""
     try:
         got = obs.get
     except Exception:  # the observing node was removed with the empty plan
         got = {}
-    out = {}
-    for n in names:
-        v = got.get(n, None if n == "MaxDateID" else 0)
-        out[n] = int(v) if v is not None else None
-    return out
+    if not set(names) <= set(got):
+        got = recount()
+    return {n: int(got[n]) if got.get(n) is not None else None for n in names}
+
+
+def _recounted_load(staging: DataFrame, rejects: DataFrame, **options) -> dict[str, int | None]:
+    rows = stage_counters(staging, rejects, **options).collect()  # nine rows
+    return {r.metric: int(r.value) for r in rows}
+
+
+def _recounted_fact(clean: DataFrame, dims: dict[str, DataFrame], fact: DataFrame,
+                    case_insensitive: bool) -> dict[str, int | None]:
+    lost = match_dimensions(clean, dims, case_insensitive).agg(
+        F.count("*").alias("CleanRows"),
+        *[F.count_if(F.col(k).isNull()).alias(n) for k, n in MISS_COUNTERS.items()]).first()
+    size = fact.agg(F.count("*").alias("n"), F.max("DateID").alias("last")).first()
+    return dict(lost.asDict(), FactRows=size.n, MaxDateID=size.last)
 
 
 @dataclass
@@ -161,11 +181,13 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
     clean = materialize(dedup(typed, case_insensitive=case_insensitive), "Invoice_Clean",
                         target("Invoice_Clean"))
     lap("clean")
-    counters = _observed(obs, LOAD_COUNTERS)
+    def load_counters() -> dict[str, int | None]:
+        return _recounted_load(staging, rejects, case_insensitive=case_insensitive,
+                               redact_columns=redact_columns)
+
+    counters = _observed(obs, LOAD_COUNTERS, load_counters)
     if exact_counters:
-        exact = stage_counters(staging, rejects, case_insensitive=case_insensitive,
-                               redact_columns=redact_columns).collect()  # nine rows
-        counters.update({r.metric: int(r.value) for r in exact if r.metric in counters})
+        counters.update({n: v for n, v in load_counters().items() if n in counters})
     dims = build_dimensions(clean, path=target("dimensions"), case_insensitive=case_insensitive)
     lap("dimensions")
     # The fact is stored in one folder per payment year, and each file is
@@ -178,7 +200,8 @@ def build_warehouse(staging: DataFrame, rejects: DataFrame, *, path: str | None
         build_fact(clean, dims, fact_obs, year_column=True, case_insensitive=case_insensitive)
         .sortWithinPartitions(PARTITION_COLUMN, "DateID"),
         "FactInvoice", target("FactInvoice"), partition_by=[PARTITION_COLUMN])
-    counters.update(_observed(fact_obs, FACT_COUNTERS))
+    counters.update(_observed(fact_obs, FACT_COUNTERS,
+                              lambda: _recounted_fact(clean, dims, fact, case_insensitive)))
     if path:
         # the load audit travels with the tables (step counts, latest DateID)
         audit = clean.sparkSession.createDataFrame(

@@ -71,6 +71,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder for one materialised table."""
     base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -81,7 +81,7 @@ def read_reject_list(spark: SparkSession, paths: str | Iterable[str],
 
     Malformed XML raises :class:`RejectListError` at read time (root check,
     then a FAILFAST parse of the records) unless ``validate=False``.
-    Elements without the attribute carry no name and are dropped.
+    So does an element without the attribute: a supplier must have a name.
     """
     paths = _paths(paths)
     if validate:
@@ -91,12 +91,14 @@ def read_reject_list(spark: SparkSession, paths: str | Iterable[str],
         # Parse now (counting the parsed column forces it), so a malformed
         # record stops the load here with a clear message, not mid-load.
         try:
-            names.agg(F.count(F.col(REJECT_ATTRIBUTE))).collect()
+            nameless = names.agg(F.count_if(F.col(REJECT_ATTRIBUTE).isNull())).first()[0]
         except Exception as e:  # Spark's FAILFAST parse error
             first = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
             raise RejectListError(
                 "XML parsing failed (escape bare '&' as '&amp;' or use repair=True): "
                 + first[:300]) from e
+        if nameless:
+            raise RejectListError(f"{nameless} <{REJECT_ROW_TAG}> without {REJECT_ATTRIBUTE}")
     return names.where(F.col(REJECT_ATTRIBUTE).isNotNull())
 
 

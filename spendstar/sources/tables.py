@@ -18,7 +18,8 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
     """Write ``df`` as Parquet (a new folder each call) and read it back."""
     spark = df.sparkSession
     target = path or scratch_path(spark, name)
-    writer = df.write.mode("overwrite")
+    # static: a rebuild replaces the whole table, whatever the session's mode
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)

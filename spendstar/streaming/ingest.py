@@ -11,15 +11,12 @@ scheduled load; the warehouse is then rebuilt from the staging table.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spendstar.constants import SPEND_SCHEMA
-from spendstar.session import checkpoint_dir
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -51,11 +48,12 @@ def ingest_spend(spark: SparkSession, folder: str, staging_path: str,
                  available_now: bool = True) -> StreamingQuery:
     """Append new spend files from ``folder`` to the Parquet table at ``staging_path``.
 
-    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/staging``.
+    The checkpoint defaults to ``<staging_path>.checkpoint``: it belongs to the
+    table, so every later run, in any application, finds it.
     Returns the started query; with ``available_now`` call
     ``awaitTermination()`` to wait for the files present at start.
     """
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", "staging")
+    ckpt = checkpoint or staging_path.rstrip("/") + ".checkpoint"
     writer = (stream_spend(spark, folder, sep=sep).writeStream
               .format("parquet")
               .option("path", staging_path)

@@ -98,10 +98,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op5_kdtree_search": """
         WITH v AS (
-            SELECT vec_id, min(list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE)))) AS e
+            SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))) AS e
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
             GROUP BY vec_id
         ), scored AS (
             SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from spendstar.constants import (
     EXPENSE_JSON_ROOT,
-    PLAIN_NUMBER,
     REDACTED_SUPPLIER,
     SPEND_COLUMNS,
 )
@@ -25,7 +24,8 @@ NF = " NULLS FIRST"
 
 
 def _number_pattern() -> str:
-    return PLAIN_NUMBER.lstrip("^").rstrip("$")
+    """A sign at most, then digits with at most one point and at least one digit."""
+    return r"[+-]?(\d+\.?\d*|\.\d+)"
 
 
 STAGING = """
@@ -140,17 +140,36 @@ dim_date AS (
   FROM (SELECT DISTINCT DateOfPayment AS FullDate FROM deduped
         WHERE DateOfPayment IS NOT NULL) t
 ),
+-- match keys, normalised once per side; a NULL key matches nothing
+paid AS (
+  SELECT *, trim(Department) AS k_department, trim(Entity) AS k_entity, trim(Supplier) AS k_supplier,
+         coalesce(trim(SupplierPostCode), '') AS k_postcode, coalesce(trim(SupplierType), '') AS k_type,
+         trim(ExpenseType) AS k_expense_type, trim(ExpenseArea) AS k_expense_area,
+         DateOfPayment AS k_date
+  FROM deduped
+),
+org_keys AS (SELECT OrganisationID, trim(Department) AS k_department, trim(Entity) AS k_entity FROM dim_org),
+sup_keys AS (
+  SELECT SupplierID, trim(SupplierName) AS k_supplier, coalesce(trim(SupplierPostCode), '') AS k_postcode,
+         coalesce(trim(SupplierType), '') AS k_type
+  FROM dim_sup
+),
+et_keys AS (SELECT ExpenseTypeID, trim(ExpenseType) AS k_expense_type FROM dim_et),
+ea_keys AS (SELECT ExpenseAreaID, trim(ExpenseArea) AS k_expense_area FROM dim_ea),
+date_keys AS (SELECT DateID, FullDate AS k_date FROM dim_date),
+matched AS (
+  SELECT OrganisationID, SupplierID, ExpenseTypeID, ExpenseAreaID, DateID,
+         Amount, TransactionNumber, Description
+  FROM paid
+  LEFT JOIN date_keys USING (k_date)
+  LEFT JOIN ea_keys USING (k_expense_area)
+  LEFT JOIN et_keys USING (k_expense_type)
+  LEFT JOIN sup_keys USING (k_supplier, k_postcode, k_type)
+  LEFT JOIN org_keys USING (k_department, k_entity)
+),
 fact AS (
-  SELECT o.OrganisationID, s.SupplierID, et.ExpenseTypeID, ea.ExpenseAreaID, dd.DateID,
-         i.Amount, i.TransactionNumber, i.Description
-  FROM deduped i
-  JOIN dim_org o ON trim(i.Department) = trim(o.Department) AND trim(i.Entity) = trim(o.Entity)
-  JOIN dim_sup s ON trim(i.Supplier) = trim(s.SupplierName)
-   AND coalesce(trim(i.SupplierPostCode), '') = coalesce(trim(s.SupplierPostCode), '')
-   AND coalesce(trim(i.SupplierType), '') = coalesce(trim(s.SupplierType), '')
-  JOIN dim_et et ON trim(i.ExpenseType) = trim(et.ExpenseType)
-  JOIN dim_ea ea ON trim(i.ExpenseArea) = trim(ea.ExpenseArea)
-  JOIN dim_date dd ON i.DateOfPayment = dd.FullDate
+  SELECT * FROM matched
+  WHERE OrganisationID + SupplierID + ExpenseTypeID + ExpenseAreaID + DateID IS NOT NULL
 ),
 top3 AS (
   SELECT SupplierID, CAST(sum(Amount) AS DECIMAL(38,2)) AS TotalSpent
@@ -253,23 +272,16 @@ def _integrity_sql() -> str:
 
 
 def _unmatched_sql() -> str:
-    conds = {
-        "Organisation": ("dim_org d", "trim(i.Department) = trim(d.Department) "
-                         "AND trim(i.Entity) = trim(d.Entity)", "OrganisationID"),
-        "Supplier": ("dim_sup d", "trim(i.Supplier) = trim(d.SupplierName) "
-                     "AND coalesce(trim(i.SupplierPostCode), '') = coalesce(trim(d.SupplierPostCode), '') "
-                     "AND coalesce(trim(i.SupplierType), '') = coalesce(trim(d.SupplierType), '')",
-                     "SupplierID"),
-        "ExpenseType": ("dim_et d", "trim(i.ExpenseType) = trim(d.ExpenseType)", "ExpenseTypeID"),
-        "ExpenseArea": ("dim_ea d", "trim(i.ExpenseArea) = trim(d.ExpenseArea)", "ExpenseAreaID"),
-        "Date": ("dim_date d", "i.DateOfPayment = d.FullDate", "DateID"),
-    }
-    parts = []
-    for name in DIAGNOSTIC_NAMES.values():
-        table, on, key = conds[name]
-        parts.append(f"SELECT '{name}' AS dimension, count(*) AS unmatched_rows "
-                     f"FROM deduped i LEFT JOIN {table} ON {on} WHERE d.{key} IS NULL")
-    return _with(WAREHOUSE, "\nUNION ALL\n".join(parts))
+    return _with(WAREHOUSE, "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS dimension, count(*) - count({key}) AS unmatched_rows FROM matched"
+        for key, name in DIAGNOSTIC_NAMES.items()))
+
+
+def _publish_sql() -> str:
+    tables = {"DimOrganisation": "dim_org", "DimSupplier": "dim_sup", "DimExpenseType": "dim_et",
+              "DimExpenseArea": "dim_ea", "DimDate": "dim_date", "FactInvoice": "fact"}
+    return _with(WAREHOUSE, "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {cte}" for name, cte in tables.items()))
 
 
 def _counters_sql() -> str:
@@ -310,18 +322,33 @@ def _dimension_samples_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     nullif_all = ", ".join(f"nullif({c}, '') AS {c}" for c in SPEND_COLUMNS)
+    # An area's rank in a month: 1 + the areas that spent more in it.  Its previous
+    # rank: that of its latest earlier month with spend.
     q4 = _with(WAREHOUSE + """,
-area_months AS (
-  SELECT ea.ExpenseArea, d.Year, d.Month, CAST(sum(f.Amount) AS DECIMAL(38,2)) AS TotalSpent
-  FROM fact f JOIN dim_ea ea USING (ExpenseAreaID) JOIN dim_date d USING (DateID)
+spent AS (
+  SELECT ExpenseArea, Year, Month, Year * 12 + Month AS at,
+         CAST(sum(Amount) AS DECIMAL(38,2)) AS TotalSpent
+  FROM fact JOIN dim_ea USING (ExpenseAreaID) JOIN dim_date USING (DateID)
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT s.ExpenseArea, s.Year, s.Month, s.at, s.TotalSpent, CAST(1 + (
+           SELECT count(*) FROM spent o WHERE o.at = s.at
+              AND (o.TotalSpent > s.TotalSpent OR (o.TotalSpent IS NOT NULL AND s.TotalSpent IS NULL))
+         ) AS INTEGER) AS RankNow
+  FROM spent s
+),
+latest AS (
+  SELECT n.ExpenseArea, n.at, max(e.at) AS earlier
+  FROM spent n JOIN spent e ON e.ExpenseArea IS NOT DISTINCT FROM n.ExpenseArea AND e.at < n.at
   GROUP BY ALL
 )""", """
-SELECT *, PrevRank - RankNow AS Movement, Year * 10000 + Month * 100 + RankNow AS SortKey
-FROM (SELECT *, lag(RankNow) OVER (PARTITION BY ExpenseArea ORDER BY Year, Month) AS PrevRank
-      FROM (SELECT *, CAST(rank() OVER (PARTITION BY Year, Month
-                                        ORDER BY TotalSpent DESC NULLS LAST) AS INTEGER) AS RankNow
-            FROM area_months))
-WHERE RankNow <= 10""")
+SELECT r.ExpenseArea, r.Year, r.Month, r.TotalSpent, r.RankNow, p.RankNow AS PrevRank,
+       p.RankNow - r.RankNow AS Movement, r.Year * 10000 + r.Month * 100 + r.RankNow AS SortKey
+FROM ranked r
+LEFT JOIN latest l ON l.ExpenseArea IS NOT DISTINCT FROM r.ExpenseArea AND l.at = r.at
+LEFT JOIN ranked p ON p.ExpenseArea IS NOT DISTINCT FROM r.ExpenseArea AND p.at = l.earlier
+WHERE r.RankNow <= 10""")
     pct = _round_div_micro(f"CAST(100 AS HUGEINT) * {_cents('MonthlyTotal')}",
                            _cents("QuarterTotalAllSuppliers"))
     q5 = _with(Q5_CTES, f"""
@@ -384,4 +411,5 @@ ORDER BY DateOfPayment DESC NULLS LAST, TransactionNumber NULLS FIRST, Supplier
 LIMIT 50"""),
         "first_rejects": _with(STAGING, "SELECT SupplierName FROM rejects ORDER BY SupplierName LIMIT 20"),
         "dimension_samples": _dimension_samples_sql(),
+        "publish_warehouse": _publish_sql(),
     }

@@ -131,6 +131,7 @@ def test_reject_list_write_read_round_trip(spark, tmp_path):
     assert back == ["<Z>", "X & Y", "plain"]
 
 
-def test_reject_list_drops_elements_without_the_attribute(spark, tmp_path):
+def test_reject_list_refuses_elements_without_the_attribute(spark, tmp_path):
     path = _xml(tmp_path, '<Suppliers><Supplier SupplierName="A" /><Supplier /></Suppliers>\n')
-    assert read_reject_list(spark, path).select(F.count("*")).first()[0] == 1
+    with pytest.raises(RejectListError):
+        read_reject_list(spark, path)

@@ -38,6 +38,8 @@ LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM + 1
 SHARD = 4 << 20
 BUCKET_BYTES = 8 << 20
+#: Windows looked up at once.
+WINDOWS = 1 << 20
 LAST = 2**63 - 1
 _GEAR = np.random.default_rng(424242).integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -254,8 +256,13 @@ def _classes(text: np.ndarray, left: np.ndarray, smallest: np.ndarray):
     return sa, np.cumsum(new) - 1, low
 
 
-def _bucket_spans(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(id, start, stop) of strings of the bucket that a smaller document holds."""
+def _bucket_spans(id_parts: int):
+    return lambda pdf: _spans(pdf, id_parts)
+
+
+def _spans(pdf: pd.DataFrame, id_parts: int) -> pd.DataFrame:
+    """(part, ids, start, stop): the strings of the bucket that a smaller document
+    holds, packed by part of the ids."""
     text = b"".join(pdf["text"])
     size = np.frombuffer(b"".join(pdf["size"]), np.uint8).astype(np.int64)
     docs = np.frombuffer(b"".join(pdf["docs"]), np.int64)
@@ -283,21 +290,51 @@ def _bucket_spans(pdf: pd.DataFrame) -> pd.DataFrame:
         _merge_shards(buffer, sorted_)
     for a, sa, group, best in sorted_:
         least[a + sa] = best[group]
-    # windows of each occurrence whose class has a smaller document
     count = size - LENGTH + 1
-    to = np.concatenate([[0], np.cumsum(count)])
-    row = np.repeat(np.arange(len(size)), count)
-    offset = np.arange(to[-1]) - to[row]
-    hit = least[at[which[row]] + offset] < docs[row]
+    runs = [_runs(least, at[which[i:j]], count[i:j], docs[i:j], start[i:j])
+            for i, j in doc_slices(np.concatenate([[0], np.cumsum(count)]), WINDOWS)]
+    ids, begin, end = (np.concatenate(c) for c in zip(*runs))
+    part = ids % id_parts
+    order = np.argsort(part, kind="stable")
+    part, ids, begin, end = part[order], ids[order], begin[order], end[order]
+    cuts = np.append(_heads(part), len(part))
+    return pd.DataFrame({"part": part[cuts[:-1]]} | {
+        name: [c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        for name, c in (("ids", ids), ("start", begin), ("stop", end))})
+
+
+def _runs(least: np.ndarray, place: np.ndarray, count: np.ndarray, docs: np.ndarray, start: np.ndarray):
+    """(ids, starts, stops) of the runs of windows whose class has a smaller
+    document, for occurrences that begin at ``place`` in the bucket's text."""
+    row = np.repeat(np.arange(len(count)), count)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    hit = least[place[row] + offset] < docs[row]
     row, offset = row[hit], offset[hit]
-    new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)
-    heads = np.flatnonzero(new)
-    tails = np.append(heads[1:], len(row)) - 1
     if not len(row):
-        heads = tails = np.zeros(0, dtype=np.int64)
-    return pd.DataFrame({"id": docs[row[heads]], "start": start[row[heads]] + offset[heads],
-                         "stop": start[row[tails]] + offset[tails] + LENGTH})
+        return row, row, row
+    heads = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)]))
+    tails = np.append(heads[1:], len(row)) - 1
+    return (docs[row[heads]], start[row[heads]] + offset[heads],
+            start[row[tails]] + offset[tails] + LENGTH)
+
+
+def _by_id(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(id, start, stop): each document's maximal removed runs, packed."""
+    ids, start, stop = (np.frombuffer(b"".join(pdf[c]), np.int64) for c in ("ids", "start", "stop"))
+    order = np.lexsort((start, ids))
+    ids, start, stop = ids[order], start[order], stop[order]
+    new = np.zeros(len(ids), dtype=np.int64)
+    new[_heads(ids)] = 1
+    lift = np.cumsum(new) * (stop.max(initial=0) + 1)  # documents never touch
+    reach = np.maximum.accumulate(stop + lift)
+    heads = np.flatnonzero(np.concatenate([[True], start[1:] + lift[1:] > reach[:-1]])) \
+        if len(ids) else np.zeros(0, np.int64)
+    tails = np.append(heads[1:], len(ids))[:len(heads)] - 1
+    begin, end, ids = start[heads], reach[tails] - lift[tails], ids[heads]
+    cuts = np.append(_heads(ids), len(ids))
+    return pd.DataFrame({"id": ids[cuts[:-1]],
+                         "start": [begin[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
+                         "stop": [end[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]})
 
 
 def _merge_shards(buffer: np.ndarray, shards: list) -> None:
@@ -321,28 +358,28 @@ def _cut(batches):
     for batch in batches:
         data, offsets = buffers(batch.column("text"))
         copy = batch.column("copy").to_pylist()
-        spans = batch.column("spans")
+        start, stop = batch.column("start"), batch.column("stop")
         removed, runs, digest, kept = [], [], [], []
         for i in range(batch.num_rows):
             own = data[offsets[i]:offsets[i + 1]]
-            got = spans[i].values if spans[i].is_valid else None
             if copy[i] and len(own) >= LENGTH:
                 removed.append(len(own))
                 runs.append(1)
                 digest.append(empty)
                 kept.append(b"")
-            elif got is None or not len(got):
+            elif not start[i].is_valid:
                 removed.append(0)
                 runs.append(0)
                 kept.append(own.tobytes())
                 digest.append(hashlib.sha256(kept[-1]).hexdigest())
             else:
-                edge = np.zeros(len(own) + 1, dtype=np.int64)
-                np.add.at(edge, got.field("start").to_numpy(zero_copy_only=False), 1)
-                np.add.at(edge, got.field("stop").to_numpy(zero_copy_only=False), -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                removed.append(int(gone.sum()))
-                runs.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+                lo = np.frombuffer(start[i].as_py(), np.int64)
+                hi = np.frombuffer(stop[i].as_py(), np.int64)
+                edge = np.zeros(len(own) + 1, dtype=np.int8)
+                edge[lo], edge[hi] = 1, -1
+                gone = np.cumsum(edge[:-1], dtype=np.int8) > 0
+                removed.append(int((hi - lo).sum()))
+                runs.append(len(lo))
                 kept.append(own[~gone].tobytes())
                 digest.append(hashlib.sha256(kept[-1]).hexdigest())
         yield pa.RecordBatch.from_arrays(
@@ -371,14 +408,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                    .select(F.col("first").alias("id"), "k", "codes"))
     cut = (rows.select("id", "k", "text").join(wanted, ["id", "k"]).select("id", "text", "codes")
                .mapInArrow(_snippets(buckets), "bucket long, text binary, size binary, docs binary, start binary"))
-    spans = shared_table(cut.groupBy("bucket").applyInPandas(_bucket_spans, "id long, start long, stop long"),
+    parts = max(8, buckets // 8)
+    packed = cut.groupBy("bucket").applyInPandas(
+        _bucket_spans(parts), "part long, ids binary, start binary, stop binary")
+    by_id = shared_table(packed.groupBy("part").applyInPandas(_by_id, "id long, start binary, stop binary"),
                          "suffix-spans")
-    by_id = spans.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     copies = (known.join(first, "k").where(F.col("id") > F.col("first"))
                    .select("id", "k", F.lit(True).alias("copy")).distinct())
     facts = (first.select(F.col("first").alias("id"), "k").join(by_id, "id")
-                  .select("id", "k", "spans", F.lit(False).alias("copy"))
+                  .select("id", "k", "start", "stop", F.lit(False).alias("copy"))
                   .unionByName(copies, allowMissingColumns=True))
-    return (rows.join(facts, ["id", "k"], "left").select("doc_id", "text", "spans", "copy")
+    return (rows.join(facts, ["id", "k"], "left").select("doc_id", "text", "start", "stop", "copy")
                 .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, "
                                   "kept_sha256 string, kept binary"))

@@ -140,18 +140,23 @@ def _pairs_in_order(reach: int, most: int | None):
     return run
 
 
+def _unfinished(stars: DataFrame) -> bool:
+    """Whether some id has two smaller neighbours, or a smaller and a larger one."""
+    ends = F.explode(F.array(*[F.struct(F.col(c).alias("id"), F.lit(c == "a").cast("int").alias("leaf"))
+                               for c in ("a", "b")]))
+    roles = (stars.select(ends.alias("e")).groupBy("e.id")
+                  .agg(F.sum("e.leaf").alias("leaf"), F.min("e.leaf").alias("low")))
+    return roles.where("leaf > 1 or (leaf = 1 and low = 0)").limit(1).count() > 0
+
+
 def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     """(id, comp): the smallest id reachable over ``edges`` (a, b), for every id
-    in them.  Alternating large-star and small-star rounds; hot nodes are
-    pre-aggregated before each shuffle."""
-    def state(e):
-        row = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return tuple(row)
-
+    in them.  Alternating large-star and small-star rounds until every id is
+    either a centre or linked with its centre alone; hot nodes are pre-aggregated
+    before each shuffle."""
     stars = shared_table(edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    last = state(stars)
-    while last[0]:
+    while _unfinished(stars):
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -161,14 +166,24 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
         stars = shared_table(
             small.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), name)
-        now = state(stars)
-        if now == last:
-            break
-        last = now
     return (stars.select(F.col("a").alias("id"), F.col("b").alias("comp"))
                  .union(stars.select(F.col("b").alias("id"), F.col("b").alias("comp"))).distinct())
 
 
+def _merged(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``comps`` after ``links`` (a, b) more: only the graph of components that
+    they tie is closed, not all links again."""
+    a = comps.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
+    b = comps.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+    ties = links.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    up = components(ties)
+    new = up.join(comps, "id", "left_anti").select("id", F.col("id").alias("comp"))
+    up = up.select(F.col("id").alias("comp"), F.col("comp").alias("top"))
+    out = comps.union(new).join(up, "comp", "left")
+    return shared_table(out.select("id", F.coalesce("top", "comp").alias("comp")), name)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs with 100 * intersection >= 75 * union of their full sets."""
     x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -186,7 +201,7 @@ def _regions(reps: DataFrame) -> DataFrame:
     rows = reps.select("id", "signature", order.alias("tree"))
     lead = F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})")
     rows = rows.select("id", "tree", F.xxhash64("tree", lead).alias("region"))
-    crowded = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
+    crowded = rows.groupBy("region").agg(F.count("*").alias("members")).where("members > 1")
     return rows.join(crowded, "region").join(reps, "id")
 
 
@@ -228,28 +243,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     best = shared_table(pairs.withColumn("ra", rank[0]).withColumn("rb", rank[1])
                              .withColumn("best", F.least("ra", "rb") <= BEST), "minhash-ranked")
     links = shared_table(_confirmed(best.where("best"), sets), "minhash-links")
-    comps = components(links)
-    more = shared_table(_confirmed(_apart(best.where("not best"), comps), sets), "minhash-more")
-    links = links.union(more)
     comps = shared_table(components(links), "minhash-comps")
+    more = shared_table(_confirmed(_apart(best.where("not best"), comps), sets), "minhash-more")
+    comps = _merged(comps, more, "minhash-comps")
     # crowded regions once more, among different components
-    crowd = (rows.groupBy("region").agg(F.count("*").alias("n"))
-                 .where(F.col("n") > NEIGHBOURS + 1).select("region"))
-    again = (rows.join(crowd, "region").join(comps, "id", "left")
+    again = (rows.where(F.col("members") > NEIGHBOURS + 1).join(comps, "id", "left")
                  .withColumn("comp", F.coalesce("comp", "id")))
     mixed = (again.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                   .where("lo <> hi").select("region"))
     again = _sorted_pairs(again.join(mixed, "region"), CROWD_REACH, CROWD_BEST)
     again = _apart(again.join(pairs, ["a", "b"], "left_anti"), comps)
     late = shared_table(_confirmed(again, sets), "minhash-late")
-    comps = components(links.union(late))
+    comps = _merged(comps, late, "minhash-comps")
 
     rep_of = linked.join(reps.select("digest", "id"), "digest") \
                    .select("doc_id", "id").distinct()
-    same = rep_of.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     repeated = rep_of.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     if repeated:  # an id with several texts ties their sets: close over those links, too
-        comps = components(same.union(links).union(late))
+        same = rep_of.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+        comps = _merged(comps, same, "minhash-comps")
         by_doc = comps.select(F.col("id").alias("doc_id"), "comp")
     else:
         by_doc = rep_of.join(comps, "id", "left").select("doc_id", F.coalesce("comp", "id").alias("comp"))

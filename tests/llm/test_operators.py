@@ -265,3 +265,25 @@ def test_targets_stop_at_three_sizes():
     assert mix_sources.targets([100, 10, 10], [1, 2, 3]) == [60.0, 30.0, 30.0]
     votes = [5.4, 3.3, 1.3]
     assert mix_sources.sainte_lague(votes, [99] * 3) == [6, 3, 1] and mix_sources.sainte_lague(votes, [5, 9, 9]) == [5, 4, 1]
+
+
+def test_components_and_later_links(spark):
+    rng = np.random.default_rng(5)
+    first = [(int(a), int(b)) for a, b in rng.integers(0, 120, (60, 2))] + [(500, i) for i in range(501, 560)]
+    later = [(int(a), int(b)) for a, b in rng.integers(0, 160, (30, 2))] + [(900, 901), (902, 901), (559, 3)]
+    for more in (later, []):
+        above = {}
+
+        def top(x):
+            while above.setdefault(x, x) != x:
+                x = above[x]
+            return x
+
+        for a, b in first + more:
+            a, b = top(a), top(b)
+            above[max(a, b)] = min(a, b)
+        comps = minhash_dedup.components(spark.createDataFrame(first, "a long, b long"))
+        comps = minhash_dedup._merged(comps, spark.createDataFrame(more, "a long, b long"), "merged")
+        got = {r.id: r.comp for r in comps.collect()}
+        assert len(got) == comps.count()
+        assert all(got.get(x, x) == top(x) for x in above)

@@ -43,6 +43,8 @@ CROWD_REACH, CROWD_BEST = 64, 4
 #: deviations below the mean of 54 at similarity 0.75.
 LEAST_AGREEMENT = 36
 BEST = 2
+#: Bitmaps of wanted ids: their number, and the bits that one holds.
+CELLS, CELL_BITS = 1024, 32768
 
 _RNG = np.random.default_rng(20250607)
 _MASK = _RNG.integers(0, 2**32, SIZE, dtype=np.uint32)
@@ -194,6 +196,21 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 .where("100 * i >= 75 * (n - i)").select("a", "b"))
 
 
+def _likely(text: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``text`` whose doc_id may be in ``wanted``: none that is in it
+    is lost, most others go before the texts are shuffled.  The ids' hashes set
+    bits in ``CELLS`` bitmaps of 4 KB, a broadcast of 4 MB at every size; once
+    most bits are set it spares little, and the exact join that follows does all."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS * CELL_BITS))
+    cell, bit = F.floor(slot / CELL_BITS).cast("int"), slot % CELL_BITS
+    maps = (wanted.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell")
+                  .agg(F.bitmap_construct_agg("bit").alias("bits")))
+    found = F.expr("shiftright(cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int),"
+                   " cast(bit % 8 as int)) & 1 = 1")
+    return (text.withColumns({"cell": cell, "bit": bit}).join(F.broadcast(maps), "cell")
+                .where(found).select("doc_id", "text"))
+
+
 def _regions(reps: DataFrame) -> DataFrame:
     """One row per representative and order in which its region has other members.
     Signatures join the rows that are left, not the exploded ones."""
@@ -235,7 +252,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = shared_table(_sorted_pairs(rows.withColumn("comp", F.col("id")), NEIGHBOURS), "minhash-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = shared_table(
-        text.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<int>"),
+        _likely(text, wanted).join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<int>"),
         "minhash-sets")
 
     rank = [F.row_number().over(Window.partitionBy(c).orderBy(F.desc("agree"), o))

@@ -13,8 +13,10 @@ shares a region in some order with probability 1 - 2e-6.
 Candidates are ranked by signature agreement.  Each representative's best ones
 are confirmed first on the full sets; then all others whose documents are not
 yet in one component.  A crowded region's members that are still apart are
-sorted once more among those of other components.  Components come from
-alternating large-star and small-star rounds over tables.
+sorted once more among those of other components.  Those that are apart even
+then go through an exact join on their rarest shingles, so a crowded region
+loses no link between components.  Components come from alternating large-star
+and small-star rounds over tables.
 
 Null, empty or blank texts have no shingles and link with nothing.  Rows that
 repeat a doc_id are one node.  Rows without doc_id are kept and unlinked
@@ -36,13 +38,15 @@ SIZE = 72
 DEPTH = 3
 ORDERS = SIZE // DEPTH
 SORT_DEPTH = 12
-NEIGHBOURS = 4
+NEIGHBOURS = 8
 #: In crowded regions, members still apart: rows that follow, best ones confirmed.
 CROWD_REACH, CROWD_BEST = 64, 4
 #: Least agreement of signatures for a check on the sets: five standard
 #: deviations below the mean of 54 at similarity 0.75.
 LEAST_AGREEMENT = 36
 BEST = 2
+#: Holders of one shingle that are compared in one piece of the exact join.
+PIECE = 512
 
 _RNG = np.random.default_rng(20250607)
 _MASK = _RNG.integers(0, 2**32, SIZE, dtype=np.uint32)
@@ -222,6 +226,46 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
+def _still_apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows of crowded regions that hold several components, with ``comp``."""
+    rows = (rows.where(F.col("members") > NEIGHBOURS + 1).join(comps, "id", "left")
+                .withColumn("comp", F.coalesce("comp", "id")))
+    mixed = (rows.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                 .where("lo <> hi").select("region"))
+    return rows.join(mixed, "region")
+
+
+def _exact_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b): all pairs of ``sets`` (id, comp, shingles) of different components
+    that can be 75 % alike, by prefix filter.
+
+    Shingles are ordered by whether several components hold them, then by count.
+    Two sets of n that are 75 % alike share ceil(0.75 n) shingles of either, so
+    they share one of the first n - ceil(0.75 n) + 1; those that one component
+    alone holds come first and meet nothing.  A frequent shingle's holders are
+    compared in pieces."""
+    sets = sets.withColumn("n", F.size("shingles")).withColumn("need", F.expr("(75 * n + 99) div 100"))
+    tokens = sets.select("id", F.xxhash64("shingles").alias("k"), "comp", "n", "need",
+                         F.explode("shingles").alias("t"))
+    shared = (tokens.groupBy("t").agg(F.count("*").alias("f"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                    .where("lo <> hi").select("t", "f"))
+    held = (tokens.join(shared, "t").groupBy("id", "k", "comp", "n", "need")
+                  .agg(F.sort_array(F.collect_set(F.struct("f", "t"))).alias("held"))
+                  .withColumn("m", F.size("held")).where("m >= need"))
+    first = F.explode(F.expr("slice(held, 1, cast(m - need + 1 as int))"))
+    prefix = held.select("id", "comp", "n", "m", first.alias("h")).select(
+        "id", "comp", "n", "m", "h.t", F.expr(f"1 + h.f div {PIECE}").alias("pieces"))
+    prefix = shared_table(prefix, "minhash-prefix")
+    x = prefix.select("t", F.pmod(F.xxhash64("id"), "pieces").alias("piece"),
+                      *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "m")])
+    y = prefix.select("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"),
+                      *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "m")])
+    most = F.least("m_a", "m_b")
+    return (x.join(y, ["t", "piece"]).where("id_a < id_b and comp_a <> comp_b")
+             .where(100 * most >= 75 * (F.col("n_a") + F.col("n_b") - most))
+             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -247,14 +291,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = shared_table(_confirmed(_apart(best.where("not best"), comps), sets), "minhash-more")
     comps = _merged(comps, more, "minhash-comps")
     # crowded regions once more, among different components
-    again = (rows.where(F.col("members") > NEIGHBOURS + 1).join(comps, "id", "left")
-                 .withColumn("comp", F.coalesce("comp", "id")))
-    mixed = (again.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                  .where("lo <> hi").select("region"))
-    again = _sorted_pairs(again.join(mixed, "region"), CROWD_REACH, CROWD_BEST)
+    again = _sorted_pairs(_still_apart(rows, comps), CROWD_REACH, CROWD_BEST)
     again = _apart(again.join(pairs, ["a", "b"], "left_anti"), comps)
     late = shared_table(_confirmed(again, sets), "minhash-late")
     comps = _merged(comps, late, "minhash-comps")
+    # what is apart even then: all pairs that the sets allow
+    apart = shared_table(_still_apart(rows, comps).select("id", "comp").distinct(), "minhash-apart")
+    whole = shared_table(
+        text.join(apart.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+            .mapInArrow(_sets, "id long, shingles array<int>"), "minhash-whole")
+    last = shared_table(_confirmed(_exact_pairs(whole.join(apart, "id")), whole), "minhash-last")
+    comps = _merged(comps, last, "minhash-comps")
 
     rep_of = linked.join(reps.select("digest", "id"), "digest") \
                    .select("doc_id", "id").distinct()

@@ -70,6 +70,25 @@ def test_near_dedup_odd_rows(odd):
     assert minhash_dedup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def _words(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def test_near_dedup_links_a_crowded_region(spark):
+    """Two versions of a template, 200 near copies each, tied by one pair alone."""
+    common, rows = _words("x", 400), []
+    for v in range(2):
+        for i in range(200):
+            tail = _words(f"t{v}_{i}_", 10) if i else []
+            rows.append((10_000 * v + 7 * i + 1, " ".join(common + _words(f"v{v}_", 62) + tail)))
+    sets = {i: _shingles(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < 10_000 < b
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert links == [(1, 10_001)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {1}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
 def test_feistel_is_a_permutation(n):
     assert sorted(feistel_shard.feistel(np.arange(n), n, 7)) == list(range(n))

@@ -15,7 +15,7 @@ content the smallest doc_id goes on.  Then:
    order (Kasai's rule); suffixes that share 50 bytes are one class with a
    smallest document.  Classes of several shards are merged by binary search.
 4. Strings whose class has a smaller document give spans, which are joined to
-   the documents and merged.
+   the documents by content and merged.
 
 Null text is empty; texts under 50 bytes lose nothing.  A null doc_id counts as
 larger than any other.  Rows that repeat a doc_id are not smaller than each
@@ -159,6 +159,7 @@ def _snippets(buckets: int):
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             ids = batch.column("id").to_numpy(zero_copy_only=False)
+            keys = batch.column("k").to_numpy(zero_copy_only=False)
             codes = batch.column("codes")
             for i, j in doc_slices(offsets):
                 part = np.ascontiguousarray(data[offsets[i]:offsets[j]])
@@ -177,7 +178,7 @@ def _snippets(buckets: int):
                 text = part[np.repeat(first - to[:-1], size) + np.arange(to[-1])]
                 heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
                 cuts = np.append(heads, len(use))
-                docs, start = ids[i + row], (first - at[row]).astype(np.int64)
+                docs, key, start = ids[i + row], keys[i + row], (first - at[row]).astype(np.int64)
                 size = size.astype(np.uint8)
                 spans = list(zip(cuts, cuts[1:]))
                 yield pa.RecordBatch.from_arrays(
@@ -185,8 +186,9 @@ def _snippets(buckets: int):
                      pa.array([text[to[a]:to[b]].tobytes() for a, b in spans], pa.binary()),
                      pa.array([size[a:b].tobytes() for a, b in spans], pa.binary()),
                      pa.array([docs[a:b].tobytes() for a, b in spans], pa.binary()),
+                     pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()),
                      pa.array([start[a:b].tobytes() for a, b in spans], pa.binary())],
-                    names=["bucket", "text", "size", "docs", "start"])
+                    names=["bucket", "text", "size", "docs", "key", "start"])
     return run
 
 
@@ -256,16 +258,17 @@ def _classes(text: np.ndarray, left: np.ndarray, smallest: np.ndarray):
     return sa, np.cumsum(new) - 1, low
 
 
-def _bucket_spans(id_parts: int):
-    return lambda pdf: _spans(pdf, id_parts)
+def _bucket_spans(key_parts: int):
+    return lambda pdf: _spans(pdf, key_parts)
 
 
-def _spans(pdf: pd.DataFrame, id_parts: int) -> pd.DataFrame:
-    """(part, ids, start, stop): the strings of the bucket that a smaller document
-    holds, packed by part of the ids."""
+def _spans(pdf: pd.DataFrame, key_parts: int) -> pd.DataFrame:
+    """(part, keys, start, stop): the strings of the bucket that a smaller document
+    holds, packed by part of the content keys; ids are only compared."""
     text = b"".join(pdf["text"])
     size = np.frombuffer(b"".join(pdf["size"]), np.uint8).astype(np.int64)
     docs = np.frombuffer(b"".join(pdf["docs"]), np.int64)
+    key = np.frombuffer(b"".join(pdf["key"]), np.int64)
     start = np.frombuffer(b"".join(pdf["start"]), np.int64)
     cuts = np.concatenate([[0], np.cumsum(size)])
     known: dict[bytes, int] = {}
@@ -291,20 +294,21 @@ def _spans(pdf: pd.DataFrame, id_parts: int) -> pd.DataFrame:
     for a, sa, group, best in sorted_:
         least[a + sa] = best[group]
     count = size - LENGTH + 1
-    runs = [_runs(least, at[which[i:j]], count[i:j], docs[i:j], start[i:j])
+    runs = [_runs(least, at[which[i:j]], count[i:j], docs[i:j], key[i:j], start[i:j])
             for i, j in doc_slices(np.concatenate([[0], np.cumsum(count)]), WINDOWS)]
-    ids, begin, end = (np.concatenate(c) for c in zip(*runs))
-    part = ids % id_parts
+    keys, begin, end = (np.concatenate(c) for c in zip(*runs))
+    part = keys % key_parts
     order = np.argsort(part, kind="stable")
-    part, ids, begin, end = part[order], ids[order], begin[order], end[order]
+    part, keys, begin, end = part[order], keys[order], begin[order], end[order]
     cuts = np.append(_heads(part), len(part))
     return pd.DataFrame({"part": part[cuts[:-1]]} | {
         name: [c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-        for name, c in (("ids", ids), ("start", begin), ("stop", end))})
+        for name, c in (("keys", keys), ("start", begin), ("stop", end))})
 
 
-def _runs(least: np.ndarray, place: np.ndarray, count: np.ndarray, docs: np.ndarray, start: np.ndarray):
-    """(ids, starts, stops) of the runs of windows whose class has a smaller
+def _runs(least: np.ndarray, place: np.ndarray, count: np.ndarray, docs: np.ndarray,
+          key: np.ndarray, start: np.ndarray):
+    """(keys, starts, stops) of the runs of windows whose class has a smaller
     document, for occurrences that begin at ``place`` in the bucket's text."""
     row = np.repeat(np.arange(len(count)), count)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
@@ -314,25 +318,25 @@ def _runs(least: np.ndarray, place: np.ndarray, count: np.ndarray, docs: np.ndar
         return row, row, row
     heads = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)]))
     tails = np.append(heads[1:], len(row)) - 1
-    return (docs[row[heads]], start[row[heads]] + offset[heads],
+    return (key[row[heads]], start[row[heads]] + offset[heads],
             start[row[tails]] + offset[tails] + LENGTH)
 
 
-def _by_id(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(id, start, stop): each document's maximal removed runs, packed."""
-    ids, start, stop = (np.frombuffer(b"".join(pdf[c]), np.int64) for c in ("ids", "start", "stop"))
-    order = np.lexsort((start, ids))
-    ids, start, stop = ids[order], start[order], stop[order]
-    new = np.zeros(len(ids), dtype=np.int64)
-    new[_heads(ids)] = 1
-    lift = np.cumsum(new) * (stop.max(initial=0) + 1)  # documents never touch
+def _by_key(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(k, start, stop): each content's maximal removed runs, packed."""
+    keys, start, stop = (np.frombuffer(b"".join(pdf[c]), np.int64) for c in ("keys", "start", "stop"))
+    order = np.lexsort((start, keys))
+    keys, start, stop = keys[order], start[order], stop[order]
+    new = np.zeros(len(keys), dtype=np.int64)
+    new[_heads(keys)] = 1
+    lift = np.cumsum(new) * (stop.max(initial=0) + 1)  # contents never touch
     reach = np.maximum.accumulate(stop + lift)
     heads = np.flatnonzero(np.concatenate([[True], start[1:] + lift[1:] > reach[:-1]])) \
-        if len(ids) else np.zeros(0, np.int64)
-    tails = np.append(heads[1:], len(ids))[:len(heads)] - 1
-    begin, end, ids = start[heads], reach[tails] - lift[tails], ids[heads]
-    cuts = np.append(_heads(ids), len(ids))
-    return pd.DataFrame({"id": ids[cuts[:-1]],
+        if len(keys) else np.zeros(0, np.int64)
+    tails = np.append(heads[1:], len(keys))[:len(heads)] - 1
+    begin, end, keys = start[heads], reach[tails] - lift[tails], keys[heads]
+    cuts = np.append(_heads(keys), len(keys))
+    return pd.DataFrame({"k": keys[cuts[:-1]],
                          "start": [begin[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
                          "stop": [end[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]})
 
@@ -403,19 +407,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shared = tagged.groupBy("bucket").applyInPandas(_shared(buckets), "part long, tag binary, code binary")
     by_tag = shared_table(shared.groupBy("part").applyInPandas(_by_tag, "tag long, codes binary"),
                           "suffix-shared")
-    wanted = (first.where(F.col("first") < LAST)
-                   .withColumn("tag", F.col("k").bitwiseAND(F.lit(0xFFFFFFFF))).join(by_tag, "tag")
+    wanted = (first.withColumn("tag", F.col("k").bitwiseAND(F.lit(0xFFFFFFFF))).join(by_tag, "tag")
                    .select(F.col("first").alias("id"), "k", "codes"))
-    cut = (rows.select("id", "k", "text").join(wanted, ["id", "k"]).select("id", "text", "codes")
-               .mapInArrow(_snippets(buckets), "bucket long, text binary, size binary, docs binary, start binary"))
+    cut = (rows.select("id", "k", "text").join(wanted, ["id", "k"]).select("id", "k", "text", "codes")
+               .mapInArrow(_snippets(buckets), "bucket long, text binary, size binary, docs binary, key binary, "
+                                               "start binary"))
     parts = max(8, buckets // 8)
     packed = cut.groupBy("bucket").applyInPandas(
-        _bucket_spans(parts), "part long, ids binary, start binary, stop binary")
-    by_id = shared_table(packed.groupBy("part").applyInPandas(_by_id, "id long, start binary, stop binary"),
-                         "suffix-spans")
+        _bucket_spans(parts), "part long, keys binary, start binary, stop binary")
+    by_key = shared_table(packed.groupBy("part").applyInPandas(_by_key, "k long, start binary, stop binary"),
+                          "suffix-spans")
     copies = (known.join(first, "k").where(F.col("id") > F.col("first"))
                    .select("id", "k", F.lit(True).alias("copy")).distinct())
-    facts = (first.select(F.col("first").alias("id"), "k").join(by_id, "id")
+    facts = (first.select(F.col("first").alias("id"), "k").join(by_key, "k")
                   .select("id", "k", "start", "stop", F.lit(False).alias("copy"))
                   .unionByName(copies, allowMissingColumns=True))
     return (rows.join(facts, ["id", "k"], "left").select("doc_id", "text", "start", "stop", "copy")

@@ -211,6 +211,18 @@ def test_sanitised_texts(spark, odd):
     assert pii_sanitise.sanitise(odd.limit(0)).count() == 0
 
 
+def test_terms_are_judged_over_whole_texts(spark):
+    far = "and so on with the rest of it " * 5
+    rows = [(i, f"Zanzibar Bo R2D2 {far} one two six ten red sky x0@y.org {far} then zanzibar. BO", "en", "s", 0, 0, "")
+            for i in range(3)]
+    rows += [(100 + i, far + "one two six ten red sky then", "en", "s", 0, 0, "") for i in range(60)]
+    got = {r.doc_id: r.text for r in pii_sanitise.sanitise(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got[0] == f"   {far} one two six ten red sky [EMAIL] {far} then . "
+    assert got[100] == rows[3][1]
+    spans = pii_sanitise.spans(spark.createDataFrame(rows, DOCS)).where("doc_id = 0").first()
+    assert [rows[0][1][s.start:s.stop] for s in spans.terms] == ["Zanzibar", "Bo", "R2D2", "zanzibar", "BO"]
+
+
 def _without_repeats(rows):
     seen: dict[bytes, int] = {}
     out = {}
@@ -245,6 +257,19 @@ def test_repeats_equal_brute_force(spark, texts, shard):
     assert got == _without_repeats(rows)
 
 
+def test_repeats_by_row_not_by_id(spark):
+    passage, other = " ".join(f"passage{i}" for i in range(20)), " ".join(f"other{i}" for i in range(20))
+    rows = [(1, passage), (1, other), (5, "five " * 30 + passage), (5, other + " tail"), (5, "short text of five, unique " * 3),
+            (None, "nameless " + passage), (None, "nobody " + passage), (None, passage)]
+    got = {r.n_bytes: r for r in suffix_dedup.remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id != 1}
+    kept = {len(t): bytes(got[len(t)].kept).decode() for i, t in rows if i != 1}
+    assert kept[len(rows[2][1])].startswith("five five") and passage not in kept[len(rows[2][1])]
+    assert kept[len(rows[3][1])] == " tail"
+    assert kept[len(rows[4][1])] == rows[4][1]
+    assert [kept[len(rows[i][1])] for i in (5, 6, 7)] == ["nameless", "nobody", ""]
+
+
 def test_suffix_array_and_prefixes():
     text = np.frombuffer(b"banana\xffbanana bandana\xff" * 3, np.uint8)
     raw = text.tobytes()

@@ -1,16 +1,16 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
 Base spans are emails, IP addresses, card and phone numbers by fixed patterns.
-Removing them is not enough where other words give them away, so the terms
-around each protected entity (``REACH`` characters, at most ``NEAR`` terms a
-side) are judged by corpus co-occurrence: with n documents, n_e with entity e,
-n_t with term t, and n_te in which t stands near e, t reveals the share
+Removing them is not enough where other words give them away, so every term
+(a run of letters, marks and digits outside base spans) of the documents that
+hold a protected entity is judged by corpus co-occurrence: with n documents,
+n_e with entity e, n_t with term t, and n_te with both, t reveals the share
 
     (log2(n / n_e) + log2(n_te / n_t)) / log2(n / n_e)
 
-of e's information.  Terms seen near e in at least ``SUPPORT`` documents are
-generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, in the
-documents that hold e.  n_t counts all documents.
+of e's information.  Terms that share at least ``SUPPORT`` documents with e are
+generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, at every place
+in the documents that hold e.  n_t counts all documents.
 
 Null text is empty and has no spans.  Rows equal in doc_id and text are one
 document for the counts and get equal results.
@@ -18,7 +18,7 @@ document for the counts and get equal results.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendstar.llm.common import shared_table
@@ -41,8 +41,10 @@ MAYBE = {
     "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){15}"),
     "phone": lambda t: F.contains(t, F.lit("+")),
 }
-TERM = r"\p{L}{4,}"
-REACH, NEAR, SUPPORT = 64, 5, 2
+TERM = r"[\p{L}\p{M}\p{N}]++"
+SUPPORT = 2
+#: Stands for each character of a base span while terms are sought.
+HIDDEN = "\uFFFF"
 GENERALISE, REMOVE = 0.75, 0.9
 _SPAN = "array<struct<start:int,stop:int,found:string>>"
 
@@ -100,62 +102,75 @@ def _with(spans: str, **fields: Column | None) -> Column:
         *[(s[name] if value is None else value).alias(name) for name, value in fields.items()]))
 
 
-def _near(text: Column, spans: Column) -> Column:
-    """The terms around each span: [entity, term, start, stop]."""
-    def around(s: Column) -> Column:
-        entity = F.xxhash64(s["kind"], F.lower(s["found"]))
-        begin = F.greatest(F.lit(0), s["start"] - REACH)
-        before = located(F.substring(text, begin + 1, s["start"] - begin), TERM)
-        # a term cut by the window's edge is no term
-        before = F.filter(before, lambda w: (w["start"] > 0) | (begin == 0))
-        before = let(before, lambda b: F.when(F.size(b) > NEAR, F.slice(b, -NEAR, NEAR)).otherwise(b))
-        after = located(F.substring(text, s["stop"] + 1, F.lit(REACH)), TERM)
-        after = F.slice(F.filter(after, lambda w: w["stop"] < REACH), 1, NEAR)
+def found(docs: DataFrame) -> DataFrame:
+    """One row per document: k (a key of doc_id and text) and the base spans of
+    each kind."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.withColumn("k", F.xxhash64("doc_id", "text"))
+    return rows.select("doc_id", "k", *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
 
-        def moved(words: Column, by: Column) -> Column:
-            return F.transform(words, lambda w: F.struct(
-                entity.alias("entity"), F.lower(w["found"]).alias("term"),
-                (w["start"] + by).alias("start"), (w["stop"] + by).alias("stop")))
 
-        return F.concat(moved(before, begin), moved(after, s["stop"]))
+def _hidden(text: Column, spans: Column) -> Column:
+    """``text``, at equal length, with ``HIDDEN`` for each character of a span."""
+    text = F.translate(text, HIDDEN, " ")
 
-    words = F.flatten(F.transform(spans, around))
-    return F.filter(words, lambda w: ~F.exists(
-        spans, lambda s: (s["start"] < w["stop"]) & (w["start"] < s["stop"])))
+    def step(a: Column, s: Column) -> Column:
+        kept = F.substring(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"]))
+        cover = F.repeat(F.lit(HIDDEN), F.greatest(F.lit(0), s["stop"] - F.greatest(a["at"], s["start"])))
+        return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), F.concat(a["out"], kept, cover).alias("out"))
+    walked = F.aggregate(F.sort_array(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
+    return let(walked, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """One row per document: k (a key of doc_id and text), the base spans of each
-    kind, and the terms near them."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumn("k", F.xxhash64("doc_id", "text"))
-    rows = rows.select("doc_id", "k", "text", *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
-    every = F.concat(*[_with(kind, kind=F.lit(kind), found=None) for kind in KINDS])
-    near = F.when(F.size(every) > 0, let(every, lambda e: _near(F.col("text"), e)))
-    return rows.select("doc_id", "k", *KINDS, near.alias("near"))
+def _words(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """(k, term, start, stop) of all terms outside the spans of the documents in
+    ``spans`` (k, spans); a term that touches a span's characters is none."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), text).alias("k"), text.alias("text"))
+    rows = rows.join(spans, "k").dropDuplicates(["k"]).select("k", _hidden(F.col("text"), F.col("spans")).alias("text"))
+    edge = TERM[:-3] + HIDDEN + "]"
+    whole = f"(?<!{edge}){TERM}(?!{HIDDEN})"
+    rows = rows.select("k", F.split("text", whole, -1).alias("between"),
+                       F.regexp_extract_all("text", F.lit(whole), F.lit(0)).alias("found"))
+    word = F.posexplode(F.arrays_zip(F.slice("between", F.lit(1), F.size("found")).alias("between"), "found"))
+    rows = rows.select("k", word.alias("at", "w")).select(
+        "k", "at", F.length("w.between").alias("gap"), F.length("w.found").alias("size"),
+        F.xxhash64(F.lower("w.found")).alias("term"))
+    stop = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("k").orderBy("at")).cast("int")
+    return rows.withColumn("stop", stop).select("k", "term", (F.col("stop") - F.col("size")).alias("start"), "stop")
 
 
 def disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
     """(k, start, stop, share) of the terms that reveal a protected entity."""
-    once = base.where(F.size("near") > 0).select("k", "near").dropDuplicates(["k"])
-    near = once.select("k", F.explode("near").alias("w")).select(
-        "k", "w.entity", F.xxhash64("w.term").alias("term"), "w.start", "w.stop")
-    pairs = (near.select("k", "entity", "term").distinct()
-                 .groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT))
-    entities = near.select("k", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    words = F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))
-    terms = (docs.where(F.col("text").isNotNull())
-                 .select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))).alias("term"))
-                 .groupBy("term").agg(F.count("*").alias("n_t")))
     n = docs.count()
+    every = F.concat(*[_with(kind, kind=F.lit(kind), found=None) for kind in KINDS])
+    once = base.select("k", every.alias("spans")).where(F.size("spans") > 0).dropDuplicates(["k"])
+    held = once.select("k", F.explode("spans").alias("s")).select(
+        "k", F.xxhash64("s.kind", F.lower("s.found")).alias("entity")).distinct()
+    entities = (held.groupBy("entity").agg(F.count("*").alias("n_e"))
+                    .where((F.col("n_e") >= SUPPORT) & (F.col("n_e") < n)))
+    held = shared_table(held.join(entities, "entity"), "pii-held")
+    words = shared_table(_words(docs, once.join(held.select("k").distinct(), "k", "left_semi")), "pii-words")
+    own = F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w)))
+    terms = (docs.where(F.col("text").isNotNull()).select(F.explode(F.array_distinct(own)).alias("term"))
+                 .groupBy("term").agg(F.count("*").alias("n_t")))
     information = F.log2(F.lit(float(n)) / F.col("n_e"))
-    share = (information + F.log2(F.col("n_te") / F.greatest("n_t", "n_te"))) / information
-    telling = (pairs.join(entities, "entity").join(terms, "term")
-                    .where(F.col("n_e") < n).withColumn("share", share)
-                    .where(F.col("share") >= GENERALISE).select("entity", "term", "share"))
-    return (near.join(telling, ["entity", "term"])
-                .groupBy("k", "start", "stop").agg(F.max("share").alias("share")))
+
+    def share(n_te: str) -> Column:
+        return (information + F.log2(F.col(n_te) / F.greatest("n_t", n_te))) / information
+
+    # a term too common to tell even if it stood in all documents of the entity goes at once
+    near = (words.select("k", "term").distinct().join(terms, "term").join(held, "k")
+                 .where(share("n_e") >= GENERALISE))
+    near = shared_table(near.select("k", "entity", "term", "n_e", "n_t"), "pii-near")
+    telling = (near.groupBy("entity", "term")
+                   .agg(F.count("*").alias("n_te"), F.min("n_e").alias("n_e"), F.min("n_t").alias("n_t"))
+                   .where(F.col("n_te") >= SUPPORT).withColumn("share", share("n_te"))
+                   .where(F.col("share") >= GENERALISE).select("entity", "term", "share"))
+    marked = (near.select("k", "entity", "term").join(telling, ["entity", "term"])
+                  .groupBy("k", "term").agg(F.max("share").alias("share")))
+    return words.join(marked, ["k", "term"]).select("k", "start", "stop", "share")
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -164,7 +179,7 @@ def spans(docs: DataFrame) -> DataFrame:
     terms = (disclosing(docs, base).groupBy("k")
              .agg(F.sort_array(F.collect_list(F.struct("start", "stop", "share"))).alias("terms")))
     empty = F.array().cast("array<struct<start:int,stop:int,share:double>>")
-    return (base.drop("near").join(terms, "k", "left")
+    return (base.join(terms, "k", "left")
                 .withColumn("terms", F.coalesce("terms", empty)))
 
 

@@ -13,8 +13,9 @@ shares a region in some order with probability 1 - 2e-6.
 Candidates are ranked by signature agreement.  Each representative's best ones
 are confirmed first on the full sets; then all others whose documents are not
 yet in one component.  A crowded region's members that are still apart are
-sorted once more among those of other components.  Those that are apart even
-then go through an exact join on their rarest shingles, so a crowded region
+sorted once more and compared with the ``CROWD_REACH`` rows that follow, those
+of their own component included and skipped; this only spares work, as a long
+run of one component meets no other.  Those that are apart even then go through an exact join on their rarest shingles, so a crowded region
 loses no link between components.  Components come from alternating large-star
 and small-star rounds over tables.
 
@@ -39,7 +40,8 @@ DEPTH = 3
 ORDERS = SIZE // DEPTH
 SORT_DEPTH = 12
 NEIGHBOURS = 8
-#: In crowded regions, members still apart: rows that follow, best ones confirmed.
+#: In crowded regions, members still apart: rows that follow (of any component),
+#: best ones confirmed.
 CROWD_REACH, CROWD_BEST = 64, 4
 #: Least agreement of signatures for a check on the sets: five standard
 #: deviations below the mean of 54 at similarity 0.75.

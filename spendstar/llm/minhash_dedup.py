@@ -100,7 +100,7 @@ def _sets(batches):
         for i, j in doc_slices(offsets):
             sets = distinct_shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-            flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            flat = np.concatenate(sets).view(np.int64)
             for a, b in doc_slices(cuts, 1 << 20):
                 part = pa.ListArray.from_arrays(pa.array(cuts[a:b + 1] - cuts[a], pa.int32()),
                                                 pa.array(flat[cuts[a]:cuts[b]]))
@@ -214,7 +214,10 @@ def _regions(reps: DataFrame) -> DataFrame:
 def _sorted_pairs(rows: DataFrame, reach: int, most: int | None = None) -> DataFrame:
     key = F.expr(f"substring(concat(signature, signature), tree * {4 * DEPTH} + 1, {4 * SORT_DEPTH})")
     order = ["tree", "key", "id"]
-    rows = rows.withColumn("key", key).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.withColumn("key", key)
+    small = F.col("members") <= reach + 1  # kept whole, so that no pair is cut by a partition's edge
+    whole = rows.where(small).repartition("region").sortWithinPartitions("region", "key", "id")
+    rows = rows.where(~small).repartitionByRange(*order).sortWithinPartitions(*order).unionByName(whole)
     pairs = (rows.select("id", "region", "comp", "signature")
                  .mapInArrow(_pairs_in_order(reach, most), "a long, b long, agree int"))
     return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
@@ -281,7 +284,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = shared_table(_sorted_pairs(rows.withColumn("comp", F.col("id")), NEIGHBOURS), "minhash-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = shared_table(
-        text.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<int>"),
+        text.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"),
         "minhash-sets")
 
     rank = [F.row_number().over(Window.partitionBy(c).orderBy(F.desc("agree"), o))
@@ -301,7 +304,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     apart = shared_table(_still_apart(rows, comps).select("id", "comp").distinct(), "minhash-apart")
     whole = shared_table(
         text.join(apart.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-            .mapInArrow(_sets, "id long, shingles array<int>"), "minhash-whole")
+            .mapInArrow(_sets, "id long, shingles array<long>"), "minhash-whole")
     last = shared_table(_confirmed(_exact_pairs(whole.join(apart, "id")), whole), "minhash-last")
     comps = _merged(comps, last, "minhash-comps")
 

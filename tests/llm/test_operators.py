@@ -8,11 +8,12 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spendstar.llm import (feistel_shard, kdtree_search, minhash_dedup, mix_sources, pii_sanitise,
                            pow2_pack, queries, suffix_dedup, syncmers)
-from spendstar.llm.common import table
+from spendstar.llm.common import buffers, table
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row_no long, k string"
@@ -89,6 +90,23 @@ def test_near_dedup_links_a_crowded_region(spark):
     assert {r.component_id for r in got} == {1}
 
 
+def test_small_regions_are_kept_whole_and_sets_uncut(spark):
+    text = pa.array(["a b c d e f g"])
+    batch = next(minhash_dedup._sets([pa.RecordBatch.from_arrays([pa.array([1]), text], names=["doc_id", "text"])]))
+    data, offsets = buffers(text)
+    assert batch.column(1)[0].as_py() == minhash_dedup.distinct_shingles(data, offsets)[0].view(np.int64).tolist()
+    size, rng = minhash_dedup.NEIGHBOURS + 1, np.random.default_rng(3)
+    rows = [(size * g + i, 0, g, size, sig, size * g + i) for g in range(203)
+            for sig in [rng.bytes(4 * minhash_dedup.SIZE)] for i in range(size)]
+    df = spark.createDataFrame(rows, "id long, tree int, region long, members long, signature binary, comp long")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        assert minhash_dedup._sorted_pairs(df, size - 1).count() == 203 * size * (size - 1) // 2
+    finally:
+        spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
 def test_feistel_is_a_permutation(n):
     assert sorted(feistel_shard.feistel(np.arange(n), n, 7)) == list(range(n))

@@ -1,0 +1,292 @@
+"""op11, op12 and op13 against brute force, and their edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spendstar.llm import chat_format, conversation_repair as cr, queries, source_audit
+from spendstar.llm.conversations import plain
+
+SF = "/root/testdata/sf0.001"
+SF_LARGER = "/root/testdata/sf0.01"
+TURNS = "conv_id long, turn long, role string, text string, at long, row_no long, _i string"
+#: Nulls in every column, blank and very long texts, ties, repeated rows, clashing names.
+ODD = [(1, 0, "user", "Hi there.", 1, 2, "q"), (1, 0, "user", "Hi there.", 1, 2, "q"),
+       (1, 1, "assistant", "Yes " * 50_000 + "!", 9, 2, None), (1, None, "system", "Be kind.", None, 0, "q"),
+       (2, 5, None, None, 1, 1, "z"), (2, 5, "tool", "a", 1, 1, "z"), (3, None, None, None, None, None, None),
+       (None, 3, "user", "lost?", 0, 0, "u"), (None, 4, "assistant", "found. \t", 0, 0, "u"),
+       (4, 7, "assistant", "first!", 0, 0, "u"), (4, 9, "assistant", "", 0, 0, "u"),
+       (5, 1, "user", "été <s>[INST]\\ %0A", 0, 0, ""), (5, 2, "a\nb<%", "<\\/s></s>", 0, 0, "")]
+
+
+def _damaged(rows):
+    """The damage rule, from its text; rows by conversation in order."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        rule = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if rule == 1 else re.sub("[.!?]", "", text) if rule == 2 else text
+        role = "user" if rule == 4 else role
+        out[conv] += [(turn, role, text)] * (0 if rule == 0 else 2 if rule == 3 else 1)
+    return {c: sorted(r, key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode(), x[2].encode()))
+            for c, r in out.items()}
+
+
+def _repaired(rows):
+    """Dijkstra over (cost, edits): the cheapest and then ASCII-least edit string."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        body = re.sub(r"[\x20\x09-\x0D]+\Z", "", text)
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen
+                      else "truncated" if body[-1] not in ".!?" else None)
+        seen.add((role, text))
+    heap, closed = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, edits, i, last, kept = heapq.heappop(heap)
+        if (i, last) in closed:
+            continue
+        closed.add((i, last))
+        if i == len(rows) and last in ("", "a"):
+            break
+        after = "a" if last == "u" else "u"
+        full = {"u": "user", "a": "assistant"}[after]
+        heapq.heappush(heap, (cost + 5, edits + "I", i, after, (*kept, (full, ""))))
+        if i < len(rows):
+            _, role, text = rows[i]
+            heapq.heappush(heap, (cost + 2, edits + "D", i + 1, last, kept))
+            if faults[i] not in ("blank", "duplicate"):
+                more = 5 * (faults[i] == "truncated")
+                heapq.heappush(heap, (cost + 1 + more, edits + "R", i + 1, after, (*kept, (full, text))))
+                if last + role[:1] in ("s", "u", "su", "ua", "au"):
+                    heapq.heappush(heap, (cost + more, edits + "K", i + 1, role[:1], (*kept, (role, text))))
+    return faults, cost, edits, "\n".join(f"{r}:{t}" for r, t in kept)
+
+
+def _expected(rows):
+    convs, out = _damaged(rows), {}
+    for conv in {r[0] for r in rows}:
+        turns = convs.get(conv, [])
+        faults, cost, edits, text = _repaired(turns)
+        numbers = {t for t, _, _ in turns if t is not None}
+        pairs = [a[1][:1] + b[1][:1] for a, b in zip(turns, turns[1:])]
+        out[conv] = (max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0,
+                     *(faults.count(f) for f in ("blank", "duplicate", "truncated")),
+                     sum(p not in ("su", "ua", "au") for p in pairs), cost, edits,
+                     hashlib.sha256(text.encode()).hexdigest())
+    return out
+
+
+def _reported(df):
+    return {r.conv_id: tuple(r)[1:] for r in df.collect()}
+
+
+def test_repair_equals_brute_force(spark):
+    rows = duckdb.sql(f"select conv_id, turn, role, text from '{SF_LARGER}/conversations.parquet'").fetchall()
+    assert _reported(queries.op11_conversation_repair(spark, SF_LARGER)) == _expected(rows)
+
+
+def test_repair_of_odd_rows(spark):
+    odd = spark.createDataFrame(ODD, TURNS)
+    assert _reported(cr.report(odd, cr.damage(odd))) == _expected([r[:4] for r in ODD])
+    assert cr.report(odd.limit(0), cr.damage(odd.limit(0))).count() == 0
+
+
+def _as_rows(symbols):
+    """Turns that have the given symbols."""
+    out = []
+    for i, s in enumerate(symbols):
+        first = cr.MUST_GO.get(s, s.lower())
+        out.append((i, first, "" if s in cr.MUST_GO else f"t{i}" if s.isupper() else f"t{i}."))
+    return out
+
+
+def test_search_of_short_and_long_conversations():
+    """Also beyond one piece, where each piece is held against the cost of the rest."""
+    rng = random.Random(3)
+    for n in [*range(9), 63, 64, 65, 128, 200, 300]:
+        for _ in range(60 if n < 9 else 4):
+            symbols = "".join(rng.choice("sssuuuuaaaaxSUAX1234") for _ in range(n))
+            _, cost, edits, _ = _repaired(_as_rows(symbols))
+            got = cr.cheapest(symbols)
+            assert (cr.cost_of(got, symbols), got) == (cost, edits), symbols
+
+
+def test_repaired_turns_of_a_conversation_that_is_long(spark):
+    rng = random.Random(5)
+    rows = [(9, i // 2, rng.choice(["user", "assistant", "system"]), rng.choice(["ok.", "ok", f"t{i}."]))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    got = cr.report(df, df).first()
+    ordered = sorted(r[1:] for r in rows)
+    faults, cost, edits, text = _repaired(ordered)
+    assert (got.cost, got.audit, got.duplicate) == (cost, edits, faults.count("duplicate"))
+    assert got.repaired_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- source audit ---------------------------------------------------------------
+
+def _divergence(rows, min_docs=10, top=10):
+    used, docs, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        lang, source, text = lang or "", source or "", text or ""
+        low = text.translate({c: c + 32 for c in range(65, 91)})
+        terms = Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low))
+        groups[lang].add(source)
+        used[lang, source].update(terms)
+        docs[lang].update(set(terms))
+    out = set()
+    for lang, sources in groups.items():
+        kept = sorted(t for t, n in docs[lang].items() if n >= min_docs)
+        count = {s: {t: used[lang, s][t] for t in kept} for s in sources}
+        whole = {t: sum(count[s][t] for s in sources) for t in kept}
+
+        def p(c):
+            n = sum(c.values()) + 2 * len(kept)
+            return {t: 1 + 10**9 * (c[t] + 2) // n for t in kept}
+
+        def f(a, b):
+            return (a - b) ** 2 // (a + b)
+        ps, q = {s: p(count[s]) for s in sources}, p(whole)
+        for s in sources:
+            pairs = [(o, sum(f(ps[s][t], ps[o][t]) for t in kept)) for o in sources if o != s]
+            terms = [(t, f(ps[s][t], q[t])) for t in kept if count[s][t] and ps[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda x: (-x[1], x[0].encode()))
+                out |= {(lang, s, part, i, v, k + 1) for k, (i, v) in enumerate(found[:most])}
+    return out
+
+
+def _audited(df):
+    return {(r.lang, r.source, r.part, r["item"], r.value, r.rank) for r in df.collect()}
+
+
+def test_audit_equals_brute_force(spark, monkeypatch):
+    rows = duckdb.sql(f"select text, lang, source from '{SF}/documents.parquet'").fetchall()
+    want = _divergence(rows)
+    assert _audited(queries.op12_source_audit(spark, SF)) == want
+    monkeypatch.setattr(source_audit, "SEGMENT", 7)  # many segments of term ids
+    assert _audited(queries.op12_source_audit(spark, SF)) == want
+
+
+def test_audit_of_odd_rows(spark):
+    rows = [("One two ÉTÉ", None, None, 1, "x"), (None, "en", "s", 1, "x"), ("", "en", "t", 1, None),
+            ("A b a b_c", "en", "t", None, "y"), ("a b", "en", "u", 2, "z"), ("a b", "en", "u", 2, "z"),
+            ("solo " * 300_000, "fr", "s", 2, "z"), ("12 34", "de", "s", 3, ""), ("!", "de", None, 3, "")]
+    df = spark.createDataFrame(rows, "text string, lang string, source string, id long, term string")
+    for least in (1, 2, 10):
+        assert _audited(source_audit.audit(df, min_docs=least)) == _divergence([r[:3] for r in rows], least)
+    assert source_audit.audit(df.limit(0)).count() == 0
+
+
+def test_gallop_and_weights():
+    rng = np.random.default_rng(1)
+    for few, many in ((0, 5), (5, 0), (10, 100_000), (3000, 3000), (5000, 200_000)):
+        a = np.unique(rng.integers(0, 300_000, few))
+        b = np.unique(rng.integers(0, 300_000, many))
+        at = source_audit.gallop(a, b)
+        assert [x for x, i in zip(a, at) if i >= 0] == sorted(set(a) & set(b))
+        assert (b[at[at >= 0]] == a[at >= 0]).all()
+    counts = np.array([0, 1, 10**6, 8 * 10**15])
+    for total in (8 * 10**15 + 2, 9 * 10**15 - 1, 9 * 10**15, 10**17):
+        assert source_audit.weight(counts, total).tolist() == [1 + 10**9 * (int(c) + 2) // total for c in counts]
+
+
+# --- chat format ------------------------------------------------------------------
+
+def test_texts_come_back_and_hold_no_control_string(spark):
+    rng = random.Random(1)
+    parts = ["<s>", "</s>", "[INST]", "[/INST]", "<", "[", "\\", "/", "s>", "INST]", "a", "\n", "%", "0A", "%3C", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", chat_format.escape(F.col("t")).alias("e"), chat_format.escape_role(F.col("t")).alias("r")) \
+             .select("*", chat_format.unescape(F.col("e")).alias("te"),
+                     chat_format.unescape_role(F.col("r")).alias("tr")).collect()
+    for r in rows:
+        assert r.te == r.t == r.tr
+        assert not any(c in r.e for c in chat_format.CONTROL)
+        assert not any(c in r.r for c in "\n<[")
+
+
+def test_chat_digests_of_odd_rows(spark, monkeypatch):
+    odd = spark.createDataFrame(ODD, TURNS)
+    monkeypatch.setattr(queries, "table", lambda *a: odd)
+    got = {r.conv_id: r for r in queries.op13_chat_format(spark, "").collect()}
+    convs = defaultdict(list)
+    for conv, turn, role, text, *_ in [*ODD, *queries.PLANTED]:
+        convs[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    assert set(got) == set(convs)
+    for conv, turns in convs.items():
+        turns.sort(key=lambda t: (t[0], t[1], t[2].encode(), t[3].encode()))
+        said = "".join(f"{r}\n{t}\n" for _, _, r, t in turns)
+        loss = "".join(t for _, _, r, t in turns if r == "assistant")
+        assert (got[conv].n_turns, got[conv].loss_chars) == (len(turns), len(loss))
+        assert got[conv].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert got[conv].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    monkeypatch.setattr(queries, "table", lambda *a: odd.limit(0))
+    assert [r.conv_id for r in queries.op13_chat_format(spark, "").collect()] == [-7]
+
+
+MESSAGES = "tree_id string, message_id long, parent_id long, role string, text string, score double"
+
+
+def _paths(messages):
+    kids, ids = defaultdict(list), {m[1] for m in messages}
+    by = {m[1]: m for m in messages}
+    for m in messages:
+        kids[m[2] if m[2] in ids else None].append(m[1])
+    out, stack = [], [[r] for r in kids[None]]
+    while stack:
+        path = stack.pop()
+        if kids[path[-1]]:
+            stack += [path + [k] for k in kids[path[-1]]]
+        else:
+            out.append((path, sum(by[i][5] or 0.0 for i in path) / len(path)))
+    return by, out
+
+
+def test_reply_trees_equal_walked_paths(spark):
+    rng, messages, n = random.Random(2), [], 0
+    for tree in range(12):
+        own = []
+        for _ in range(rng.randint(1, 25)):
+            # long unbranched threads, forks, and a parent that is missing
+            parent = None if not own else rng.choice(own) if rng.random() < 0.3 else own[-1]
+            messages.append((f"t{tree}", n, parent if rng.random() < 0.97 else 10**9 + n,
+                             rng.choice(["user", "assistant"]), f"m{n}", rng.choice([None, 0.0, 1.0, 2.0])))
+            own.append(n)
+            n += 1
+    by, paths = _paths(messages)
+    df = spark.createDataFrame(messages, MESSAGES)
+    got = chat_format.format_trees(df, keep=None).select(
+        "formatted", "score", "rank", chat_format.read_back(F.col("formatted")).alias("turns"),
+        chat_format.under_mask(F.col("formatted"), F.col("loss_mask")).alias("loss")).collect()
+    assert sorted([t["text"] for t in r.turns] for r in got) == sorted([by[i][4] for i in p] for p, _ in paths)
+    score = {tuple(by[i][4] for i in p): s for p, s in paths}
+    for r in got:
+        assert r.score == pytest.approx(score[tuple(t["text"] for t in r.turns)])
+        assert r.loss == "".join(t["text"] for t in r.turns if t["role"] == "assistant")
+    best = chat_format.format_trees(df, keep=1).count()
+    assert best == len({p[0] for p, _ in paths})
+
+
+def test_cycles_and_empty_trees(spark):
+    cycle = [("c", 1, 2, "user", "a", 1.0), ("c", 2, 1, "user", "b", 1.0), ("d", 3, None, "user", "x", 1.0)]
+    got = chat_format.format_trees(spark.createDataFrame(cycle, MESSAGES)).collect()
+    assert [(r.tree_id, r.n_turns) for r in got] == [("d", 1)]
+    assert chat_format.format_trees(spark.createDataFrame([], MESSAGES)).count() == 0
+
+
+def test_chat_format_uses_no_python_worker(spark):
+    rows = plain(spark.read.parquet(f"{SF}/conversations.parquet"))
+    plan = chat_format.format_trees(chat_format.as_trees(rows))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -45,7 +45,7 @@ MIN_DOCS = 10
 TOP = 10
 TILE = 4
 SEGMENT = 1 << 17
-FLUSH = 200_000
+FLUSH = 400_000
 SCALE = 1_000_000_000
 _CUT = 1 << 20
 _RUN = 1024
@@ -66,30 +66,30 @@ def _terms(text: str):
 
 def _count(batches):
     """lang, source, text -> lang, source, term, n, docs (partial sums)."""
+    held: dict[tuple, tuple[Counter, Counter]] = {}
+    size = 0
     for batch in batches:
-        held: dict[tuple, list] = {}
-        for lang, source, text in zip(*(batch.column(i) for i in range(3))):
-            group, seen = (lang.as_py(), source.as_py()), Counter()
+        langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for lang, source, text in zip(langs, sources, batch.column(2)):
+            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+            before, seen = len(n), set()
             for part in _terms(text.as_py()):
+                n.update(part)
                 seen.update(part)
-            for term, n in seen.items():
-                sums = held.setdefault((*group, term), [0, 0])
-                sums[0] += n
-                sums[1] += 1
-            if len(held) >= FLUSH:
-                yield _counts(held)
-                held = {}
-        if held:
-            yield _counts(held)
+            docs.update(seen)
+            size += len(n) - before
+            if size >= FLUSH:
+                yield from _counts(held)
+                held, size = {}, 0
+    yield from _counts(held)
 
 
 def _counts(held: dict):
-    langs, sources, terms = zip(*held)
-    n, docs = zip(*held.values())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(sources, pa.string()),
-         pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()),
-         pa.array(docs, pa.int64())], names=["lang", "source", "term", "n", "docs"])
+    for (lang, source), (n, docs) in held.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.repeat(pa.scalar(source, pa.string()), len(n)),
+             pa.array(list(n), pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()),
+             pa.array([docs[t] for t in n], pa.int64())], names=["lang", "source", "term", "n", "docs"])
 
 
 # --- the merge of two sorted arrays -------------------------------------------

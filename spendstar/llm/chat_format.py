@@ -58,10 +58,16 @@ def unescape_role(role: Column) -> Column:
 
 # --- reply trees ----------------------------------------------------------------
 
+def _parent(key: str, message: str = "message_id") -> Column:
+    """The join condition parent_id = key.  Roots match nothing; the first
+    equality deals them by their own id, not all to one task."""
+    return (F.coalesce(F.col("parent_id"), F.col(message)) == F.col(key)) & F.col("parent_id").isNotNull()
+
+
 def _stretches(links: DataFrame) -> DataFrame:
     """message_id, head, dist: each message's place in its unbranched stretch."""
     replies = links.groupBy(F.col("parent_id").alias("_parent")).agg(F.count("*").alias("_n"))
-    hops = links.join(replies, F.col("parent_id") == F.col("_parent"), "left").select(
+    hops = links.join(replies, _parent("_parent"), "left").select(
         "message_id", F.when(F.col("_n") == 1, F.col("parent_id")).alias("to"))
     hops = shared_table(hops.select(
         "message_id", F.coalesce("to", "message_id").alias("to"),
@@ -88,14 +94,15 @@ def branches(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     (head, dist, message_id)."""
     links = messages.select("message_id", "parent_id", F.col("score").cast("double").alias("score"))
     present = links.select(F.col("message_id").alias("_there"))
-    links = links.join(present, F.col("parent_id") == F.col("_there"), "left") \
+    links = links.join(present, _parent("_there"), "left") \
                  .select("message_id", F.col("_there").alias("parent_id"), "score")
     places = shared_table(_stretches(links).join(links, "message_id"), "tree-places")
     stretch = places.groupBy("head").agg(
         F.sum(F.coalesce("score", F.lit(0.0))).alias("score"), F.count("*").alias("turns"),
         F.max(F.when(F.col("dist") == 0, F.col("parent_id"))).alias("parent_id"))
-    above = places.select(F.col("message_id").alias("parent_id"), F.col("head").alias("above"))
-    stretch = shared_table(stretch.join(above, "parent_id", "left"), "tree-stretches")
+    above = places.select(F.col("message_id").alias("_answers"), F.col("head").alias("above"))
+    stretch = shared_table(stretch.join(above, _parent("_answers", "head"), "left").drop("_answers"),
+                           "tree-stretches")
     under = stretch.where(F.col("above").isNotNull()).select(
         "above", F.col("head").alias("_head"), F.col("score").alias("_score"), F.col("turns").alias("_turns"))
     answered = under.select(F.col("above").alias("head")).distinct()

@@ -57,8 +57,10 @@ def features(data: np.ndarray, offsets: np.ndarray):
     # words that end in a mark, begin with a capital, or repeat the word before
     last = np.concatenate([[0], np.cumsum(_CLASS[2][data[ends - 1]])]) if len(ends) else np.zeros(1, int)
     cap = np.concatenate([[0], np.cumsum(_CLASS[0][data[starts]])]) if len(starts) else np.zeros(1, int)
-    same = np.zeros(len(hashes) + 1, dtype=np.int64)
-    same[2:] = np.cumsum(hashes[1:] == hashes[:-1])
+    # one entry more than words: a text without words may stand last
+    same = np.zeros(len(hashes) + 2, dtype=np.int64)
+    same[2:-1] = np.cumsum(hashes[1:] == hashes[:-1])
+    same[-1] = same[-2]
     words = np.maximum(counts, 1)
     index, value, to = [], [], [0]
     distinct = np.zeros(n, dtype=np.int64)

@@ -30,6 +30,34 @@ def test_odd_rows_and_labels(spark, operator):
         assert operator.score(docs.limit(0), labels).count() == 0
 
 
+def test_quality_of_blank_texts_at_any_place():
+    """A text without words may stand first, in the middle or last of a batch."""
+    import itertools
+
+    import pyarrow as pa
+
+    from spendstar.llm.common import buffers, lowered
+
+    alone = {}
+    for text in ("a b", "a a b.", "", " \t", None):
+        data, offsets = buffers(pa.array([text], pa.string()))
+        index, value, to = fm_quality.features(data, offsets)
+        alone[text] = (index.tolist(), value.tolist())
+    for texts in itertools.product(alone, repeat=3):
+        data, offsets = buffers(pa.array(list(texts), pa.string()))
+        index, value, to = fm_quality.features(data, offsets)
+        for i, text in enumerate(texts):
+            assert (index[to[i]:to[i + 1]].tolist(), value[to[i]:to[i + 1]].tolist()) == alone[text]
+
+
+def test_keep_good_of_odd_rows(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (7, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = [(1, "a b", "x"), (2, "", None), (3, None, "x"), (4, " ", "x"), (None, "a b", "x"), (1, "a b", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string").coalesce(1)
+    assert fm_quality.keep_good(docs, labels).columns == docs.columns
+    assert fm_quality.keep_good(docs.limit(0), labels).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from spendstar.llm.common import shared_table

@@ -3,7 +3,7 @@
 from spendstar.sources.delimited import read_spend, write_spend
 from spendstar.sources.reject_list import (
     RejectListError,
-    check_roots,
+    check_documents,
     read_reject_list,
     write_reject_list,
 )
@@ -12,7 +12,7 @@ from spendstar.sources.tpch_adapter import rejects_from_tpch, spend_from_tpch
 
 __all__ = [
     "RejectListError",
-    "check_roots",
+    "check_documents",
     "materialize",
     "read_reject_list",
     "read_spend",

@@ -2,21 +2,21 @@
 
 Shape: ``<Suppliers><Supplier SupplierName="..."/>...</Suppliers>``.
 
-The default path is splittable: Spark's XML source reads ``Supplier``
-records in FAILFAST mode (a bare ``&`` raises), and a line-level pass over
-the same files checks that each file opens and closes its root exactly once
-(the record reader alone accepts an unclosed root).  Both run on executors.
-
-``repair=True`` escapes bare ampersands first.  Escaping needs the document
-text, so that path reads each file as one value, like a single-document
-load; keep it for files of ordinary size.
+Each file is one document, parsed whole by Spark's XPath functions, so the
+names are those of the root's own children (a ``Supplier`` deeper in the
+document is not one) and well-formedness is the XML parser's judgement, with
+its line, column and reason in the error.  A list may be many files; they are
+parsed in parallel, and one file is held by one task.
+
+``repair=True`` escapes bare ampersands first.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendstar.constants import (
@@ -24,82 +24,83 @@ from spendstar.constants import (
     REJECT_ROOT_TAG,
     REJECT_ROW_TAG,
 )
+from spendstar.sources.files import listed
 
 # An ampersand that does not start a character or entity reference.
 BARE_AMPERSAND = r"&(?!(amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)"
+DECLARED = r"""^<\?xml[^>]*encoding=["']([A-Za-z0-9._-]+)["']"""
+_ROW = f"/{REJECT_ROOT_TAG}/{REJECT_ROW_TAG}"
 
 
 class RejectListError(ValueError):
-    """The reject-list XML is not well formed."""
-
-
-def _paths(paths: str | Iterable[str]) -> list[str]:
-    return [paths] if isinstance(paths, str) else list(paths)
-
-
-def check_roots(spark: SparkSession, paths: str | Iterable[str]) -> None:
-    """Raise unless every file opens and closes the root element exactly once."""
-    lines = spark.read.text(_paths(paths)).select(
-        F.input_file_name().alias("file"), F.col("value"))
-    open_tag = rf"<{REJECT_ROOT_TAG}(\s|>|/>)"
-    close_tag = rf"(</{REJECT_ROOT_TAG}\s*>|<{REJECT_ROOT_TAG}[^>]*/>)"
-    # occurrences, not lines: a one-line file may hold several roots
-    per_file = lines.groupBy("file").agg(
-        F.sum(F.regexp_count("value", F.lit(open_tag))).alias("opens"),
-        F.sum(F.regexp_count("value", F.lit(close_tag))).alias("closes"))
-    bad = per_file.where((F.col("opens") != 1) | (F.col("closes") != 1)).limit(5).collect()
+    """The reject-list XML is not well formed, or not a list of named suppliers."""
+
+
+def _text(content: Column) -> Column:
+    """The document's text, by its byte-order mark, else its declaration, else UTF-8."""
+    start = F.hex(F.substring(content, 1, 2))
+    declared = F.upper(F.regexp_extract(F.decode(F.substring(content, 1, 200), "ISO-8859-1"), DECLARED, 1))
+    charset = F.when(start == "FFFE", "UTF-16LE").when(start == "FEFF", "UTF-16BE") \
+               .when(declared.isin("", "UTF-16"), "UTF-8").otherwise(declared)
+    return F.regexp_replace(F.call_function("decode", content, charset), "^﻿", "")
+
+
+def documents(spark: SparkSession, paths: str | Iterable[str], repair: bool = False) -> DataFrame:
+    """[file, document]: each file's whole text, one row a file."""
+    text = _text(F.col("content"))
+    if repair:
+        text = F.regexp_replace(text, BARE_AMPERSAND, "&amp;")
+    return (spark.read.format("binaryFile").load(listed(paths))
+            .select(F.col("path").alias("file"), text.alias("document")))
+
+
+def _names(docs: DataFrame) -> DataFrame:
+    names = F.xpath("document", F.lit(f"{_ROW}/@{REJECT_ATTRIBUTE}"))
+    return docs.select(F.explode(names).alias(REJECT_ATTRIBUTE))
+
+
+def _reason(error: Exception) -> str:
+    """The XML parser's own words: line, column and reason."""
+    found = re.search(r"lineNumber: (\d+); columnNumber: (\d+); ([^\n]+)", str(error))
+    if found:
+        return f"line {found[1]}, column {found[2]}: {found[3]}"
+    lines = str(error).strip().splitlines()
+    return lines[0][:300] if lines else type(error).__name__
+
+
+def check_documents(docs: DataFrame) -> None:
+    """Raise unless every document is well formed, has the list's root, and
+    names every supplier."""
+    facts = F.xpath_string("document", F.lit(
+        f"concat(count(/{REJECT_ROOT_TAG}), ' ', count({_ROW}[not(@{REJECT_ATTRIBUTE})]))"))
+    checked = docs.select("file", F.split(facts, " ").alias("_f")).select(
+        "file", F.coalesce(F.col("_f")[0].cast("int"), F.lit(0)).alias("roots"),
+        F.col("_f")[1].cast("bigint").alias("nameless"))
+    try:
+        bad = checked.where("roots != 1 OR nameless > 0").limit(5).collect()
+    except Exception as e:  # the parser's error, thrown in a task
+        raise RejectListError("XML parsing failed (escape bare '&' as '&amp;' or use repair=True): "
+                              + _reason(e)) from e
+    rootless = [r.file for r in bad if r.roots != 1]
+    if rootless:
+        raise RejectListError(f"XML parsing failed: the root is not <{REJECT_ROOT_TAG}> in {', '.join(rootless)}")
     if bad:
-        detail = ", ".join(f"{r.file} (opens={r.opens}, closes={r.closes})" for r in bad)
-        raise RejectListError(
-            f"XML parsing failed: root <{REJECT_ROOT_TAG}> not opened and closed once in {detail}")
-
-
-def _read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return (spark.read
-            .option("rowTag", REJECT_ROW_TAG)
-            .option("mode", "FAILFAST")
-            .option("attributePrefix", "_")
-            .schema(f"_{REJECT_ATTRIBUTE} string")
-            .xml(paths)
-            .select(F.col(f"_{REJECT_ATTRIBUTE}").alias(REJECT_ATTRIBUTE)))
-
-
-def _read_repaired(spark: SparkSession, paths: list[str]) -> DataFrame:
-    docs = spark.read.text(paths, wholetext=True)
-    fixed = F.regexp_replace("value", BARE_AMPERSAND, "&amp;")
-    parsed = F.from_xml(
-        fixed,
-        f"{REJECT_ROW_TAG} array<struct<_{REJECT_ATTRIBUTE}: string>>",
-        {"mode": "FAILFAST", "attributePrefix": "_"})
-    return (docs.select(F.explode(parsed[REJECT_ROW_TAG]).alias("r"))
-            .select(F.col(f"r._{REJECT_ATTRIBUTE}").alias(REJECT_ATTRIBUTE)))
+        raise RejectListError("; ".join(
+            f"{r.nameless} <{REJECT_ROW_TAG}> without {REJECT_ATTRIBUTE} in {r.file}" for r in bad))
 
 
 def read_reject_list(spark: SparkSession, paths: str | Iterable[str],
                      repair: bool = False, validate: bool = True) -> DataFrame:
     """Supplier names to reject, one row each (column ``SupplierName``).
 
-    Malformed XML raises :class:`RejectListError` at read time (root check,
-    then a FAILFAST parse of the records) unless ``validate=False``.
-    So does an element without the attribute: a supplier must have a name.
+    A malformed document, another root, or a supplier without a name raises
+    :class:`RejectListError` at read time, before a load starts, unless
+    ``validate=False``.
     """
-    paths = _paths(paths)
-    if validate:
-        check_roots(spark, paths)
-    names = _read_repaired(spark, paths) if repair else _read_records(spark, paths)
+    docs = documents(spark, paths, repair)
     if validate:
-        # Parse now (counting the parsed column forces it), so a malformed
-        # record stops the load here with a clear message, not mid-load.
-        try:
-            nameless = names.agg(F.count_if(F.col(REJECT_ATTRIBUTE).isNull())).first()[0]
-        except Exception as e:  # Spark's FAILFAST parse error
-            first = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
-            raise RejectListError(
-                "XML parsing failed (escape bare '&' as '&amp;' or use repair=True): "
-                + first[:300]) from e
-        if nameless:
-            raise RejectListError(f"{nameless} <{REJECT_ROW_TAG}> without {REJECT_ATTRIBUTE}")
-    return names.where(F.col(REJECT_ATTRIBUTE).isNotNull())
+        check_documents(docs)
+    return _names(docs)
 
 
 def write_reject_list(df: DataFrame, path: str, column: str = REJECT_ATTRIBUTE,

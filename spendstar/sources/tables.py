@@ -25,3 +25,9 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
     writer.parquet(target)
     # The schema is known: passing it skips the footer-reading inference job.
     return spark.read.schema(df.schema).parquet(target)
+
+
+def remove(spark, path: str) -> None:
+    """Delete a scratch table that no later step reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -4,7 +4,8 @@ The reference ships no spend files, so tests and the bench derive them from
 the driver's tables: one payment per ``lineitem`` row.  The dirty variant
 injects the faults the pipeline must survive (day-first dates without
 padding, impossible dates, bad amounts, padded and missing names, personal
-names, blank entities, exact duplicates).  Each fault is chosen by a modulus
+names, missing and blank entities, departments and expense types, exact
+duplicates).  Each fault is chosen by a modulus
 of the order key; every row is kept, duplicates are added.  The same rules
 are written in SQL for the DuckDB oracle (``spendstar.checks.oracle``).
 
@@ -38,12 +39,14 @@ NULL_SUPPLIER_MOD = 29       # supplier NULL
 PERSONAL_MOD = 31            # supplier 'Personal Expense <linenumber>'
 WITHHELD_MOD = 37            # supplier 'Name Withheld'
 EXPONENT_AMOUNT_MOD = 41     # amount '1e3'
-REJECT_SUPPKEY_MOD = 20      # suppliers with s_suppkey % 20 = 3 are rejected
+NO_TYPE_MOD = 43             # expense type NULL (even line number) or blank (odd)
+NO_DEPARTMENT_MOD = 47       # department NULL (even line number) or blank (odd)
+REJECT_SUPPKEY_MOD = 4       # suppliers with s_suppkey % 4 = 3 are rejected
 REJECT_SUPPKEY_REM = 3
 BAD_DATE_TEXT = "31/02/2001"
 BAD_AMOUNT_TEXT = "1,234.56"
 EXPONENT_AMOUNT_TEXT = "1e3"
-BLANK_ENTITY_TEXT = "  "
+BLANK_TEXT = "  "
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,20 +57,11 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its order, part, supplier, nation and region.
 
     Each lookup table is joined on its own, so the planner sizes it from its
-    own file statistics (broadcast when small, shuffle join when large).  A
-    lineitem input split into fewer partitions than the cluster has cores
-    (one row group, say) is spread round-robin first; a normally split
-    input is left alone.
+    own file statistics (broadcast when small, shuffle join when large).
     """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if li.rdd.getNumPartitions() < cores:
-            li = li.repartition(cores)
-    except Exception:  # no SparkContext on this client: keep the scan's own split
-        pass
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -127,7 +121,10 @@ def spend_from_tpch(spark: SparkSession, sf_dir: str, dirty: bool = True) -> Dat
             F.when(hit(EXPONENT_AMOUNT_MOD), F.lit(EXPONENT_AMOUNT_TEXT))
              .when(hit(BAD_AMOUNT_MOD), F.lit(BAD_AMOUNT_TEXT))
              .otherwise(amount))
-        cols["Entity"] = F.when(hit(BLANK_ENTITY_MOD), F.lit(BLANK_ENTITY_TEXT)).otherwise(F.col("n_name"))
+        for name, mod in (("ExpenseType", NO_TYPE_MOD), ("Department", NO_DEPARTMENT_MOD)):
+            cols[name] = (F.when(hit(mod) & ((ln % 2) == 0), F.lit(None).cast("string"))
+                           .when(hit(mod), F.lit(BLANK_TEXT)).otherwise(cols[name]))
+        cols["Entity"] = F.when(hit(BLANK_ENTITY_MOD), F.lit(BLANK_TEXT)).otherwise(F.col("n_name"))
         cols["ExpenseArea"] = F.when(hit(NULL_AREA_MOD), F.lit(None).cast("string")).otherwise(F.col("p_brand"))
     out = p.select(*[cols[c].cast("string").alias(c) for c in SPEND_COLUMNS], k.alias("_k"))
     if dirty:

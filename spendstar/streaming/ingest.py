@@ -13,39 +13,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from spendstar.constants import SPEND_SCHEMA
+from spendstar.sources.delimited import SOURCE_COLUMN, spend_options, spend_schema
+from spendstar.sources.files import sniff
 
-CORRUPT_COLUMN = "_corrupt_record"
 
-
-def stream_spend(spark: SparkSession, folder: str, sep: str = "\t", encoding: str = "UTF-8",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_spend(spark: SparkSession, folder: str, sep: str = "\t", encoding: str | None = None,
+                 max_files_per_trigger: int | None = None, line_sep: str | None = None) -> DataFrame:
     """Streaming staging rows from the spend files that arrive in ``folder``.
 
     Same options as :func:`spendstar.sources.delimited.read_spend`: all
     text, header skipped per file, quotes literal, malformed rows kept and
-    flagged, plus ``source_file``.
+    flagged, plus ``source_file``.  A stream reads one kind of file: encoding
+    and line ending, where not given, are those of the files that are in the
+    folder when it starts (UTF-8 and line feed if there is none), and files of
+    several kinds are an error.
     """
-    schema = T.StructType(list(SPEND_SCHEMA.fields) + [
-        T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
-    reader = (spark.readStream.schema(schema)
-              .option("sep", sep)
-              .option("header", True)
-              .option("encoding", encoding)
-              .option("quote", "")
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
+    if not (encoding and line_sep):
+        kinds = sorted(sniff(spark, folder, encoding, line_sep))
+        if len(kinds) > 1:
+            raise ValueError(f"files of several encodings or line endings in {folder}: {kinds}")
+        encoding, line_sep = kinds[0] if kinds else (encoding or "UTF-8", line_sep or "\n")
+    reader = spark.readStream.schema(spend_schema(lineage=True)).options(
+        **spend_options(sep, encoding, line_sep, header=True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(folder).withColumn("source_file", F.input_file_name())
+    return reader.csv(folder).withColumn(SOURCE_COLUMN, F.input_file_name())
 
 
 def ingest_spend(spark: SparkSession, folder: str, staging_path: str,
                  checkpoint: str | None = None, sep: str = "\t",
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, encoding: str | None = None,
+                 line_sep: str | None = None) -> StreamingQuery:
     """Append new spend files from ``folder`` to the Parquet table at ``staging_path``.
 
     The checkpoint defaults to ``<staging_path>.checkpoint``: it belongs to the
@@ -54,7 +54,7 @@ def ingest_spend(spark: SparkSession, folder: str, staging_path: str,
     ``awaitTermination()`` to wait for the files present at start.
     """
     ckpt = checkpoint or staging_path.rstrip("/") + ".checkpoint"
-    writer = (stream_spend(spark, folder, sep=sep).writeStream
+    writer = (stream_spend(spark, folder, sep=sep, encoding=encoding, line_sep=line_sep).writeStream
               .format("parquet")
               .option("path", staging_path)
               .option("checkpointLocation", ckpt)

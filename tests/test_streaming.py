@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from spendstar.constants import SPEND_COLUMNS
 from spendstar.streaming import ingest_spend
 
@@ -48,3 +50,18 @@ def test_streamed_staging_feeds_the_warehouse(spark, tmp_path):
     top = [tuple(r) for r in reports.top_suppliers(wh).collect()]
     assert [name for name, _ in top] == ["BETA", "BETA", "ACME LTD"]
     assert wh.counters["StagingRowCount"] == 14 and wh.counters["FactRows"] == 9
+
+
+def test_a_stream_reads_one_kind_of_file(spark, tmp_path):
+    header, row = "\t".join(SPEND_COLUMNS), "\t".join(["Dé", "a\rb"] + [""] * (len(SPEND_COLUMNS) - 2))
+    body = "".join(x + "\r\n" for x in (header, row))
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "a.txt").write_bytes(b"\xfe\xff" + body.encode("UTF-16BE"))
+    out = str(tmp_path / "out")
+    ingest_spend(spark, str(inbox), out).awaitTermination()
+    got = spark.read.parquet(out).first()
+    assert (got.Department, got.Entity, got.ExpenditureType) == ("Dé", "a\rb", None)
+    (inbox / "b.txt").write_bytes(body.encode())
+    with pytest.raises(ValueError, match="several encodings"):
+        ingest_spend(spark, str(inbox), out)

@@ -61,6 +61,7 @@ TEXT_LIMITS = {
     "DimExpenseArea": {"ExpenseArea": 255},
     "DimDate": {"MonthName": 20},
     "FactInvoice": {"TransactionNumber": 100},
+    "InvalidSuppliers": {"SupplierName": 255},
 }
 
 SPEND_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in SPEND_COLUMNS])

@@ -5,9 +5,10 @@ from spendstar.functions.parsing import (
     parse_amount,
     parse_day_first_date,
 )
-from spendstar.functions.text import contains_any, norm_key, norm_text
+from spendstar.functions.text import ci_key, contains_any, norm_key, norm_text
 
 __all__ = [
+    "ci_key",
     "contains_any",
     "month_label",
     "norm_key",

@@ -20,12 +20,21 @@ def norm_key(c: Column | str) -> Column:
     return F.coalesce(F.trim(_col(c)), F.lit(""))
 
 
+#: Case and trailing blanks do not count, as in the server's default collation.
+SERVER_COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def ci_key(c: Column | str) -> Column:
+    """The text as a key under the server's collation: joins, groupings and
+    partitionings on it compare by the collation; the spelling is kept."""
+    return F.collate(_col(c), SERVER_COLLATION)
+
+
 def contains_any(c: Column | str, needles, case_insensitive: bool = False) -> Column:
     """True when the text contains any of the needles (LIKE '%x%' OR ...)."""
     col = _col(c)
     if case_insensitive:
-        col = F.lower(col)
-        needles = [n.lower() for n in needles]
+        col = F.collate(col, "UTF8_LCASE")
     cond = None
     for n in needles:
         hit = col.contains(F.lit(n))

@@ -16,12 +16,12 @@ from spendstar.constants import (
     SPEND_COLUMNS,
 )
 from spendstar.functions.parsing import parse_amount, parse_day_first_date
-from spendstar.functions.text import contains_any
+from spendstar.functions.text import ci_key, contains_any
 
 
 def _match_key(c: Column, case_insensitive: bool) -> Column:
     c = F.trim(c)
-    return F.lower(c) if case_insensitive else c
+    return ci_key(c) if case_insensitive else c
 
 
 def reject_suppliers(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
@@ -38,6 +38,7 @@ def reject_suppliers(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
 
 
 REJECTED_FLAG = "_rejected"
+NUL, NULL_SPREAD = "\0", 1 << 16
 
 
 def mark_rejected(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
@@ -47,12 +48,17 @@ def mark_rejected(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
 
     Same match as :func:`reject_suppliers` (NULL never matches), as a left
     join against the distinct list keys, so a load can count the rejected
-    rows in the same pass and filter them afterwards.
+    rows in the same pass and filter them afterwards.  A NULL supplier gets a
+    key that no list holds, a NUL character and a number by the row's digest:
+    it matches nothing and, where the list is too long to broadcast, such rows
+    are dealt to all tasks.
     """
     r = (rejects.select(_match_key(F.col(name), case_insensitive).alias("_reject_key"))
-                .where(F.col("_reject_key").isNotNull()).distinct()
-                .withColumn(flag, F.lit(True)))
-    left = df.withColumn("_reject_key", _match_key(F.col(key), case_insensitive))
+                .where(F.col("_reject_key").isNotNull() & ~F.col("_reject_key").startswith(NUL))
+                .distinct().withColumn(flag, F.lit(True)))
+    nowhere = F.concat(F.lit(NUL), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)).cast("string"))
+    left = df.withColumn("_reject_key", _match_key(
+        F.coalesce(F.col(key), nowhere), case_insensitive))
     return (left.join(r, "_reject_key", "left").drop("_reject_key")
                 .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
@@ -108,8 +114,77 @@ def dedup(df: DataFrame, keys: Sequence[str] = NATURAL_KEY,
     part = list(keys)
     if case_insensitive:
         types = dict(df.dtypes)
-        part = [F.lower(F.rtrim(F.col(k))) if types[k] == "string" else F.col(k) for k in keys]
+        part = [ci_key(F.col(k)) if types[k] == "string" else F.col(k) for k in keys]
         order += [F.col(k).asc_nulls_first() for k in keys]
     w = Window.partitionBy(*part).orderBy(*order)
     return (df.withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") == 1).drop("_rn"))
+
+
+# --- the de-duplication of the load: survivors that carry their row counts ----
+PART = "Part"                   # kept, rejected or malformed
+SOURCE_ROWS = "SourceRows"      # rows of one natural key, the survivor included
+REDACTED_ROWS = "RedactedRows"  # those of them whose supplier is redacted
+SOURCE_FILE, RAW_LINE = "SourceFile", "RawLine"  # of malformed rows
+LINEAGE = ("_corrupt_record", "source_file")
+
+
+def dedup_counted(flagged: DataFrame, keys: Sequence[str] = NATURAL_KEY,
+                  case_insensitive: bool = False) -> DataFrame:
+    """The survivors of :func:`dedup` among the rows that are not rejected, with
+    the number of rows behind each; all rejected rows are one more row.
+
+    [14 columns, SourceRows, RedactedRows, SourceFile, RawLine, Part].  One
+    aggregate: the survivor is the smallest struct of the remaining columns
+    (NULLs first), so a hot key or a common rejected supplier leaves a map task
+    as one row.  Every step count of the load is a sum over these columns, so it
+    is bound to the rows that were written, whatever tasks or stages were run
+    again.
+
+    Where the rows carry the reader's lineage columns, each row that is too
+    short or too long also gives a row of part ``malformed`` with its file and
+    raw line, in the same pass (the row itself stays in the load).
+    """
+    lineage = set(LINEAGE) <= set(flagged.columns)
+    rows = flagged
+    if lineage:
+        corrupt, file = (F.col(c) for c in LINEAGE)
+        once, twice = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
+        rows = rows.withColumn("_report", F.explode(F.when(corrupt.isNotNull(), twice).otherwise(once)))
+        report = F.col("_report")
+    else:
+        report, corrupt, file = F.lit(False), F.lit(None).cast("string"), F.lit(None).cast("string")
+    part = F.when(report, "malformed").when(F.col(REJECTED_FLAG), "rejected").otherwise("kept")
+    kept = ~report & ~F.col(REJECTED_FLAG)
+    rest = [c for c in SPEND_COLUMNS if c not in keys]
+    types = dict(flagged.dtypes)
+    group = [ci_key(F.col(k)) if case_insensitive and types[k] == "string" else F.col(k) for k in keys]
+    named = [F.when(kept, g).alias(f"_k{i}") for i, g in enumerate(group)]
+    where = [F.when(report, file).alias(SOURCE_FILE), F.when(report, corrupt).alias(RAW_LINE)] if lineage else []
+    first = rest + (list(keys) if case_insensitive else [])
+    out = rows.groupBy(part.alias(PART), *named, *where).agg(
+        F.min(F.when(kept, F.struct(*first))).alias("_row"),
+        F.count(F.lit(1)).alias(SOURCE_ROWS),
+        F.count_if(kept & (F.col("Supplier") == F.lit(REDACTED_SUPPLIER))).alias(REDACTED_ROWS))
+    at = {c: F.col(f"_row.{c}") for c in first} | (
+        {} if case_insensitive else {k: F.col(f"_k{i}") for i, k in enumerate(keys)})
+    places = [F.col(c) if lineage else F.lit(None).cast("string").alias(c) for c in (SOURCE_FILE, RAW_LINE)]
+    return out.select(*[at[c].alias(c) for c in SPEND_COLUMNS], SOURCE_ROWS, REDACTED_ROWS, *places, PART)
+
+
+def counters_of(written: DataFrame) -> DataFrame:
+    """The load's step counts, as one row, from a written ``dedup_counted`` table."""
+    kept, rows = F.col(PART) == "kept", F.col(SOURCE_ROWS)
+
+    def total(cond, value):
+        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0))
+    return written.agg(
+        total(F.col(PART) != "malformed", rows).alias("StagingRowCount"),
+        total(kept, rows).alias("StagingRowCount_After"),
+        total(kept, F.col(REDACTED_ROWS)).alias("RedactedSupplierRows"),
+        total(kept, rows).alias("CleanRowCount"),
+        total(kept & F.col("DateOfPayment").isNull(), rows).alias("InvalidDateCount"),
+        total(kept & F.col("Amount").isNull(), rows).alias("InvalidAmountCount"),
+        F.count_if(kept & (rows > 1)).alias("DuplicateGroups"),
+        F.count_if(kept).alias("RowCount_AfterDeDup"),
+        total(F.col(PART) == "malformed", rows).alias("MalformedRows"))

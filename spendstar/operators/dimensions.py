@@ -21,8 +21,9 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spendstar.functions.text import norm_text
+from spendstar.functions.text import ci_key, norm_text
 from spendstar.operators.keys import dense_keys
 from spendstar.session import scratch_path
 
@@ -36,6 +37,7 @@ DIMENSIONS = {
     "DimExpenseArea": ("ExpenseAreaID", {"ExpenseArea": "ExpenseArea"}),
 }
 DATE_DIMENSION = ("DimDate", "DateID")
+ROWS = "_rows"  # clean rows that hold a member
 
 
 def dimension_members(clean: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -71,25 +73,29 @@ def canonical_spellings(members: DataFrame, columns: list[str]) -> DataFrame:
     A class is all values of one column of one dimension that are equal
     ignoring case; its spelling is the smallest in binary order, so reruns
     agree.  The class table is an aggregate (map-side combined) joined back;
-    NULL stays NULL.  Members that become equal collapse into one.
+    NULL stays NULL.  Members that become equal collapse into one, and their
+    row counts add up.
     """
     for c in columns:
-        key = F.lower(F.col(c))
+        key = ci_key(F.col(c))
         spelling = (members.where(F.col(c).isNotNull())
                     .groupBy("dim", key.alias("_ci")).agg(F.min(c).alias("_canon")))
         members = (members.withColumn("_ci", key)
                    .join(spelling, ["dim", "_ci"], "left")
                    .withColumn(c, F.coalesce(F.col("_canon"), F.col(c)))
                    .drop("_ci", "_canon"))
-    return members.distinct()
+    keys = [c for c in members.columns if c != ROWS]
+    return members.groupBy(*keys).agg(F.sum(ROWS).alias(ROWS))
 
 
-def build_dimensions(clean: DataFrame, path: str | None = None,
-                     case_insensitive: bool = False) -> dict[str, DataFrame]:
-    """All five dimensions from one scan of ``clean``, keyed by table name.
+def keyed_members(clean: DataFrame, case_insensitive: bool = False) -> tuple[str, T.StructType]:
+    """All members of the five dimensions with their keys and the number of
+    clean rows that hold them (``_rows``), from one scan of ``clean``.
 
-    With ``case_insensitive`` members that differ only in case are one
-    member, spelled as :func:`canonical_spellings` chooses.
+    Written to the shared folder, one sub-folder for each dimension; returns
+    the folder and the sub-folders' schema.  With ``case_insensitive`` members
+    that differ only in case are one member, spelled as
+    :func:`canonical_spellings` chooses.
     """
     attrs: dict[str, str] = {}
     sets: dict[str, list[str]] = {}
@@ -104,48 +110,47 @@ def build_dimensions(clean: DataFrame, path: str | None = None,
         (F.col(src) if out == "FullDate" else norm_text(src)).alias(out)
         for out, src in attrs.items()])
     members = projected.groupingSets([sets[n] for n in sets], *names).agg(
-        F.grouping_id().alias("_gid"))
+        F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias(ROWS))
     # grouping_id(): bit i (from the left) is 1 when names[i] is not grouped.
     gid = {n: sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in cols)
            for n, cols in sets.items()}
     dim_of = F.lit(None).cast("string")
     for n, g in gid.items():
         dim_of = F.when(F.col("_gid") == g, F.lit(n)).otherwise(dim_of)
-    members = (members.select(dim_of.alias("dim"), *names)
+    members = (members.select(dim_of.alias("dim"), *names, ROWS)
                       .where((F.col("dim") != date_name) | F.col("FullDate").isNotNull()))
     if case_insensitive:
         members = canonical_spellings(members, [n for n in names if n != "FullDate"])
-    base = path or scratch_path(clean.sparkSession, "dimensions")
+    base = scratch_path(clean.sparkSession, "dimensions")
     keyed = dense_keys(members, names, "_key", by="dim", name="dimensions",
                        partition_by=["dim"], path=base)
-    return read_dimensions(clean.sparkSession, base, keyed.drop("dim").schema)
-
-
-def _dimension_folder(spark, base: str, name: str, schema=None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        return reader.parquet(os.path.join(base, f"dim={name}"))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise  # unreadable is not empty
-        # a dimension with no members has no folder: an empty frame, same columns
-        if schema is not None:
-            return spark.createDataFrame([], schema)
-        return spark.read.parquet(base).where(F.col("dim") == name).drop("dim")
-
+    return base, keyed.drop("dim").schema
+
+
+def read_members(spark, base: str, schema: T.StructType) -> dict[str, DataFrame]:
+    """[key, attributes, _rows] of the five dimensions that ``keyed_members`` wrote."""
+    layout = {name: (key, list(cols)) for name, (key, cols) in DIMENSIONS.items()}
+    layout[DATE_DIMENSION[0]] = (DATE_DIMENSION[1], ["FullDate"])
+    out = {}
+    for name, (key, cols) in layout.items():
+        try:
+            part = spark.read.schema(schema).parquet(os.path.join(base, f"dim={name}"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # unreadable is not empty
+            # the write succeeded, so no folder means no members
+            part = spark.createDataFrame([], schema)
+        out[name] = part.select(F.col("_key").alias(key), *cols, ROWS)
+    return out
+
+
+def as_dimensions(members: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The dimension tables (without row counts; dates with their parts)."""
+    date_name, date_key = DATE_DIMENSION
+    return {name: df.select(*_date_columns(date_key)) if name == date_name else df.drop(ROWS)
+            for name, df in members.items()}
 
-def read_dimensions(spark, base: str, schema=None) -> dict[str, DataFrame]:
-    """The five dimensions from their folders under ``base`` (one per table).
 
-    ``schema`` (the member table's columns without ``dim``) skips schema
-    inference when the caller has just written the folders.
-    """
-    date_name, date_key = DATE_DIMENSION
-    dims = {}
-    for name, (key, cols) in DIMENSIONS.items():
-        part = _dimension_folder(spark, base, name, schema)
-        dims[name] = part.select(F.col("_key").alias(key), *cols)
-    part = _dimension_folder(spark, base, date_name, schema)
-    dims[date_name] = part.select(F.col("_key").alias(date_key), "FullDate").select(
-        *_date_columns(date_key))
-    return dims
+def build_dimensions(clean: DataFrame, case_insensitive: bool = False) -> dict[str, DataFrame]:
+    """All five dimensions from one scan of ``clean``, keyed by table name."""
+    return as_dimensions(read_members(clean.sparkSession, *keyed_members(clean, case_insensitive)))

@@ -20,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendstar.sources.tables import materialize
+from spendstar.session import scratch_path
+from spendstar.sources.tables import materialize, remove
 
 
 def dense_keys(df: DataFrame, order: Sequence[str], key: str, by: str | None = None,
@@ -42,7 +43,9 @@ def dense_keys(df: DataFrame, order: Sequence[str], key: str, by: str | None = N
                 .sortWithinPartitions(*sort)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
-    staged = materialize(ranged, f"{name}-ranged")
+    spark = df.sparkSession
+    scratch = scratch_path(spark, f"{name}-ranged")
+    staged = materialize(ranged, f"{name}-ranged", scratch)
     counts = staged.groupBy("_pid", *groups).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     # One row per partition and group: this window is bounded by that count.
@@ -53,7 +56,9 @@ def dense_keys(df: DataFrame, order: Sequence[str], key: str, by: str | None = N
     keyed = staged.join(F.broadcast(offsets), ["_pid", *groups]).select(
         (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("int").alias(key),
         *df.columns)
-    return materialize(keyed, name, path=path, partition_by=partition_by)
+    out = materialize(keyed, name, path=path, partition_by=partition_by)
+    remove(spark, scratch)  # only the write above reads it
+    return out
 
 
 def row_ids(df: DataFrame, key: str) -> DataFrame:

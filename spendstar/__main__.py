@@ -3,6 +3,8 @@
     python -m spendstar load --spend 'raw/*.txt' --rejects suppliers.xml --out wh/
     python -m spendstar report top_suppliers --warehouse wh/ [--output out/] [--ordered]
     python -m spendstar ingest --inbox raw/ --staging staging/   # append new files once
+    python -m spendstar load --staging staging/ --rejects suppliers.xml --out wh/
+    python -m spendstar publish --warehouse wh/ --database spend   # catalog tables and views
     python -m spendstar views                           # list the report view names
 
 ``load`` prints the step counters, the row loss per dimension and the
@@ -19,13 +21,12 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from spendstar.operators.audit import integrity
 from spendstar.operators.fact import DIAGNOSTIC_NAMES, MISS_COUNTERS
 from spendstar.plans import reports
-from spendstar.plans.publish import VIEW_NAMES
+from spendstar.plans.publish import VIEW_NAMES, save_tables, save_views
 from spendstar.plans.warehouse import build_warehouse, open_warehouse
 from spendstar.session import DEFAULT_CONF
 from spendstar.sources.delimited import read_spend
@@ -42,6 +43,9 @@ REPORTS = {
 }
 
 
+LINE_ENDINGS = {"auto": None, "lf": "\n", "crlf": "\r\n", "cr": "\r"}
+
+
 def _session() -> SparkSession:
     builder = SparkSession.builder.appName("spendstar")
     for k, v in DEFAULT_CONF.items():
@@ -51,17 +55,17 @@ def _session() -> SparkSession:
 
 def _load(args) -> int:
     spark = _session()
-    malformed = Observation("malformed")
-    staging = (read_spend(spark, args.spend, sep=args.sep, encoding=args.encoding)
-               .observe(malformed, F.count_if(F.col("_corrupt_record").isNotNull()).alias("n"))
-               .drop("_corrupt_record", "source_file"))
+    if args.staging:
+        staging = spark.read.parquet(args.staging)
+    else:
+        staging = read_spend(spark, args.spend, sep=args.sep, encoding=args.encoding,
+                             line_sep=LINE_ENDINGS[args.line_ending])
     rejects = read_reject_list(spark, args.rejects, repair=args.repair_xml)
-    wh = build_warehouse(staging, rejects, path=args.out, case_insensitive=args.case_insensitive,
-                         exact_counters=args.exact_counters)
-    print(json.dumps({"counters": wh.counters, "malformed_rows": malformed.get["n"]}))
-    for key, counter in MISS_COUNTERS.items():  # observed during the fact load
+    wh = build_warehouse(staging, rejects, path=args.out, case_insensitive=args.case_insensitive)
+    print(json.dumps({"counters": wh.counters, "version": wh.version}))
+    for key, counter in MISS_COUNTERS.items():
         print(f"unmatched {DIAGNOSTIC_NAMES[key]}: {wh.counters[counter]}")
-    violations = [r for r in integrity(wh.dims, wh.fact).collect() if r.violations]
+    violations = [r for r in integrity(wh.dims, wh.numbered_fact, rejects).collect() if r.violations]
     for r in violations:
         print(f"integrity {r.check}: {r.violations}")
     return 1 if violations else 0
@@ -75,6 +79,14 @@ def _ingest(args) -> int:
     return 0
 
 
+def _publish(args) -> int:
+    spark = _session()
+    wh = open_warehouse(spark, args.warehouse)
+    for name in save_tables(wh, args.database, location=args.location) + save_views(spark, args.database):
+        print(name)
+    return 0
+
+
 def _report(args) -> int:
     spark = _session()
     wh = open_warehouse(spark, args.warehouse)
@@ -97,17 +109,18 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="spendstar")
     sub = p.add_subparsers(dest="cmd", required=True)
     load = sub.add_parser("load", help="spend files + reject list -> warehouse")
-    load.add_argument("--spend", nargs="+", required=True, help="files, folders or globs")
+    source = load.add_mutually_exclusive_group(required=True)
+    source.add_argument("--spend", nargs="+", help="files, folders or globs")
+    source.add_argument("--staging", help="the staging table that `ingest` writes")
     load.add_argument("--rejects", required=True, help="reject-list XML file(s)")
     load.add_argument("--out", required=True, help="warehouse folder (shared storage)")
     load.add_argument("--sep", default="\t")
-    load.add_argument("--encoding", default="UTF-8")
+    load.add_argument("--encoding", help="default: by byte-order mark, else UTF-8")
+    load.add_argument("--line-ending", choices=list(LINE_ENDINGS), default="auto",
+                      help="default: that of each file's first line")
     load.add_argument("--repair-xml", action="store_true", help="escape bare '&' first")
     load.add_argument("--case-insensitive", action="store_true",
                       help="ignore case (and trailing spaces in keys) everywhere")
-    load.add_argument("--exact-counters", action="store_true",
-                      help="recount the step counters in a separate pass (exact under "
-                           "stage retries)")
     rep = sub.add_parser("report", help="run one report on a loaded warehouse")
     rep.add_argument("name", choices=sorted(REPORTS))
     rep.add_argument("--warehouse", required=True)
@@ -119,12 +132,18 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--staging", required=True, help="Parquet staging table (shared storage)")
     ing.add_argument("--checkpoint", help="stream checkpoint (default: under spark.checkpoint.dir)")
     ing.add_argument("--sep", default="\t")
+    pub = sub.add_parser("publish", help="loaded warehouse -> catalog tables and report views")
+    pub.add_argument("--warehouse", required=True)
+    pub.add_argument("--database", required=True)
+    pub.add_argument("--location", help="folder of a new database (default: the session's warehouse)")
     sub.add_parser("views", help="list the report view names")
     args = p.parse_args(argv)
     if args.cmd == "load":
         return _load(args)
     if args.cmd == "report":
         return _report(args)
+    if args.cmd == "publish":
+        return _publish(args)
     if args.cmd == "ingest":
         return _ingest(args)
     print("\n".join(VIEW_NAMES))

@@ -1,7 +1,6 @@
 """DuckDB SQL that computes every registered query independently.
 
-Written from the reference's own statements (trim on both sides of each
-join, ISNULL -> coalesce, ROW_NUMBER/RANK/LAG), not from the Spark code, so
+Written from the rules of the load and the reports, not from the Spark code, so
 the comparison checks our re-expression.  Types are cast to what Spark
 returns: INTEGER for years, months, ranks and keys; DECIMAL(38,2) for
 money; DECIMAL(38,6) for averages and percentages, computed with exact
@@ -42,12 +41,16 @@ payments AS (
 ),
 staging_once AS (
   SELECT
-    r_name AS Department,
+    CASE WHEN k % 47 = 0 AND ln % 2 = 0 THEN NULL
+         WHEN k % 47 = 0 THEN '  '
+         ELSE r_name END AS Department,
     CASE WHEN k % 19 = 0 THEN '  ' ELSE n_name END AS Entity,
     CASE WHEN k % 13 = 0 THEN '31/02/2001'
          WHEN k % 5 = 0 THEN strftime(l_shipdate, '%-d/%-m/%Y')
          ELSE strftime(l_shipdate, '%d/%m/%Y') END AS DateOfPayment,
-    p_type AS ExpenseType,
+    CASE WHEN k % 43 = 0 AND ln % 2 = 0 THEN NULL
+         WHEN k % 43 = 0 THEN '  '
+         ELSE p_type END AS ExpenseType,
     CASE WHEN k % 23 = 0 THEN NULL ELSE p_brand END AS ExpenseArea,
     CASE WHEN k % 37 = 0 THEN 'Name Withheld'
          WHEN k % 31 = 0 THEN 'Personal Expense ' || CAST(ln AS VARCHAR)
@@ -75,7 +78,7 @@ staging AS (
   SELECT * EXCLUDE (k) FROM staging_once WHERE k % 10 = 0
 ),
 rejects AS (
-  SELECT s_name AS SupplierName FROM supplier WHERE s_suppkey % 20 = 3
+  SELECT s_name AS SupplierName FROM supplier WHERE s_suppkey % 4 = 3
 )"""
 
 _REST = [c for c in SPEND_COLUMNS if c not in
@@ -108,7 +111,37 @@ deduped AS (
   WHERE rn = 1
 )"""
 
-WAREHOUSE = CLEAN + """,
+# Match keys of the fact load, in the order of the fact's keys: (fact key, dimension,
+# [(payment column, dimension column, match form)]).  ``=``: both sides trimmed, a NULL
+# matches nothing; ``~``: a NULL counts as blank; ``date``: equal dates.
+MATCHES = [
+    ("OrganisationID", "dim_org", [("Department", "Department", "="), ("Entity", "Entity", "=")]),
+    ("SupplierID", "dim_sup", [("Supplier", "SupplierName", "="),
+                               ("SupplierPostCode", "SupplierPostCode", "~"),
+                               ("SupplierType", "SupplierType", "~")]),
+    ("ExpenseTypeID", "dim_et", [("ExpenseType", "ExpenseType", "=")]),
+    ("ExpenseAreaID", "dim_ea", [("ExpenseArea", "ExpenseArea", "=")]),
+    ("DateID", "dim_date", [("DateOfPayment", "FullDate", "date")]),
+]
+_FORMS = {"=": "trim({0})", "~": "coalesce(trim({0}), '')", "date": "{0}"}
+
+
+def _match_ctes() -> str:
+    """``paid`` and ``<dimension>_keys`` with the match keys, normalised once a
+    side, and ``matched``: every payment with the dimension keys it found."""
+    sides, joins = [], []
+    paid = [f"{_FORMS[form].format(column)} AS k_{column}"
+            for _, _, on in MATCHES for column, _, form in on]
+    for key, dim, on in MATCHES:
+        keys = ", ".join(f"{_FORMS[form].format(there)} AS k_{column}" for column, there, form in on)
+        sides.append(f"{dim}_keys AS (SELECT {key}, {keys} FROM {dim})")
+        joins.append(f"LEFT JOIN {dim}_keys USING ({', '.join('k_' + c for c, _, _ in on)})")
+    return (f"paid AS (SELECT *, {', '.join(paid)} FROM deduped),\n" + ",\n".join(sides)
+            + ",\nmatched AS (SELECT OrganisationID, SupplierID, ExpenseTypeID, ExpenseAreaID, DateID,\n"
+            + "  Amount, TransactionNumber, Description\n  FROM paid\n  " + "\n  ".join(joins) + ")")
+
+
+WAREHOUSE = CLEAN + f""",
 dim_org AS (
   SELECT CAST(row_number() OVER (ORDER BY Department NULLS FIRST, Entity NULLS FIRST) AS INTEGER)
            AS OrganisationID, Department, Entity
@@ -140,36 +173,15 @@ dim_date AS (
   FROM (SELECT DISTINCT DateOfPayment AS FullDate FROM deduped
         WHERE DateOfPayment IS NOT NULL) t
 ),
--- match keys, normalised once per side; a NULL key matches nothing
-paid AS (
-  SELECT *, trim(Department) AS k_department, trim(Entity) AS k_entity, trim(Supplier) AS k_supplier,
-         coalesce(trim(SupplierPostCode), '') AS k_postcode, coalesce(trim(SupplierType), '') AS k_type,
-         trim(ExpenseType) AS k_expense_type, trim(ExpenseArea) AS k_expense_area,
-         DateOfPayment AS k_date
-  FROM deduped
-),
-org_keys AS (SELECT OrganisationID, trim(Department) AS k_department, trim(Entity) AS k_entity FROM dim_org),
-sup_keys AS (
-  SELECT SupplierID, trim(SupplierName) AS k_supplier, coalesce(trim(SupplierPostCode), '') AS k_postcode,
-         coalesce(trim(SupplierType), '') AS k_type
-  FROM dim_sup
-),
-et_keys AS (SELECT ExpenseTypeID, trim(ExpenseType) AS k_expense_type FROM dim_et),
-ea_keys AS (SELECT ExpenseAreaID, trim(ExpenseArea) AS k_expense_area FROM dim_ea),
-date_keys AS (SELECT DateID, FullDate AS k_date FROM dim_date),
-matched AS (
-  SELECT OrganisationID, SupplierID, ExpenseTypeID, ExpenseAreaID, DateID,
-         Amount, TransactionNumber, Description
-  FROM paid
-  LEFT JOIN date_keys USING (k_date)
-  LEFT JOIN ea_keys USING (k_expense_area)
-  LEFT JOIN et_keys USING (k_expense_type)
-  LEFT JOIN sup_keys USING (k_supplier, k_postcode, k_type)
-  LEFT JOIN org_keys USING (k_department, k_entity)
-),
+{_match_ctes()},
 fact AS (
-  SELECT * FROM matched
-  WHERE OrganisationID + SupplierID + ExpenseTypeID + ExpenseAreaID + DateID IS NOT NULL
+  SELECT row_number() OVER (ORDER BY DateID, substr(md5(concat_ws('|', TransactionNumber,
+             CAST(SupplierID AS VARCHAR), CAST(Amount AS VARCHAR))), 1, 4), SupplierID,
+           TransactionNumber NULLS FIRST, Amount NULLS FIRST, OrganisationID, ExpenseTypeID,
+           ExpenseAreaID, Description NULLS FIRST) AS FactID, *
+  FROM matched
+  WHERE OrganisationID IS NOT NULL AND SupplierID IS NOT NULL AND ExpenseTypeID IS NOT NULL
+    AND ExpenseAreaID IS NOT NULL AND DateID IS NOT NULL
 ),
 top3 AS (
   SELECT SupplierID, CAST(sum(Amount) AS DECIMAL(38,2)) AS TotalSpent
@@ -233,42 +245,79 @@ quarter_totals AS (
 )"""
 
 
-def _integrity_sql() -> str:
-    """Same checks and names as ``spendstar.operators.audit.integrity``."""
-    from spendstar.constants import TEXT_LIMITS
-    from spendstar.operators.dimensions import DIMENSIONS
-    dim_cte = {"DimOrganisation": "dim_org", "DimSupplier": "dim_sup",
-               "DimExpenseType": "dim_et", "DimExpenseArea": "dim_ea", "DimDate": "dim_date"}
-    keys = {name: key for name, (key, _c) in DIMENSIONS.items()}
-    keys["DimDate"] = "DateID"
+# --- fixed values: the constraints of the star schema and the reject list ------
+# table: (its CTE, key, NOT NULL columns, declared text lengths)
+CONSTRAINTS = {
+    "DimOrganisation": ("dim_org", "OrganisationID", [], {"Department": 255, "Entity": 255}),
+    "DimSupplier": ("dim_sup", "SupplierID", [],
+                    {"SupplierName": 255, "SupplierPostCode": 50, "SupplierType": 255}),
+    "DimExpenseType": ("dim_et", "ExpenseTypeID", [], {"ExpenseType": 255}),
+    "DimExpenseArea": ("dim_ea", "ExpenseAreaID", [], {"ExpenseArea": 255}),
+    "DimDate": ("dim_date", "DateID", ["FullDate", "Year", "Month", "MonthName"], {"MonthName": 20}),
+    "FactInvoice": ("fact", "FactID", ["OrganisationID", "SupplierID", "ExpenseTypeID", "ExpenseAreaID",
+                                       "DateID"], {"TransactionNumber": 100}),
+    "InvalidSuppliers": ("rejects", None, ["SupplierName"], {"SupplierName": 255}),
+}
+
+
+def _integrity_sql(ctes: str, suffix: str = "") -> str:
+    """[check, violations] over the tables of ``CONSTRAINTS`` (their CTEs with ``suffix``)."""
     selects = []
 
-    def row(check: str, expr: str, src: str) -> str:
-        return f"SELECT '{check}' AS \"check\", CAST(({expr}) AS BIGINT) AS violations FROM {src}"
-
-    for name in ["DimOrganisation", "DimSupplier", "DimExpenseType", "DimExpenseArea", "DimDate"]:
-        key, src = keys[name], dim_cte[name]
-        selects.append(row(f"{name}.{key}.null", f"count_if({key} IS NULL)", src))
-        selects.append(row(f"{name}.{key}.duplicate", f"count(*) - count(DISTINCT {key})", src))
-        selects.append(row(f"{name}.{key}.gaps", f"coalesce(max({key}) - count(*), 0)", src))
-        selects.append(row(f"{name}.{key}.start", f"coalesce(min({key}) - 1, 0)", src))
-        if name == "DimDate":
-            for c in ["FullDate", "Year", "Month", "MonthName"]:
-                selects.append(row(f"{name}.{c}.null", f"count_if({c} IS NULL)", src))
-        for c, limit in TEXT_LIMITS.get(name, {}).items():
-            selects.append(row(f"{name}.{c}.too_long", f"count_if(length({c}) > {limit})", src))
-    selects.append(row("FactInvoice.FactID.duplicate", "0", "(SELECT 1) t"))
-    selects.append(row("FactInvoice.FactID.null", "0", "(SELECT 1) t"))
-    dim_of = {v: k for k, v in keys.items()}
-    for k in DIAGNOSTIC_NAMES:
-        src = dim_cte[dim_of[k]]
-        selects.append(row(f"FactInvoice.{k}.null", f"count_if({k} IS NULL)", "fact"))
-        selects.append(row(f"FactInvoice.{k}.orphan",
-                           f"count_if(f.{k} IS NOT NULL AND d.{k} IS NULL)",
-                           f"fact f LEFT JOIN {src} d ON f.{k} = d.{k}"))
-    for c, limit in TEXT_LIMITS["FactInvoice"].items():
-        selects.append(row(f"FactInvoice.{c}.too_long", f"count_if(length({c}) > {limit})", "fact"))
-    return _with(WAREHOUSE, "\nUNION ALL\n".join(selects))
+    def row(check: str, expr: str, src: str) -> None:
+        selects.append(f"SELECT '{check}' AS \"check\", CAST(({expr}) AS BIGINT) AS violations FROM {src}")
+
+    for name, (cte, key, not_null, lengths) in CONSTRAINTS.items():
+        src = cte + suffix
+        if key:
+            row(f"{name}.{key}.null", f"count_if({key} IS NULL)", src)
+            # the fact's NULL ids are no duplicates; a dimension has every row keyed
+            rows = f"count({key})" if name == "FactInvoice" else "count(*)"
+            row(f"{name}.{key}.duplicate", f"{rows} - count(DISTINCT {key})", src)
+            row(f"{name}.{key}.gaps", f"coalesce(max({key}) - count(*), 0)", src)
+            row(f"{name}.{key}.start", f"coalesce(min({key}) - 1, 0)", src)
+        for c in not_null:
+            row(f"{name}.{c}.null", f"count_if({c} IS NULL)", src)
+        for c, limit in lengths.items():
+            row(f"{name}.{c}.too_long", f"count_if(length({c}) > {limit})", src)
+    for name, (cte, key, _, _) in list(CONSTRAINTS.items())[:5]:
+        row(f"FactInvoice.{key}.orphan",
+            f"count_if({key} IS NOT NULL AND {key} NOT IN "
+            f"(SELECT {key} FROM {cte}{suffix} WHERE {key} IS NOT NULL))", f"fact{suffix}")
+    return _with(ctes, "\nUNION ALL\n".join(selects))
+
+
+# The faults of ``integrity_of_damage``.
+DAMAGED = WAREHOUSE + """,
+dim_org_damaged AS (
+  SELECT * REPLACE (CASE WHEN OrganisationID % 7 = 0 THEN NULL ELSE OrganisationID END AS OrganisationID,
+                    CASE WHEN OrganisationID % 3 = 0 THEN repeat('x', 300) ELSE Entity END AS Entity)
+  FROM dim_org
+),
+dim_sup_damaged AS (
+  SELECT * REPLACE (CASE WHEN SupplierID % 10 = 0 THEN SupplierID - 1 ELSE SupplierID END AS SupplierID)
+  FROM dim_sup
+),
+dim_et_damaged AS (SELECT * REPLACE (ExpenseTypeID + 4 AS ExpenseTypeID) FROM dim_et),
+dim_ea_damaged AS (SELECT * FROM dim_ea),
+dim_date_damaged AS (
+  SELECT * REPLACE (CASE WHEN DateID % 100 = 0 THEN NULL ELSE MonthName END AS MonthName,
+                    CASE WHEN DateID % 50 = 0 THEN NULL ELSE FullDate END AS FullDate)
+  FROM dim_date
+),
+fact_damaged AS (
+  SELECT * REPLACE (
+    CASE WHEN FactID % 100 = 0 THEN FactID - 1 WHEN FactID % 777 = 0 THEN NULL ELSE FactID END AS FactID,
+    CASE WHEN FactID % 97 = 0 THEN SupplierID + 1000000 ELSE SupplierID END AS SupplierID,
+    CASE WHEN FactID % 83 = 0 THEN NULL ELSE DateID END AS DateID,
+    CASE WHEN FactID % 1009 = 0 THEN repeat('x', 300) ELSE TransactionNumber END AS TransactionNumber)
+  FROM fact
+),
+rejects_damaged AS (
+  SELECT CASE WHEN SupplierName LIKE '%3' THEN NULL WHEN SupplierName LIKE '%7' THEN repeat('x', 300)
+              ELSE SupplierName END AS SupplierName
+  FROM rejects
+)"""
 
 
 def _unmatched_sql() -> str:
@@ -303,6 +352,20 @@ def _counters_sql() -> str:
     return _with(CLEAN, "\nUNION ALL\n".join(selects))
 
 
+def _load_counters_sql() -> str:
+    steps = _counters_sql().split("\nSELECT 'StagingRowCount'", 1)[1]
+    losses = "\nUNION ALL\n".join(f"SELECT 'No{name}Match', count(*) - count({key}) FROM matched"
+                                  for key, name in DIAGNOSTIC_NAMES.items())
+    return _with(WAREHOUSE, f"""
+SELECT 'StagingRowCount'{steps}
+UNION ALL
+{losses}
+UNION ALL SELECT 'CleanRows', count(*) FROM deduped
+UNION ALL SELECT 'FactRows', count(*) FROM fact
+UNION ALL SELECT 'MaxDateID', max(DateID) FROM fact
+UNION ALL SELECT 'MalformedRows', 0""")
+
+
 def _dimension_samples_sql() -> str:
     layout = [
         ("DimOrganisation", "dim_org", "OrganisationID", ["Department", "Entity"]),
@@ -320,6 +383,76 @@ def _dimension_samples_sql() -> str:
     return _with(WAREHOUSE, "\nUNION ALL\n".join(parts))
 
 
+def _namespace_sql() -> str:
+    """Tables, columns and rows of the star schema as the catalog lists them."""
+    tables = {"DimOrganisation": ("dim_org", 3), "DimSupplier": ("dim_sup", 4), "DimExpenseType": ("dim_et", 2),
+              "DimExpenseArea": ("dim_ea", 2), "DimDate": ("dim_date", 5), "FactInvoice": ("fact", 9)}
+    # the catalog lists table names in lower case
+    return _with(WAREHOUSE, "\nUNION ALL\n".join(
+        f"SELECT '{name.lower()}' AS \"table\", CAST({n} AS INTEGER) AS columns, count(*) AS rows FROM {cte}"
+        for name, (cte, n) in tables.items()))
+
+
+_LINE = "concat_ws(chr(9), " + ", ".join(f"coalesce({c}, '')" for c in SPEND_COLUMNS) + ")"
+
+MALFORMED = _with(STAGING, f"""
+SELECT line AS "RawLine", CAST(count(*) AS BIGINT) AS "SourceRows" FROM (
+  SELECT array_to_string(string_split({_LINE}, chr(9))[1:10], chr(9)) AS line FROM staging
+  WHERE TransactionNumber LIKE '%7-1'
+  UNION ALL
+  SELECT {_LINE} || chr(9) || 'more' FROM staging WHERE TransactionNumber LIKE '%3-2')
+GROUP BY line""")
+
+# The load under the server's collation: keys in lower case without trailing blanks,
+# members spelled as the smallest spelling of their class.
+CASE_INSENSITIVE = STAGING + f""",
+varied AS (
+  SELECT * REPLACE (
+    CASE WHEN TransactionNumber LIKE '%2' THEN lower(Supplier)
+         WHEN TransactionNumber LIKE '%3' THEN Supplier || '  ' ELSE Supplier END AS Supplier,
+    CASE WHEN TransactionNumber LIKE '%4' THEN lower(ExpenseType) ELSE ExpenseType END AS ExpenseType)
+  FROM staging
+),
+twice AS (
+  SELECT * FROM varied
+  UNION ALL
+  SELECT * REPLACE (upper(Supplier) AS Supplier) FROM varied WHERE TransactionNumber LIKE '%5'
+),
+cleaned AS (
+  SELECT * REPLACE (
+    CASE WHEN lower(Supplier) LIKE '%personal expense%' OR lower(Supplier) LIKE '%name withheld%'
+         THEN '{REDACTED_SUPPLIER}' ELSE Supplier END AS Supplier,
+    CAST(try_strptime(trim(DateOfPayment), '%d/%m/%Y') AS DATE) AS DateOfPayment,
+    CASE WHEN regexp_full_match(trim(Amount), '{_number_pattern()}')
+         THEN TRY_CAST(trim(Amount) AS DECIMAL(18,2)) END AS Amount)
+  FROM twice t
+  WHERE NOT EXISTS (SELECT 1 FROM rejects r WHERE lower(trim(t.Supplier)) = lower(trim(r.SupplierName)))
+),
+once AS (
+  SELECT * FROM cleaned
+  QUALIFY row_number() OVER (
+    PARTITION BY lower(rtrim(TransactionNumber)), lower(rtrim(Supplier)), Amount, DateOfPayment
+    ORDER BY {", ".join(c + NF for c in _REST)}, TransactionNumber, Supplier{NF}) = 1
+),
+keyed AS (
+  SELECT *, lower(nullif(trim(Supplier), '')) AS ks, lower(nullif(trim(ExpenseType), '')) AS kt FROM once
+),
+sup_names AS (
+  SELECT lower(m) AS ks, min(m) AS SupplierName
+  FROM (SELECT nullif(trim(Supplier), '') AS m FROM once) WHERE m IS NOT NULL GROUP BY ALL
+),
+type_names AS (
+  SELECT lower(m) AS kt, min(m) AS ExpenseType
+  FROM (SELECT nullif(trim(ExpenseType), '') AS m FROM once) WHERE m IS NOT NULL GROUP BY ALL
+)"""
+
+
+def _ordered(name: str, query: str, columns: list[str], order: str) -> str:
+    line = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in columns)
+    return (f"SELECT '{name}' AS result_set, row_number() OVER (ORDER BY {order}) - 1 AS position, "
+            f"concat_ws('|', {line}) AS line FROM ({query})")
+
+
 def oracle_sql() -> dict[str, str]:
     nullif_all = ", ".join(f"nullif({c}, '') AS {c}" for c in SPEND_COLUMNS)
     # An area's rank in a month: 1 + the areas that spent more in it.  Its previous
@@ -365,7 +498,31 @@ SELECT '{{"{EXPENSE_JSON_ROOT}":' || CAST(to_json(list(
           'AvgTwoMonth': AvgTwoMonth}}
          ORDER BY TwoMonthTotal DESC, ExpenseType)) AS VARCHAR) || '}}' AS json
 FROM above HAVING count(*) > 0""")
-    return {
+    single = _with(WAREHOUSE, "SELECT s.SupplierName, t.TotalSpent, t.SupplierID FROM top3 t "
+                   "JOIN dim_sup s ON s.SupplierID = t.SupplierID")
+    monthly = _with(WAREHOUSE, """
+SELECT CAST(d.Year AS INTEGER) AS Year, CAST(d.Month AS INTEGER) AS Month, s.SupplierName,
+       CAST(sum(f.Amount) AS DECIMAL(38,2)) AS MonthlyTotal
+FROM fact f
+JOIN dim_date d ON d.DateID = f.DateID
+JOIN dim_sup s ON s.SupplierID = f.SupplierID
+JOIN top3 t ON t.SupplierID = f.SupplierID
+GROUP BY d.Year, d.Month, s.SupplierName""")
+    in_order = "\nUNION ALL\n".join([
+        _ordered("top_suppliers_overall", single, ["SupplierName", "TotalSpent"],
+                 "TotalSpent DESC NULLS LAST, SupplierID"),
+        _ordered("top_suppliers_monthly", monthly, ["Year", "Month", "SupplierName", "MonthlyTotal"],
+                 "Year, Month, MonthlyTotal DESC NULLS LAST, SupplierName"),
+        _ordered("area_rank_movement", q4,
+                 ["ExpenseArea", "Year", "Month", "TotalSpent", "RankNow", "PrevRank", "Movement", "SortKey"],
+                 "Year, Month, RankNow, ExpenseArea"),
+        _ordered("supplier_time_hierarchy", q5,
+                 ["SupplierName", "Year", "Quarter", "Month", "MonthLabel", "MonthlyTotal",
+                  "SupplierYearToDate", "QuarterTotalAllSuppliers", "MonthlyShareOfQuarterPercent"],
+                 "Year, Quarter, Month, SupplierName NULLS FIRST")])
+    quoted = ", ".join("'\"' || Description || '\", é' AS Description" if c == "Description"
+                       else f"nullif({c}, '') AS {c}" for c in SPEND_COLUMNS)
+    out = {
         "stage_spend": _with(STAGING, f"SELECT {ALL_SPEND} FROM staging"),
         "stage_tsv_roundtrip": _with(STAGING, f"SELECT {nullif_all} FROM staging"),
         "reject_list_xml": _with(STAGING, "SELECT SupplierName FROM rejects"),
@@ -388,17 +545,12 @@ FROM typed GROUP BY TransactionNumber, Supplier, Amount, DateOfPayment HAVING co
 SELECT 'CleanRows' AS metric, (SELECT count(*) FROM deduped) AS value
 UNION ALL SELECT 'FactRows', (SELECT count(*) FROM fact)
 UNION ALL SELECT 'LostRows', (SELECT count(*) FROM deduped) - (SELECT count(*) FROM fact)"""),
-        "integrity_report": _integrity_sql(),
+        "integrity_report": _integrity_sql(WAREHOUSE),
+        "integrity_of_damage": _integrity_sql(DAMAGED, "_damaged"),
+        "load_counters": _load_counters_sql(),
         "top_suppliers": _with(WAREHOUSE, """
 SELECT s.SupplierName, t.TotalSpent FROM top3 t JOIN dim_sup s ON s.SupplierID = t.SupplierID"""),
-        "top_suppliers_monthly": _with(WAREHOUSE, """
-SELECT CAST(d.Year AS INTEGER) AS Year, CAST(d.Month AS INTEGER) AS Month, s.SupplierName,
-       CAST(sum(f.Amount) AS DECIMAL(38,2)) AS MonthlyTotal
-FROM fact f
-JOIN dim_date d ON d.DateID = f.DateID
-JOIN dim_sup s ON s.SupplierID = f.SupplierID
-JOIN top3 t ON t.SupplierID = f.SupplierID
-GROUP BY d.Year, d.Month, s.SupplierName"""),
+        "top_suppliers_monthly": monthly,
         "expense_types_above_avg": _with(Q3_CTES, "SELECT * FROM above"),
         "expense_types_above_avg_json": json_doc,
         "area_rank_movement": q4,
@@ -411,5 +563,28 @@ ORDER BY DateOfPayment DESC NULLS LAST, TransactionNumber NULLS FIRST, Supplier
 LIMIT 50"""),
         "first_rejects": _with(STAGING, "SELECT SupplierName FROM rejects ORDER BY SupplierName LIMIT 20"),
         "dimension_samples": _dimension_samples_sql(),
+        "fact_sample": _with(WAREHOUSE, """
+SELECT FactID, OrganisationID, SupplierID, ExpenseTypeID, ExpenseAreaID, DateID, Amount,
+       TransactionNumber
+FROM fact ORDER BY FactID LIMIT 10"""),
         "publish_warehouse": _publish_sql(),
+        "rebuilt_namespace": _namespace_sql(),
+        "procedure_result_sets": in_order,
+        "stage_utf16_crlf_roundtrip": _with(STAGING, f"SELECT {quoted} FROM staging"),
+        "reject_list_repaired": _with(
+            STAGING, "SELECT SupplierName || ' & Sons & Co' AS SupplierName FROM rejects"),
+        "malformed_rows": MALFORMED,
+        "load_case_insensitive": _with(CASE_INSENSITIVE, """
+SELECT SupplierName, t.ExpenseType AS ExpenseType, count(*) AS Payments,
+       CAST(sum(Amount) AS DECIMAL(38,2)) AS Total
+FROM keyed JOIN sup_names USING (ks) JOIN type_names t USING (kt)
+WHERE trim(Department) <> '' AND trim(Entity) <> '' AND trim(ExpenseArea) <> ''
+  AND DateOfPayment IS NOT NULL
+GROUP BY ALL"""),
+        "staging_sample_check": _with(
+            STAGING, "SELECT least(50, count(*)) AS sampled, least(50, count(*)) AS found FROM staging"),
     }
+    for report in ("top_suppliers", "top_suppliers_monthly", "expense_types_above_avg",
+                   "area_rank_movement", "supplier_time_hierarchy"):
+        out[f"view_{report}"] = out[report]
+    return out

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from spendstar.constants import EXPENSE_JSON_ROOT, RATIO_TYPE, TOTAL_TYPE
 from spendstar.functions.parsing import month_label
-from spendstar.operators.fact import PARTITION_COLUMN
 from spendstar.plans.warehouse import Warehouse
 
 
@@ -80,17 +79,16 @@ def top_suppliers_result_sets(wh: Warehouse, k: int = 3) -> dict[str, DataFrame]
     return {"overall": top_suppliers(wh, k), "monthly": top_suppliers_monthly(wh, k, ordered=True)}
 
 
-def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int, int, int] | None:
-    """(lo, hi] DateID bounds of the last ``months`` months of fact data, and
-    the first and last payment year they span.
+def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int] | None:
+    """(lo, hi] DateID bounds of the last ``months`` months of fact data.
 
     DateIDs are dense in date order, so the latest fact date is the date of
     the largest DateID and a date window is a DateID range.  The bounds are
-    scalars (as the reference's variables are); filtering the fact by
-    literal bounds lets Spark skip year folders and Parquet row groups
-    outside the window.
+    scalars (as the reference's variables are); the fact's files hold narrow
+    DateID ranges, so filtering by literal bounds lets Spark skip the row
+    groups outside the window.
     """
-    if "MaxDateID" in wh.counters:  # observed while the fact was written
+    if "MaxDateID" in wh.counters:  # from the fact's files
         hi = wh.counters["MaxDateID"]
     else:
         hi = wh.fact.agg(F.max("DateID")).first()[0]
@@ -102,9 +100,7 @@ def _window_date_ids(wh: Warehouse, months: int) -> tuple[int, int, int, int] |
     # one action: the window start and the last DateID on or before it
     lo = d.where(F.col("FullDate") <= start).agg(
         F.coalesce(F.max("DateID"), F.lit(0))).scalar()
-    row = end.select(F.col("Year").alias("_last_year"), start.alias("_start"),
-                     lo.alias("_lo")).first()
-    return int(row._lo), int(hi), row._start.year, row._last_year
+    return int(end.select(lo.alias("_lo")).first()._lo), int(hi)
 
 
 def expense_types_above_avg(wh: Warehouse, months: int = 2, ordered: bool = False) -> DataFrame:
@@ -118,10 +114,8 @@ def expense_types_above_avg(wh: Warehouse, months: int = 2, ordered: bool = Fals
         return wh.dim_expense_type.select(
             "ExpenseType", F.lit(None).cast(TOTAL_TYPE).alias("TwoMonthTotal"),
             F.lit(None).cast(RATIO_TYPE).alias("AvgTwoMonth")).limit(0)
-    lo, hi, first_year, last_year = bounds
+    lo, hi = bounds
     window = wh.fact.where((F.col("DateID") > lo) & (F.col("DateID") <= hi))
-    if PARTITION_COLUMN in wh.fact.columns:
-        window = window.where(F.col(PARTITION_COLUMN).between(first_year, last_year))
     by_id = window.groupBy("ExpenseTypeID").agg(_total("Amount").alias("TwoMonthTotal"))
     totals = by_id.join(wh.dim_expense_type, "ExpenseTypeID").select("ExpenseType", "TwoMonthTotal")
     # the unweighted average as a scalar subquery (computed once, no join)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import toy
 from spendstar.__main__ import main
+from spendstar.plans.warehouse import open_warehouse
 from spendstar.sources.delimited import write_spend
 
 
@@ -33,3 +34,30 @@ def test_ingest_then_views(spark, tmp_path, capsys):
     assert '"staging_rows": 14' in capsys.readouterr().out
     assert main(["views"]) == 0
     assert "vw_Top3Suppliers" in capsys.readouterr().out
+
+
+def test_ingest_load_publish(spark, tmp_path, capsys):
+    """Files in UTF-16, one row too short: staging table -> warehouse -> catalog."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    rows = [[v or "" for v in r] for r in toy.staging(spark).collect()]
+    lines = ["\t".join(toy.SPEND_COLUMNS)] + ["\t".join(r) for r in rows] + ["Short\trow"]
+    (inbox / "a.txt").write_bytes(b"\xff\xfe" + "".join(x + "\r\n" for x in lines).encode("UTF-16LE"))
+    xml = tmp_path / "rejects.xml"
+    xml.write_text('<Suppliers><Supplier SupplierName="BAD CO"/></Suppliers>\n')
+    staging, wh = str(tmp_path / "stg"), str(tmp_path / "wh")
+    assert main(["ingest", "--inbox", str(inbox), "--staging", staging]) == 0
+    assert '"staging_rows": 15' in capsys.readouterr().out
+    assert main(["load", "--staging", staging, "--rejects", str(xml), "--out", wh]) == 0
+    assert '"MalformedRows": 1' in capsys.readouterr().out
+    loaded = open_warehouse(spark, wh)
+    bad = loaded.malformed.collect()
+    assert [(r.RawLine, r.SourceRows) for r in bad] == [("Short\trow", 1)]
+    assert bad[0].SourceFile.endswith("a.txt") and loaded.counters["FactRows"] == 9
+    assert main(["publish", "--warehouse", wh, "--database", "spend_cli"]) == 0
+    assert "spend_cli.vw_Top3Suppliers" in capsys.readouterr().out
+    assert spark.newSession().table("spend_cli.vw_Top3Suppliers").count() == 3
+    # the same file read directly, by its own encoding and line ending
+    direct = str(tmp_path / "direct")
+    assert main(["load", "--spend", str(inbox), "--rejects", str(xml), "--out", direct]) == 0
+    assert open_warehouse(spark, direct).counters == loaded.counters

@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 
 from spendstar.plans.catalog import QUERIES  # noqa: E402
 
-ROWS_ONLY = {"staging_sample", "fact_sample"}
+ROWS_ONLY = {"staging_sample"}
 
 
 def _norm(v):

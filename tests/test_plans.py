@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from spendstar.plans import reports
 from spendstar.plans.catalog import steps_for, warehouse_for
-from spendstar.operators.fact import build_fact
+from spendstar.operators.audit import duplicate_ids
+from spendstar.operators.cleaning import REJECTED_FLAG, mark_rejected
+from spendstar.operators.fact import star_join
 
 
 def _plan(df) -> str:
@@ -83,17 +86,65 @@ def test_date_window_is_pushed_to_the_fact_scan(wh):
     df.collect()
     plan = _plan(df)
     assert "GreaterThan(DateID," in plan and "LessThanOrEqual(DateID," in plan
-    # the year folders outside the window are pruned before any file is opened
-    assert "PartitionFilters: [isnotnull(PaymentYear" in plan
 
 
-def test_fact_load_broadcasts_small_dimensions_and_never_shuffles_the_fact(wh):
-    plan = _plan(build_fact(wh.clean, wh.dims))
+def test_fact_load_broadcasts_small_dimensions(wh):
+    plan = _plan(star_join(wh.clean, wh.dims))
     assert plan.count("BroadcastHashJoin") == 5
     assert "SortMergeJoin" not in plan
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_rows_with_a_null_key_leave_before_the_joins(spark, wh):
+    """Where no dimension can be broadcast, such rows are not even shuffled."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(star_join(wh.clean, wh.dims))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 5 and "LeftOuter" not in plan
+    below = plan.split("SortMergeJoin")[5]  # the clean side of the innermost join
+    filters = [line for line in below.splitlines() if "Filter" in line]
+    assert any(all(f"isnotnull({c}" in line or f"isnotnull(nullif(trim({c}" in line or c in line
+                   for c in ("Department", "Entity", "Supplier", "ExpenseType", "ExpenseArea",
+                             "DateOfPayment")) for line in filters)
+
+
+def test_null_suppliers_are_dealt_to_all_tasks(spark):
+    """A third of all rows has no supplier and the reject list is not broadcast."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("S"), "id"))
+                                    .alias("Supplier"), "id")
+    rejects = spark.createDataFrame([("S1",), ("S2",), ("",)], "SupplierName string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.shuffle.partitions": "20"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        marked = mark_rejected(rows, rejects)
+        assert "SortMergeJoin" in _plan(marked)
+        per_task = (marked.where("Supplier IS NULL").groupBy(F.spark_partition_id(), REJECTED_FLAG)
+                    .count().collect())
+        assert len(per_task) == 20 and max(r["count"] for r in per_task) < 150
+        assert sorted(r.Supplier for r in marked.where(REJECTED_FLAG).collect()) == ["S1", "S2"]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_the_fact_is_dealt_without_sampling_and_numbered_without_shuffle(wh):
+    stored = _plan(wh.numbered_fact.select("FactID", "Amount"))
+    assert "Exchange" not in stored and "Window" not in stored
+
+
+def test_unique_fact_ids_are_proven_without_shuffling_them(wh):
+    plan = _plan(duplicate_ids(wh.numbered_fact, "FactID"))
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and all("FactID" not in line for line in exchanges)
+    assert "bitmap_construct_agg" in plan
+
+
 def test_dedup_is_one_shuffle_with_map_side_limit(spark):
     deduped = steps_for(spark, SF_SMALL).deduped
     deduped.write.format("noop").mode("overwrite").save()

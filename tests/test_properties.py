@@ -39,7 +39,7 @@ def test_keys_dense_unique_and_in_attribute_order(wh):
 
 
 def test_integrity_is_clean(wh):
-    bad = [r for r in integrity(wh.dims, wh.fact).collect() if r.violations != 0]
+    bad = [r for r in integrity(wh.dims, wh.numbered_fact).collect() if r.violations != 0]
     assert bad == []
 
 
@@ -77,7 +77,7 @@ def test_result_does_not_depend_on_input_partitioning(spark, wh):
     for name in wh.dims:
         assert sorted(map(tuple, other.dims[name].collect())) == \
             sorted(map(tuple, wh.dims[name].collect())), name
-    assert sorted(map(tuple, other.fact.drop("FactID").collect())) == \
-        sorted(map(tuple, wh.fact.drop("FactID").collect()))
+    assert sorted(map(tuple, other.numbered_fact.collect())) == \
+        sorted(map(tuple, wh.numbered_fact.collect()))
     assert sorted(map(tuple, reports.area_rank_movement(other).collect())) == \
         sorted(map(tuple, reports.area_rank_movement(wh).collect()))

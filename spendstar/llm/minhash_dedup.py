@@ -12,12 +12,15 @@ shares a region in some order with probability 1 - 2e-6.
 
 Candidates are ranked by signature agreement.  Each representative's best ones
 are confirmed first on the full sets; then all others whose documents are not
-yet in one component.  A crowded region's members that are still apart are
-sorted once more and compared with the ``CROWD_REACH`` rows that follow, those
-of their own component included and skipped; this only spares work, as a long
-run of one component meets no other.  Those that are apart even then go through an exact join on their rarest shingles, so a crowded region
-loses no link between components.  Components come from alternating large-star
-and small-star rounds over tables.
+yet in one component.  Crowded regions that still hold several components are
+then compared whole, on the full sets, by blocks of their members: a task counts
+the intersections of a pair of blocks and hands over a spanning forest of the
+links between components, so neither pairs nor shared shingles become rows.
+Components come from alternating large-star and small-star rounds over tables.
+
+The texts whose sets are needed are read where they lie: a bitmap of hashed ids
+(``BITMAP`` bits, whatever the number of ids) tells the others apart, and only
+the sets are shuffled.
 
 Null, empty or blank texts have no shingles and link with nothing.  Rows that
 repeat a doc_id are one node.  Rows without doc_id are kept and unlinked
@@ -40,15 +43,16 @@ DEPTH = 3
 ORDERS = SIZE // DEPTH
 SORT_DEPTH = 12
 NEIGHBOURS = 8
-#: In crowded regions, members still apart: rows that follow (of any component),
-#: best ones confirmed.
-CROWD_REACH, CROWD_BEST = 64, 4
 #: Least agreement of signatures for a check on the sets: five standard
 #: deviations below the mean of 54 at similarity 0.75.
 LEAST_AGREEMENT = 36
 BEST = 2
-#: Holders of one shingle that are compared in one piece of the exact join.
-PIECE = 512
+#: A block of a crowded region holds about so many members and so many shingles.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
+#: Shingles with at most so many holders in a pair of blocks are counted pair by pair.
+FEW = 8
+#: Bits of the map of wanted ids (2 MB).
+BITMAP = 1 << 24
 
 _RNG = np.random.default_rng(20250607)
 _MASK = _RNG.integers(0, 2**32, SIZE, dtype=np.uint32)
@@ -94,50 +98,68 @@ def _signed(batches):
                 names=["doc_id", "n_shingles", "digest", "signature"])
 
 
-def _sets(batches):
-    for batch in batches:
-        data, offsets = buffers(batch.column("text"))
-        for i, j in doc_slices(offsets):
-            sets = distinct_shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-            flat = np.concatenate(sets).view(np.int64)
-            for a, b in doc_slices(cuts, 1 << 20):
-                part = pa.ListArray.from_arrays(pa.array(cuts[a:b + 1] - cuts[a], pa.int32()),
-                                                pa.array(flat[cuts[a]:cuts[b]]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i + a, b - a), part], names=["id", "shingles"])
-
-
-def _pairs_in_order(reach: int, most: int | None):
-    """Compares each sorted row with the ``reach`` rows that follow in its region
-    and component column differs.  With ``most``, only the pairs that are among
-    that many best of either row, in this order, go on."""
+def _sets(bits: np.ndarray):
+    """id, digest, shingles of the texts whose id may be wanted (``slot`` is set)."""
+    def run(batches):
+        for batch in batches:
+            slot = batch.column("slot").to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7)) & 1 == 1))
+            data, offsets = buffers(batch.column("text"))
+            for i, j in doc_slices(offsets):
+                sets = distinct_shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+                flat = np.concatenate(sets).view(np.int64)
+                for a, b in doc_slices(cuts, 1 << 20):
+                    part = pa.ListArray.from_arrays(pa.array(cuts[a:b + 1] - cuts[a], pa.int32()),
+                                                    pa.array(flat[cuts[a]:cuts[b]]))
+                    digests = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets[a:b]]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(i + a, b - a), pa.array(digests, pa.binary()), part],
+                        names=["id", "digest", "shingles"])
+    return run
+
+
+def _slot(c: str):
+    return F.pmod(F.xxhash64(c), F.lit(BITMAP))
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """``BITMAP`` bits: the slots of the ids.  At most BITMAP / 32,768 rows of 4 KB."""
+    slot = _slot("id") + 1
+    rows = ids.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(BITMAP // 8, dtype=np.uint8)
+    for r in rows:
+        out[(r.part - 1) * 4096:r.part * 4096] = np.frombuffer(r.bits, dtype=np.uint8)
+    return out
+
+
+def _sets_of(text: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, shingles: each different set of the texts of ``ids`` (id), once."""
+    found = text.where("doc_id is not null").select("doc_id", "text", _slot("doc_id").alias("slot")) \
+                .mapInArrow(_sets(_bitmap(ids)), "id long, digest binary, shingles array<long>")
+    return found.join(ids, "id", "left_semi").dropDuplicates(["id", "digest"]).select("id", "shingles")
+
+
+def _pairs_in_order(reach: int):
+    """Compares each sorted row with the ``reach`` rows that follow in its region."""
     def run(batches):
         held = None
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             region = batch.column("region").to_numpy(zero_copy_only=False)
-            comp = batch.column("comp").to_numpy(zero_copy_only=False)
             data, _ = buffers(batch.column("signature"))
-            new = [ids, region, comp, data.reshape(-1, SIZE * 4).copy().view(np.uint32)]
+            new = [ids, region, data.reshape(-1, SIZE * 4).copy().view(np.uint32)]
             known = 0 if held is None else len(held[0])
             if known:
                 new = [np.concatenate([h, n]) for h, n in zip(held, new)]
-            ids, region, comp, sig = new
+            ids, region, sig = new
             agree = np.zeros((len(ids), reach), dtype=np.int32)
             for step in range(1, reach + 1):
                 a = np.arange(max(0, known - step), len(ids) - step)  # earlier ones are done
-                a = a[(region[a] == region[a + step]) & (comp[a] != comp[a + step])]
+                a = a[region[a] == region[a + step]]
                 agree[a, step - 1] = (sig[a] == sig[a + step]).sum(axis=1)
             a, step = np.nonzero(agree >= LEAST_AGREEMENT)
-            if most and len(a):
-                score = agree[a, step]
-                best = np.zeros(len(a), dtype=bool)
-                for end in (a, a + step + 1):
-                    order = np.lexsort((step, -score, end))
-                    first = np.searchsorted(end[order], end[order])
-                    best[order[np.arange(len(order)) - first < most]] = True
-                a, step = a[best], step[best]
             x, y = ids[a], ids[a + step + 1]
             held = [n[-reach:] for n in new]
             yield pa.RecordBatch.from_arrays(
@@ -211,15 +233,15 @@ def _regions(reps: DataFrame) -> DataFrame:
     return rows.join(crowded, "region").join(reps, "id")
 
 
-def _sorted_pairs(rows: DataFrame, reach: int, most: int | None = None) -> DataFrame:
+def _sorted_pairs(rows: DataFrame, reach: int) -> DataFrame:
     key = F.expr(f"substring(concat(signature, signature), tree * {4 * DEPTH} + 1, {4 * SORT_DEPTH})")
     order = ["tree", "key", "id"]
     rows = rows.withColumn("key", key)
     small = F.col("members") <= reach + 1  # kept whole, so that no pair is cut by a partition's edge
     whole = rows.where(small).repartition("region").sortWithinPartitions("region", "key", "id")
     rows = rows.where(~small).repartitionByRange(*order).sortWithinPartitions(*order).unionByName(whole)
-    pairs = (rows.select("id", "region", "comp", "signature")
-                 .mapInArrow(_pairs_in_order(reach, most), "a long, b long, agree int"))
+    pairs = (rows.select("id", "region", "signature")
+                 .mapInArrow(_pairs_in_order(reach), "a long, b long, agree int"))
     return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 
@@ -231,44 +253,90 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
-def _still_apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """The rows of crowded regions that hold several components, with ``comp``."""
-    rows = (rows.where(F.col("members") > NEIGHBOURS + 1).join(comps, "id", "left")
+def _intersections(n: int, row: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """(n, n) sizes of the intersections of n sets, given as (row, token) entries."""
+    order = np.lexsort((row, token))
+    row, token = row[order], token[order]
+    heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
+    sizes = np.diff(np.concatenate([heads, [len(token)]]))
+    out = np.zeros((n, n), dtype=np.float32)
+    for f in range(2, FEW + 1):  # few holders: pair by pair
+        held = row[heads[sizes == f][:, None] + np.arange(f)]
+        for i in range(f):
+            for j in range(i + 1, f):
+                out += np.bincount(held[:, i].astype(np.int64) * n + held[:, j],
+                                   minlength=n * n).reshape(n, n).astype(np.float32) if len(held) else 0
+    out += out.T
+    many = np.flatnonzero(sizes > FEW)
+    for k in range(0, len(many), 2048):  # many holders: a matrix product
+        part = many[k:k + 2048]
+        at = np.repeat(heads[part], sizes[part]) + _ramps(sizes[part])
+        block = np.zeros((n, len(part)), dtype=np.float32)
+        block[row[at], np.repeat(np.arange(len(part)), sizes[part])] = 1
+        out += block @ block.T
+    return out
+
+
+def _ramps(sizes: np.ndarray) -> np.ndarray:
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _forest(alike: np.ndarray, comp: np.ndarray):
+    """Rows (x, y) of a spanning forest of the components that ``alike`` links."""
+    up: dict[int, int] = {}
+
+    def root(c):
+        while up.get(c, c) != c:
+            up[c] = up.get(up[c], up[c])
+            c = up[c]
+        return c
+
+    out = []
+    for x in np.flatnonzero(alike.any(axis=1)):
+        ys = np.flatnonzero(alike[x])
+        for y in ys[np.unique(comp[ys], return_index=True)[1]]:
+            a, b = root(int(comp[x])), root(int(comp[y]))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                out.append((x, y))
+    return out
+
+
+def _block_links(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The links between components of one pair of blocks of a region."""
+    ids, comp, piece = (table.column(c).to_numpy() for c in ("id", "comp", "piece"))
+    lists = table.column("shingles").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    token = lists.flatten().to_numpy(zero_copy_only=False)
+    n = len(ids)
+    shared = _intersections(n, np.repeat(np.arange(n), sizes), token)
+    alike = 100 * shared >= 75 * (sizes[:, None] + sizes[None, :] - shared)
+    alike &= comp[:, None] != comp[None, :]
+    if key[1].as_py() != key[2].as_py():  # pairs within a block are another task's
+        alike &= piece[:, None] != piece[None, :]
+    links = _forest(np.triu(alike), comp)
+    x, y = (np.array([r[i] for r in links], dtype=np.int64) for i in (0, 1))
+    return pa.table([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y]))],
+                    names=["a", "b"])
+
+
+def _crowd_links(rows: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): in every crowded region that holds several components, links that
+    tie all components that any two of its members tie."""
+    rows = (rows.where(F.col("members") > NEIGHBOURS + 1).select("id", "region", "n").join(comps, "id", "left")
                 .withColumn("comp", F.coalesce("comp", "id")))
-    mixed = (rows.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .where("lo <> hi").select("region"))
-    return rows.join(mixed, "region")
-
-
-def _exact_pairs(sets: DataFrame) -> DataFrame:
-    """(a, b): all pairs of ``sets`` (id, comp, shingles) of different components
-    that can be 75 % alike, by prefix filter.
-
-    Shingles are ordered by whether several components hold them, then by count.
-    Two sets of n that are 75 % alike share ceil(0.75 n) shingles of either, so
-    they share one of the first n - ceil(0.75 n) + 1; those that one component
-    alone holds come first and meet nothing.  A frequent shingle's holders are
-    compared in pieces."""
-    sets = sets.withColumn("n", F.size("shingles")).withColumn("need", F.expr("(75 * n + 99) div 100"))
-    tokens = sets.select("id", F.xxhash64("shingles").alias("k"), "comp", "n", "need",
-                         F.explode("shingles").alias("t"))
-    shared = (tokens.groupBy("t").agg(F.count("*").alias("f"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                    .where("lo <> hi").select("t", "f"))
-    held = (tokens.join(shared, "t").groupBy("id", "k", "comp", "n", "need")
-                  .agg(F.sort_array(F.collect_set(F.struct("f", "t"))).alias("held"))
-                  .withColumn("m", F.size("held")).where("m >= need"))
-    first = F.explode(F.expr("slice(held, 1, cast(m - need + 1 as int))"))
-    prefix = held.select("id", "comp", "n", "m", first.alias("h")).select(
-        "id", "comp", "n", "m", "h.t", F.expr(f"1 + h.f div {PIECE}").alias("pieces"))
-    prefix = shared_table(prefix, "minhash-prefix")
-    x = prefix.select("t", F.pmod(F.xxhash64("id"), "pieces").alias("piece"),
-                      *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "m")])
-    y = prefix.select("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"),
-                      *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "m")])
-    most = F.least("m_a", "m_b")
-    return (x.join(y, ["t", "piece"]).where("id_a < id_b and comp_a <> comp_b")
-             .where(100 * most >= 75 * (F.col("n_a") + F.col("n_b") - most))
-             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+    mixed = rows.groupBy("region").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.expr(f"1 + greatest(count(*) div {BLOCK}, sum(n) div {BLOCK_SHINGLES})").alias("blocks"))
+    mixed = mixed.where("lo <> hi").select("region", "blocks")
+    piece = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    rows = rows.join(mixed, "region").select("region", "id", "comp", "blocks", piece.alias("piece"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    rows = rows.select("*", other.alias("other")).select(
+        "region", F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"),
+        "id", "comp", "piece")
+    return (rows.join(sets, "id").groupBy("region", "a", "b")
+                .applyInArrow(_block_links, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -277,15 +345,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = shared_table(text.mapInArrow(
         _signed, "doc_id long, n_shingles long, digest binary, signature binary"), "minhash-signed")
     linked = signed.where("doc_id is not null and digest is not null")
-    reps = linked.groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature"))
+    reps = linked.groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature"),
+                                          F.min("n_shingles").alias("n"))
     reps = shared_table(reps, "minhash-reps")
     # several sets under one id (a repeated doc_id) are tied by the id itself
-    rows = shared_table(_regions(reps.select("id", "signature")), "minhash-regions")
-    pairs = shared_table(_sorted_pairs(rows.withColumn("comp", F.col("id")), NEIGHBOURS), "minhash-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = shared_table(
-        text.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"),
-        "minhash-sets")
+    rows = shared_table(_regions(reps.select("id", "signature", "n")), "minhash-regions")
+    pairs = shared_table(_sorted_pairs(rows, NEIGHBOURS), "minhash-pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(
+        rows.where(F.col("members") > NEIGHBOURS + 1).select("id")).distinct()
+    sets = shared_table(_sets_of(text, shared_table(wanted, "minhash-wanted")), "minhash-sets")
 
     rank = [F.row_number().over(Window.partitionBy(c).orderBy(F.desc("agree"), o))
             for c, o in (("a", "b"), ("b", "a"))]  # at most 2 * NEIGHBOURS * ORDERS rows an id
@@ -295,17 +363,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = shared_table(components(links), "minhash-comps")
     more = shared_table(_confirmed(_apart(best.where("not best"), comps), sets), "minhash-more")
     comps = _merged(comps, more, "minhash-comps")
-    # crowded regions once more, among different components
-    again = _sorted_pairs(_still_apart(rows, comps), CROWD_REACH, CROWD_BEST)
-    again = _apart(again.join(pairs, ["a", "b"], "left_anti"), comps)
-    late = shared_table(_confirmed(again, sets), "minhash-late")
-    comps = _merged(comps, late, "minhash-comps")
-    # what is apart even then: all pairs that the sets allow
-    apart = shared_table(_still_apart(rows, comps).select("id", "comp").distinct(), "minhash-apart")
-    whole = shared_table(
-        text.join(apart.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-            .mapInArrow(_sets, "id long, shingles array<long>"), "minhash-whole")
-    last = shared_table(_confirmed(_exact_pairs(whole.join(apart, "id")), whole), "minhash-last")
+    # members of crowded regions that are apart even then
+    last = shared_table(_crowd_links(rows, comps, sets), "minhash-last")
     comps = _merged(comps, last, "minhash-comps")
 
     rep_of = linked.join(reps.select("digest", "id"), "digest") \

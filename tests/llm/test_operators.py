@@ -92,9 +92,10 @@ def test_near_dedup_links_a_crowded_region(spark):
 
 def test_small_regions_are_kept_whole_and_sets_uncut(spark):
     text = pa.array(["a b c d e f g"])
-    batch = next(minhash_dedup._sets([pa.RecordBatch.from_arrays([pa.array([1]), text], names=["doc_id", "text"])]))
+    docs = pa.RecordBatch.from_arrays([pa.array([1]), text, pa.array([9])], names=["doc_id", "text", "slot"])
+    batch = next(minhash_dedup._sets(np.array([0, 2], dtype=np.uint8))([docs]))
     data, offsets = buffers(text)
-    assert batch.column(1)[0].as_py() == minhash_dedup.distinct_shingles(data, offsets)[0].view(np.int64).tolist()
+    assert batch.column(2)[0].as_py() == minhash_dedup.distinct_shingles(data, offsets)[0].view(np.int64).tolist()
     size, rng = minhash_dedup.NEIGHBOURS + 1, np.random.default_rng(3)
     rows = [(size * g + i, 0, g, size, sig, size * g + i) for g in range(203)
             for sig in [rng.bytes(4 * minhash_dedup.SIZE)] for i in range(size)]

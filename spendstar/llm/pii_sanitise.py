@@ -2,18 +2,20 @@
 
 Base spans are emails, IP addresses, card and phone numbers by fixed patterns.
 Removing them is not enough where other words give them away, so every term
-(a run of letters, marks and digits outside base spans) of the documents that
-hold a protected entity is judged by corpus co-occurrence: with n documents,
-n_e with entity e, n_t with term t, and n_te with both, t reveals the share
+(a run of letters, marks and digits outside base spans) of the texts that
+hold a protected entity is judged by corpus co-occurrence: with n different
+texts, n_e with entity e, n_t with term t, and n_te with both, t reveals the share
 
     (log2(n / n_e) + log2(n_te / n_t)) / log2(n / n_e)
 
-of e's information.  Terms that share at least ``SUPPORT`` documents with e are
+of e's information.  Terms that share at least ``SUPPORT`` texts with e are
 generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, at every place
-in the documents that hold e.  n_t counts all documents.
+in the texts that hold e.  n_t counts all texts.  All counts are of different
+texts (by a 128-bit digest): copies and repeated rows are no further evidence.
+So an entity that one text alone holds has no term judged: with ``SUPPORT`` 1
+every word of that text would reveal it.
 
-Null text is empty and has no spans.  Rows equal in doc_id and text are one
-document for the counts and get equal results.
+Null text is empty and has no spans.  Rows of equal text get equal results.
 """
 
 from __future__ import annotations
@@ -102,13 +104,17 @@ def _with(spans: str, **fields: Column | None) -> Column:
         *[(s[name] if value is None else value).alias(name) for name, value in fields.items()]))
 
 
+def _key(text: Column) -> Column:
+    """The content key of a text: its MD5 digest, 16 bytes."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def found(docs: DataFrame) -> DataFrame:
-    """One row per document: k (a key of doc_id and text) and the base spans of
-    each kind."""
+    """One row per document: k (the text's key) and the base spans of each kind."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumn("k", F.xxhash64("doc_id", "text"))
-    return rows.select("doc_id", "k", *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
+    return rows.select("doc_id", _key(F.col("text")).alias("k"),
+                       *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
 
 
 def _hidden(text: Column, spans: Column) -> Column:
@@ -123,16 +129,28 @@ def _hidden(text: Column, spans: Column) -> Column:
     return let(walked, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
 
 
-def _words(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(k, term, start, stop) of all terms outside the spans of the documents in
-    ``spans`` (k, spans); a term that touches a span's characters is none."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), text).alias("k"), text.alias("text"))
-    rows = rows.join(spans, "k").dropDuplicates(["k"]).select("k", _hidden(F.col("text"), F.col("spans")).alias("text"))
-    edge = TERM[:-3] + HIDDEN + "]"
-    whole = f"(?<!{edge}){TERM}(?!{HIDDEN})"
-    rows = rows.select("k", F.split("text", whole, -1).alias("between"),
-                       F.regexp_extract_all("text", F.lit(whole), F.lit(0)).alias("found"))
+#: A term outside the spans; one that touches a span's characters is none.
+_WHOLE = f"(?<!{TERM[:-3]}{HIDDEN}]){TERM}(?!{HIDDEN})"
+
+
+def _texts(docs: DataFrame, once: DataFrame) -> DataFrame:
+    """(k, terms, hidden): one row for each different text, with the hashes of its
+    terms outside the spans of ``once`` (k, spans) and, where it has spans, the
+    text with them hidden.  One exchange of the texts serves all counts."""
+    rows = docs.select(_key(F.col("text")).alias("k"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.join(once, "k", "left").dropDuplicates(["k"])
+    hidden = F.when(F.col("spans").isNotNull(), _hidden(F.col("text"), F.col("spans")))
+    rows = rows.select("k", F.col("text"), hidden.alias("hidden"))
+    own = F.regexp_extract_all(F.coalesce("hidden", "text"), F.lit(_WHOLE), F.lit(0))
+    terms = F.array_distinct(F.transform(own, lambda w: F.xxhash64(F.lower(w))))
+    return rows.select("k", terms.alias("terms"), "hidden")
+
+
+def _words(texts: DataFrame) -> DataFrame:
+    """(k, term, start, stop) of all terms outside the spans of the texts with spans."""
+    rows = texts.where(F.col("hidden").isNotNull()).select(
+        "k", F.split("hidden", _WHOLE, -1).alias("between"),
+        F.regexp_extract_all("hidden", F.lit(_WHOLE), F.lit(0)).alias("found"))
     word = F.posexplode(F.arrays_zip(F.slice("between", F.lit(1), F.size("found")).alias("between"), "found"))
     rows = rows.select("k", word.alias("at", "w")).select(
         "k", "at", F.length("w.between").alias("gap"), F.length("w.found").alias("size"),
@@ -143,24 +161,23 @@ def _words(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
     """(k, start, stop, share) of the terms that reveal a protected entity."""
-    n = docs.count()
     every = F.concat(*[_with(kind, kind=F.lit(kind), found=None) for kind in KINDS])
     once = base.select("k", every.alias("spans")).where(F.size("spans") > 0).dropDuplicates(["k"])
+    texts = shared_table(_texts(docs, once), "pii-texts")
+    n = texts.count()
     held = once.select("k", F.explode("spans").alias("s")).select(
         "k", F.xxhash64("s.kind", F.lower("s.found")).alias("entity")).distinct()
     entities = (held.groupBy("entity").agg(F.count("*").alias("n_e"))
                     .where((F.col("n_e") >= SUPPORT) & (F.col("n_e") < n)))
     held = shared_table(held.join(entities, "entity"), "pii-held")
-    words = shared_table(_words(docs, once.join(held.select("k").distinct(), "k", "left_semi")), "pii-words")
-    own = F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w)))
-    terms = (docs.where(F.col("text").isNotNull()).select(F.explode(F.array_distinct(own)).alias("term"))
-                 .groupBy("term").agg(F.count("*").alias("n_t")))
+    words = shared_table(_words(texts.join(held.select("k").distinct(), "k", "left_semi")), "pii-words")
+    terms = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     information = F.log2(F.lit(float(n)) / F.col("n_e"))
 
     def share(n_te: str) -> Column:
         return (information + F.log2(F.col(n_te) / F.greatest("n_t", n_te))) / information
 
-    # a term too common to tell even if it stood in all documents of the entity goes at once
+    # a term too common to tell even if it stood in all texts of the entity goes at once
     near = (words.select("k", "term").distinct().join(terms, "term").join(held, "k")
                  .where(share("n_e") >= GENERALISE))
     near = shared_table(near.select("k", "entity", "term", "n_e", "n_t"), "pii-near")
@@ -203,8 +220,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
         s["start"].alias("start"), s["stop"].alias("stop"),
         F.when(s["share"] >= REMOVE, "").otherwise("[TERM]").alias("label")))
     marks = marked.select("k", F.concat(*labels, term).alias("_marks")).where(F.size("_marks") > 0)
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.withColumn("_k", key).join(marks.withColumnRenamed("k", "_k"), "_k", "left")
+    rows = docs.withColumn("_k", _key(F.col("text"))).join(marks.withColumnRenamed("k", "_k"), "_k", "left")
     text = F.when(F.col("_marks").isNull(), F.col("text")).otherwise(_rewritten(F.col("text"), F.col("_marks")))
     out = {"text": text}
     if "n_chars" in docs.columns:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -232,16 +233,81 @@ def test_sanitised_texts(spark, odd):
 
 def test_terms_are_judged_over_whole_texts(spark):
     far = "and so on with the rest of it " * 5
-    rows = [(i, f"Zanzibar Bo R2D2 {far} one two six ten red sky x0@y.org {far} then zanzibar. BO", "en", "s", 0, 0, "")
+    rows = [(i, f"Zanzibar Bo R2D2 {far} one two six ten red sky x0@y.org {far} then zanzibar. BO {i}", "en", "s", 0, 0, "")
             for i in range(3)]
-    rows += [(100 + i, far + "one two six ten red sky then", "en", "s", 0, 0, "") for i in range(60)]
+    rows += [(100 + i, far + f"one two six ten red sky then {i % 3} {100 + i}", "en", "s", 0, 0, "") for i in range(60)]
     got = {r.doc_id: r.text for r in pii_sanitise.sanitise(spark.createDataFrame(rows, DOCS)).collect()}
-    assert got[0] == f"   {far} one two six ten red sky [EMAIL] {far} then . "
+    assert got[0] == f"   {far} one two six ten red sky [EMAIL] {far} then .  0"
     assert got[100] == rows[3][1]
     spans = pii_sanitise.spans(spark.createDataFrame(rows, DOCS)).where("doc_id = 0").first()
     assert [rows[0][1][s.start:s.stop] for s in spans.terms] == ["Zanzibar", "Bo", "R2D2", "zanzibar", "BO"]
 
 
+def _disclosing(texts):
+    """The terms that reveal an entity, as spans of each text, by counting."""
+    import regex
+
+    spans, terms, held = {}, {}, {}
+    for t in set(texts):
+        found = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in _base(t).split(",") if x)]
+        hidden = list(t.replace("\uffff", " ")) if found else list(t)
+        for _, a, b in found:
+            hidden[a:b] = "\uffff" * (b - a)
+        whole = regex.compile(r"(?<![\p{L}\p{M}\p{N}\uffff])[\p{L}\p{M}\p{N}]++(?!\uffff)")
+        terms[t] = [(m.start(), m.end(), m[0].lower()) for m in whole.finditer("".join(hidden))]
+        held[t] = {(k, t[a:b].lower()) for k, a, b in found}
+    n, n_e, n_t, n_te = len(terms), Counter(), Counter(), Counter()
+    for t in terms:
+        own = {w for _, _, w in terms[t]}
+        n_e.update(held[t])
+        n_t.update(own)
+        n_te.update((e, w) for e in held[t] for w in own)
+    told = set()
+    for (e, w), both in n_te.items():
+        if both >= pii_sanitise.SUPPORT <= n_e[e] < n:
+            whole = np.log2(n / n_e[e])
+            if (whole + np.log2(both / n_t[w])) / whole >= pii_sanitise.GENERALISE:
+                told.add((e, w))
+    return {t: [(a, b) for a, b, w in terms[t] if any((e, w) in told for e in held[t])] for t in terms}
+
+
+def test_disclosing_terms_equal_counting(spark, texts):
+    rng = np.random.default_rng(8)
+    made = {}
+    for i in range(150):
+        words = [f"w{int(w)}" for w in rng.integers(0, 4000, 30)] + ["the", "Office", "of"]
+        if i % 3 == 0:  # an address that several texts hold, and a word that goes with it
+            e = int(rng.integers(0, 12))
+            words += [f"p{e}@y.org", f"Agent{e}", f"room{e % 4}"]
+        made[i] = " ".join(rng.permutation(words))
+    df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    some = 0
+    for docs, of in ((table(spark, SF, "documents"), texts), (df, made)):
+        want = _disclosing([t or "" for t in of.values()])
+        for r in pii_sanitise.spans(docs).collect():
+            assert [(t.start, t.stop) for t in r.terms] == want[of[r.doc_id] or ""], r.doc_id
+            some += len(r.terms)
+    assert some > 20
+
+
+def test_copies_and_repeated_rows_are_no_evidence(spark):
+    def terms(rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return {r.doc_id: [(s.start, s.stop) for s in r.terms] for r in pii_sanitise.spans(df).collect()}
+    rest = [(100 + i, f"green hills {i} under a wide sky") for i in range(60)]
+    rows = [(i, f"Zanzibar keeps {i} notes for x@y.org today") for i in range(3)] + rest
+    once = terms(rows)
+    assert once[0] and once[0] == once[1][:len(once[0])]
+    assert terms(rows + [rows[0]] * 30) == once
+    copies = terms(rows + [(7, rows[0][1]), (8, rows[0][1])])
+    assert {i: copies[i] for i in once} == once and copies[7] == once[0]
+    # one text under two ids: its other words stay
+    seven = [(1, "please write a mail to x@y.org soon"), (2, "please write a mail to x@y.org soon")]
+    df = spark.createDataFrame(seven + rest, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii_sanitise.sanitise(df).collect()}
+    assert got[1] == got[2] == "please write a mail to [EMAIL] soon"
+
+
 def _without_repeats(rows):
     seen: dict[bytes, int] = {}
     out = {}

@@ -4,6 +4,7 @@ folder, dense row numbers, and vectorised word hashing over Arrow strings."""
 from __future__ import annotations
 
 import uuid
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20250101).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-_CHUNK = 1 << 20
+_CHUNK, _LONG = 1 << 20, 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,7 +121,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash for each span (ascending, not overlapping)."""
+    """A 64-bit hash for each span (ascending, not overlapping).
+
+    Spans below ``_LONG`` bytes are hashed together, as polynomials modulo 2^64;
+    longer ones, of which some pairs would collide whatever the base, one by one.
+    """
     out, i, n = np.empty(len(starts), dtype=np.uint64), 0, len(starts)
     while i < n:
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + _CHUNK, side="right")))
@@ -132,6 +137,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         s, e = starts[i:j] - base, ends[i:j] - base
         out[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         i = j
+    for k in np.flatnonzero(ends - starts >= _LONG):
+        own = blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8).digest()
+        out[k] = int.from_bytes(own, "little")
     return out
 
 

@@ -259,13 +259,11 @@ def _intersections(n: int, row: np.ndarray, token: np.ndarray) -> np.ndarray:
     row, token = row[order], token[order]
     heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
     sizes = np.diff(np.concatenate([heads, [len(token)]]))
-    out = np.zeros((n, n), dtype=np.float32)
+    pairs = [np.zeros(0, dtype=np.int64)]
     for f in range(2, FEW + 1):  # few holders: pair by pair
-        held = row[heads[sizes == f][:, None] + np.arange(f)]
-        for i in range(f):
-            for j in range(i + 1, f):
-                out += np.bincount(held[:, i].astype(np.int64) * n + held[:, j],
-                                   minlength=n * n).reshape(n, n).astype(np.float32) if len(held) else 0
+        held = row[heads[sizes == f][:, None] + np.arange(f)].astype(np.int64)
+        pairs += [held[:, i] * n + held[:, j] for i in range(f) for j in range(i + 1, f)]
+    out = np.bincount(np.concatenate(pairs), minlength=n * n).reshape(n, n).astype(np.float32)
     out += out.T
     many = np.flatnonzero(sizes > FEW)
     for k in range(0, len(many), 2048):  # many holders: a matrix product

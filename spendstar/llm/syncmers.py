@@ -69,7 +69,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, text and edited sketches, edited_sha256, likenesses."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumn("k", F.xxhash64("doc_id", "text"))
+    whole = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "text")
+    rows = rows.withColumn("k", F.unhex(F.md5(whole)))  # 128 bits: texts are joined by it
     size = F.length("text")
     order = numbered(rows.select("doc_id", "k", size.cast("long").alias("n_chars")).distinct(),
                      ["doc_id", "k"], "syncmer-order")

@@ -153,7 +153,9 @@ def sampled_labels(labels: DataFrame, column: str, sample: int) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     picked = F.broadcast(sampled_labels(labels, "quality", sample))  # at most ``sample`` rows
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                .where(F.col("text").isNotNull()).join(picked, "doc_id"))
+                .where(F.col("text").isNotNull()).join(picked, "doc_id")
+                # one text an id, the smallest: the sample bounds rows, not only ids
+                .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y")))
 
     def sparse(batches):
         for batch in batches:

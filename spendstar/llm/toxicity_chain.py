@@ -161,7 +161,9 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list[dict]
     """The chain's models in order; the last one predicts ``toxic``."""
     picked = F.broadcast(sampled_labels(labels, "toxic", limit))  # at most ``limit`` rows
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                .where(F.col("text").isNotNull()).join(picked, "doc_id"))
+                .where(F.col("text").isNotNull()).join(picked, "doc_id")
+                # one text an id, the smallest: the sample bounds rows, not only ids
+                .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y")))
 
     def distinct(batches):
         for batch in batches:

@@ -14,7 +14,7 @@ import pytest
 
 from spendstar.llm import (feistel_shard, kdtree_search, minhash_dedup, mix_sources, pii_sanitise,
                            pow2_pack, queries, suffix_dedup, syncmers)
-from spendstar.llm.common import buffers, table
+from spendstar.llm.common import buffers, span_hashes, table, word_spans
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row_no long, k string"
@@ -72,6 +72,93 @@ def test_near_dedup_odd_rows(odd):
     assert minhash_dedup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def _thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: "b", 98: "a"})
+    return word[:n]
+
+
+@pytest.mark.parametrize("n", [512, 2048, 4096])
+def test_long_words_that_a_polynomial_confuses(spark, n):
+    """A Thue-Morse word and its complement: one hash modulo 2^64, two words."""
+    word = _thue_morse(n)
+    text = word + " " + word.translate({97: "b", 98: "a"})
+    data, offsets = buffers(pa.array([text]))
+    assert len(set(span_hashes(data, *word_spans(data, offsets)[:2]).tolist())) == 2
+    df = spark.createDataFrame([(1, text), (2, word), (3, text[n + 1:])], "doc_id long, text string")
+    got = {r.doc_id: r for r in minhash_dedup.near_duplicates(df).collect()}
+    assert [got[i].component_id for i in (1, 2, 3)] == [1, 2, 3]
+    from tokenizers import Tokenizer
+    coder = Tokenizer.from_file(queries.tokenizer_path())
+    want = coder.encode(text, add_special_tokens=False).ids + [pow2_pack.END_ID]
+    out = pow2_pack.pack(df.where("doc_id = 1"), queries.tokenizer_path()).orderBy("start").collect()
+    assert np.concatenate([np.frombuffer(r.ids, "<u4") for r in out]).tolist() == want
+
+
+def test_repeated_rows_are_one_set(spark):
+    base = _words("r", 60)
+    rows = [(1, " ".join(base))] * 400 + [(2, " ".join(base + ["more"]))] * 400
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = spark.createDataFrame([(1,), (2,)], "id long")
+    assert minhash_dedup._sets_of(df, ids).count() == 2
+    assert {r.component_id for r in minhash_dedup.near_duplicates(df).collect()} == {1}
+
+
+def test_block_intersections_and_forest():
+    rng = np.random.default_rng(4)
+    for n, kinds, size in ((2, 5, 3), (40, 60, 20), (60, 3000, 200), (30, 12, 9)):
+        sets = [np.unique(rng.integers(0, kinds, size)) for _ in range(n)]
+        row = np.repeat(np.arange(n), [len(s) for s in sets])
+        got = minhash_dedup._intersections(n, row, np.concatenate(sets))
+        for i in range(n):
+            for j in range(i):
+                assert got[i, j] == got[j, i] == len(np.intersect1d(sets[i], sets[j]))
+    alike = np.triu(rng.random((50, 50)) < 0.03, 1)
+    comp = rng.integers(0, 25, 50)
+    alike &= comp[:, None] != comp[None, :]
+    part = {int(c): int(c) for c in comp}
+    for x, y in zip(*np.nonzero(alike)):
+        a, b = sorted((part[int(comp[x])], part[int(comp[y])]))
+        part = {c: a if p == b else p for c, p in part.items()}
+    tied = {c: c for c in part}
+    forest = minhash_dedup._forest(alike, comp)
+    for x, y in forest:
+        assert alike[x, y]
+        a, b = sorted((tied[int(comp[x])], tied[int(comp[y])]))
+        tied = {c: a if p == b else p for c, p in tied.items()}
+    assert tied == part and len(forest) == len(part) - len(set(part.values()))
+
+
+def test_two_versions_of_a_template_make_no_pairs(spark):
+    """1,000 near copies each, every pair across just below 75 %: no row for a pair."""
+    common, rows, rng = _words("x", 400), [], np.random.default_rng(2)
+    for v in range(2):
+        for i in range(1000):
+            tail = [f"t{v}_{int(w)}" for w in rng.integers(0, 10**6, 4)]
+            rows.append((10_000 * v + i, " ".join(common + _words(f"v{v}_", 66) + tail)))
+    sets = {i: _shingles(t) for i, t in (rows[0], rows[1000])}
+    (a, b) = sets.values()
+    assert 0.70 < len(a & b) / len(a | b) < 0.75
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    made = []
+    old = minhash_dedup.shared_table
+
+    def counted(frame, name):
+        out = old(frame, name)
+        made.append((name, out.count()))
+        return out
+    minhash_dedup.shared_table = counted
+    try:
+        got = minhash_dedup.near_duplicates(df).collect()
+    finally:
+        minhash_dedup.shared_table = old
+    assert {r.component_id for r in got} == {0, 10_000}
+    # at most the neighbours of each member in each order; none across the versions at the end
+    assert max(n for _, n in made) <= 2000 * minhash_dedup.NEIGHBOURS * minhash_dedup.ORDERS
+    assert dict(made)["minhash-last"] == 0
+
+
 def _words(name, n):
     return [f"{name}{i}" for i in range(n)]
 

@@ -422,7 +422,7 @@ def test_repeats_equal_brute_force(spark, texts, shard):
              (106, "x\0" * 90 + "y")]
     df = spark.createDataFrame([(int(i), t) for i, t in rows], "doc_id long, text string")
     old, suffix_dedup.SHARD = suffix_dedup.SHARD, shard
-    try:  # the workers read the module's own value, so the shards are also tried directly
+    try:  # workers read the module's own value; test_methods.py tries the shards directly
         got = {r.doc_id: tuple(r)[1:5] for r in suffix_dedup.remove_repeats(df).collect()}
     finally:
         suffix_dedup.SHARD = old

@@ -45,8 +45,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("pii", pii), ("mixing", mixing),
           ("packing", packing)]
 
-#: Signatures, models and tokens are not SQL: tests/llm holds the stages against
-#: brute force instead.
+#: Signatures, models and tokens are not SQL: tests/llm holds the operators
+#: against brute force, and the stages' columns, order and effects.
 ORACLE_SQL = None
 
 

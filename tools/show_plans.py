@@ -14,7 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from spendstar.operators.cleaning import dedup  # noqa: E402
-from spendstar.operators.fact import build_fact  # noqa: E402
+from spendstar.operators.fact import star_join  # noqa: E402
 from spendstar.plans import reports  # noqa: E402
 from spendstar.plans.catalog import steps_for, warehouse_for  # noqa: E402
 from spendstar.session import local_session  # noqa: E402
@@ -40,7 +40,7 @@ def main() -> None:
     steps = steps_for(spark, sf_dir)
     items = {
         "dedup (clean phase)": dedup(steps.typed),
-        "fact load": build_fact(wh.clean, wh.dims),
+        "fact load, before it is dealt to files": star_join(wh.clean, wh.dims),
         "top_suppliers": reports.top_suppliers(wh),
         "top_suppliers_monthly": reports.top_suppliers_monthly(wh),
         "expense_types_above_avg": reports.expense_types_above_avg(wh),

@@ -1,15 +1,19 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text's tokens are its blank-separated words, longer ones in steps of
-``STEP`` characters.  A k-mer of ``K`` tokens is an anchor if the smallest hash
-of its inner 2-token substrings is at its first or last place: that depends on
-the k-mer alone, so an edit moves only the anchors it touches.  The fingerprint
-are the ``SIZE`` smallest distinct anchor hashes; likeness is the share of the
-union's ``SIZE`` smallest that both have.  A text with tokens but no anchor has
-the hash of all its tokens as its one anchor; a text without tokens has none.
+A text's tokens are its blank-separated words of at most ``STEP`` characters and
+the single characters of longer words, so that text without blanks has tokens
+that an edit does not move.  A k-mer of ``K`` tokens is an anchor if the smallest
+hash of its inner 2-token substrings is at its first or last place: that depends
+on the k-mer alone.  The fingerprint are the ``SIZE`` smallest distinct anchor
+hashes in the order of their first places.  Two fingerprints are matched by
+position: likeness is the largest number of common anchors, among the ``SIZE``
+smallest of either, that stand in one order in both, as a share of those
+smallest; so moved parts count as far as they keep their order.  A text with
+tokens but no anchor has the hash of all its tokens as its one anchor; a text
+without tokens has none.
 
 Null text is empty.  Two empty fingerprints are alike (1.0), one is not (0.0).
-The next document is the next in (doc_id, text hash) order, null ids first,
+The next document is the next in (doc_id, digest) order, null ids first,
 after the last the first; rows equal in both count as one document and give
 equal rows.
 """
@@ -22,6 +26,9 @@ from pyspark.sql import functions as F
 from spendstar.llm.common import numbered, shared_table
 
 K, STEP, SIZE = 5, 12, 64
+_BODY = r"[^\x20\x09-\x0D]"
+#: A word of at most ``STEP`` characters, or one character of a longer one.
+TOKEN = r"(?<!%s)%s{1,%d}+(?!%s)|%s" % (_BODY, _BODY, STEP, _BODY, _BODY)
 
 
 def let(value: Column, body) -> Column:
@@ -31,7 +38,7 @@ def let(value: Column, body) -> Column:
 
 def anchors(text: Column) -> Column:
     """Hashes of a text's anchors, in its order."""
-    tokens = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]{1,%d}" % STEP), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
     hashes = F.transform(tokens, lambda w: F.xxhash64(w))
 
     def of(h: Column) -> Column:
@@ -52,13 +59,33 @@ def anchors(text: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(anchors(text))), 1, SIZE)
+    """The ``SIZE`` smallest anchors, in the order of their first places."""
+    return let(F.array_distinct(anchors(text)), lambda a: let(
+        F.sort_array(a), lambda s: F.filter(a, lambda h: h <= F.element_at(
+            s, F.greatest(F.lit(1), F.least(F.lit(SIZE), F.size(s)))))))
+
+
+def _in_order(places: Column) -> Column:
+    """The size of the largest set of ``places`` that ascend."""
+    def longer(a: Column, p: Column) -> Column:
+        before = F.array_max(F.transform(F.filter(a, lambda e: e["p"] < p), lambda e: e["n"]))
+        return F.concat(a, F.array(F.struct(p.alias("p"), (F.coalesce(before, F.lit(0)) + 1).alias("n"))))
+
+    empty = F.array().cast("array<struct<p:bigint,n:int>>")
+    longest = F.array_max(F.transform(F.aggregate(places, empty, longer), lambda e: e["n"]))
+    return F.when(places == F.sort_array(places), F.size(places)).otherwise(longest)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    low = F.slice(F.sort_array(F.array_union(a, b)), 1, SIZE)
-    both = F.size(F.array_intersect(F.array_intersect(low, a), b))
-    return F.when(F.size(low) == 0, F.lit(1.0)).otherwise(both.cast("double") / F.size(low))
+    """Anchors of both among the ``SIZE`` smallest of either that stand in one
+    order in both, as a share of those smallest."""
+    def matched(low: Column) -> Column:
+        shared = F.filter(a, lambda h: F.array_contains(b, h) & F.array_contains(low, h))
+        places = F.transform(shared, lambda h: F.array_position(b, h))
+        return F.when(F.size(low) == 0, F.lit(1.0)).otherwise(
+            let(places, _in_order).cast("double") / F.size(low))
+
+    return let(F.slice(F.sort_array(F.array_union(a, b)), 1, SIZE), matched)
 
 
 def as_string(sketched: Column) -> Column:

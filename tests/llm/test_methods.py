@@ -132,8 +132,9 @@ def _hash(*values):
 
 def _sketch(text):
     import re
-    words = [_hash(w) for w in re.findall(r"[^\x20\x09-\x0D]{1,%d}" % syncmers.STEP, text)]
-    k, out = syncmers.K, []
+    words, k, out = [], syncmers.K, []
+    for w in re.findall(r"[^\x20\x09-\x0D]+", text):
+        words += [_hash(w)] if len(w) <= syncmers.STEP else [_hash(c) for c in w]
     if len(words) >= k:
         pairs = [_hash(a, b) for a, b in zip(words, words[1:])]
         for i in range(len(words) - k + 1):
@@ -142,12 +143,17 @@ def _sketch(text):
                 out.append(_hash(*own[0::2], words[i + k - 1]))
     if not out and words:
         out = [_hash(*words)]
-    return sorted(set(out))[:syncmers.SIZE]
+    kept = set(sorted(set(out))[:syncmers.SIZE])
+    return [h for h in dict.fromkeys(out) if h in kept]
 
 
 def _likeness(a, b):
     low = sorted(set(a) | set(b))[:syncmers.SIZE]
-    return len([h for h in low if h in a and h in b]) / len(low) if low else 1.0
+    places = [b.index(h) for h in a if h in b and h in low]
+    longest = []  # of the ascending sets that end at each place
+    for i, p in enumerate(places):
+        longest.append(1 + max((longest[j] for j in range(i) if places[j] < p), default=0))
+    return max(longest, default=0) / len(low) if low else 1.0
 
 
 def test_fingerprints_and_likenesses_equal_plain_loops(spark):
@@ -162,3 +168,21 @@ def test_fingerprints_and_likenesses_equal_plain_loops(spark):
         assert [r.fingerprint, r.edited_fingerprint] == written, r.doc_id
         assert r.near_edited == pytest.approx(_likeness(own, edited))
         assert r.near_next == pytest.approx(_likeness(own, other))
+
+
+def test_likeness_is_matched_by_position(spark):
+    rng = np.random.default_rng(6)
+    words = [f"w{int(i)}" for i in rng.integers(0, 5000, 160)]
+    parts = [words[i:i + 40] for i in range(0, 160, 40)]
+    han = "".join(chr(0x4E00 + int(i)) for i in rng.integers(0, 3000, 600))
+    cases = {"same": (words, words), "moved": (words, sum(parts[::-1], [])),
+             "edited": (words, words[:80] + ["new"] + words[81:])}
+    rows = [(name, " ".join(a), " ".join(b)) for name, (a, b) in cases.items()]
+    rows += [("inserted", han, han[:20] + "X" + han[20:]), ("empty", "", ""), ("none", "", han)]
+    df = spark.createDataFrame(rows, "name string, a string, b string")
+    a, b = syncmers.sketch(df.a), syncmers.sketch(df.b)
+    got = {r.name: r.near for r in df.select("name", syncmers.likeness(a, b).alias("near")).collect()}
+    for name, x, y in rows:
+        assert got[name] == pytest.approx(_likeness(_sketch(x), _sketch(y))), name
+    assert got["same"] == got["empty"] == 1.0 and got["none"] == 0.0
+    assert 0.2 < got["moved"] < 0.6 and got["edited"] > 0.85 and got["inserted"] > 0.9

@@ -18,8 +18,10 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
     """Write ``df`` as Parquet (a new folder each call) and read it back."""
     spark = df.sparkSession
     target = path or scratch_path(spark, name)
-    # static: a rebuild replaces the whole table, whatever the session's mode
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    # static: a rebuild replaces the whole table, whatever the session's mode; one
+    # file a task, as the fact's numbering by file expects
+    writer = (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+                .option("maxRecordsPerFile", 0))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)

@@ -110,6 +110,20 @@ def _members(spark, clean):
     return read_members(spark, *keyed_members(clean))
 
 
+def test_ids_stay_dense_where_the_session_cuts_files(spark, wh):
+    """``maxRecordsPerFile`` would give a task several files of one number."""
+    key = "spark.sql.files.maxRecordsPerFile"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "100")
+    try:
+        stored, ranges, counters = load_fact(wh.clean, wh.dims, _members(spark, wh.clean))
+    finally:
+        spark.conf.set(key, old)
+    ids = with_fact_ids(stored, ranges.collect()).agg(
+        F.min("FactID"), F.max("FactID"), F.count_distinct("FactID")).first()
+    assert tuple(ids) == (1, counters["FactRows"], counters["FactRows"])
+
+
 def test_file_count_follows_the_bytes():
     mb = 1 << 20
     assert fact_files_wanted(0, 200) == 1

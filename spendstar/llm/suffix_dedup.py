@@ -8,7 +8,9 @@ content the smallest doc_id goes on.  Then:
    smallest hash; equal strings pick equal anchors.  Anchors are counted by hash
    bucket, packed; those of two or more contents are shared.
 2. Around each shared anchor the strings that picked it are cut out as one
-   snippet and sent to the anchor's bucket, so equal strings meet there.
+   snippet and sent to the anchor's bucket, so equal strings meet there.  A
+   snippet that occurs often in one slice of the texts is sent once, with its
+   occurrences.
 3. A bucket's snippets form shards of at most ``SHARD`` bytes.  Each shard gets
    a suffix array (Larsson-Sadakane: groups still unsorted are refined by the
    rank of the suffix h further on, h doubling) and common prefixes in text
@@ -179,16 +181,22 @@ def _snippets(buckets: int):
                 heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
                 cuts = np.append(heads, len(use))
                 docs, key, start = ids[i + row], keys[i + row], (first - at[row]).astype(np.int64)
-                size = size.astype(np.uint8)
-                spans = list(zip(cuts, cuts[1:]))
+                raw, to = text.tobytes(), to.tolist()
+                texts, sizes, which = [], [], []
+                spans = list(zip(cuts.tolist(), cuts[1:].tolist()))
+                for a, b in spans:  # a text that occurs often is sent once
+                    known: dict[bytes, int] = {}
+                    which.append(np.array([known.setdefault(raw[to[x]:to[x + 1]], len(known))
+                                           for x in range(a, b)], dtype=np.uint32).tobytes())
+                    texts.append(b"".join(known))
+                    sizes.append(bytes(map(len, known)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[heads]),
-                     pa.array([text[to[a]:to[b]].tobytes() for a, b in spans], pa.binary()),
-                     pa.array([size[a:b].tobytes() for a, b in spans], pa.binary()),
+                    [pa.array(bucket[heads]), pa.array(texts, pa.binary()), pa.array(sizes, pa.binary()),
+                     pa.array(which, pa.binary()),
                      pa.array([docs[a:b].tobytes() for a, b in spans], pa.binary()),
                      pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()),
                      pa.array([start[a:b].tobytes() for a, b in spans], pa.binary())],
-                    names=["bucket", "text", "size", "docs", "key", "start"])
+                    names=["bucket", "text", "size", "which", "docs", "key", "start"])
     return run
 
 
@@ -267,12 +275,15 @@ def _spans(pdf: pd.DataFrame, key_parts: int) -> pd.DataFrame:
     holds, packed by part of the content keys; ids are only compared."""
     text = b"".join(pdf["text"])
     size = np.frombuffer(b"".join(pdf["size"]), np.uint8).astype(np.int64)
+    # each row numbers its own texts; ``which``: the text of each occurrence
+    before = np.cumsum([0] + [len(x) for x in pdf["size"]])
+    which = np.concatenate([np.frombuffer(w, np.uint32) + b for w, b in zip(pdf["which"], before)])
     docs = np.frombuffer(b"".join(pdf["docs"]), np.int64)
     key = np.frombuffer(b"".join(pdf["key"]), np.int64)
     start = np.frombuffer(b"".join(pdf["start"]), np.int64)
     cuts = np.concatenate([[0], np.cumsum(size)])
     known: dict[bytes, int] = {}
-    which = np.array([known.setdefault(text[a:b], len(known)) for a, b in zip(cuts, cuts[1:])])
+    which = np.array([known.setdefault(text[a:b], len(known)) for a, b in zip(cuts, cuts[1:])])[which]
     parts = list(known)
     smallest = np.full(len(parts), LAST)
     np.minimum.at(smallest, which, docs)
@@ -293,7 +304,7 @@ def _spans(pdf: pd.DataFrame, key_parts: int) -> pd.DataFrame:
         _merge_shards(buffer, sorted_)
     for a, sa, group, best in sorted_:
         least[a + sa] = best[group]
-    count = size - LENGTH + 1
+    count = length[which] - LENGTH
     runs = [_runs(least, at[which[i:j]], count[i:j], docs[i:j], key[i:j], start[i:j])
             for i, j in doc_slices(np.concatenate([[0], np.cumsum(count)]), WINDOWS)]
     keys, begin, end = (np.concatenate(c) for c in zip(*runs))
@@ -410,8 +421,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     wanted = (first.withColumn("tag", F.col("k").bitwiseAND(F.lit(0xFFFFFFFF))).join(by_tag, "tag")
                    .select(F.col("first").alias("id"), "k", "codes"))
     cut = (rows.select("id", "k", "text").join(wanted, ["id", "k"]).select("id", "k", "text", "codes")
-               .mapInArrow(_snippets(buckets), "bucket long, text binary, size binary, docs binary, key binary, "
-                                               "start binary"))
+               .mapInArrow(_snippets(buckets), "bucket long, text binary, size binary, which binary, docs binary, "
+                                               "key binary, start binary"))
     parts = max(8, buckets // 8)
     packed = cut.groupBy("bucket").applyInPandas(
         _bucket_spans(parts), "part long, keys binary, start binary, stop binary")

@@ -93,24 +93,13 @@ def test_bucket_spans_equal_brute_force_in_any_shards(monkeypatch, shard):
                     first = None
         frame = pd.DataFrame({
             "text": [b"".join(s[0] for s in snippets)], "size": [bytes(len(s[0]) for s in snippets)],
-            "which": [np.arange(len(snippets), dtype=np.uint32).tobytes()],
             "docs": [np.array([s[1] for s in snippets]).tobytes()],
             "key": [np.array([s[2] for s in snippets]).tobytes()],
             "start": [np.array([s[3] for s in snippets]).tobytes()]})
-        # the same occurrences again, over two rows whose texts are sent once
-        half = len(snippets) // 2
-        rows = []
-        for own in (snippets[:half], snippets[half:]):
-            known: dict[bytes, int] = {}
-            which = [known.setdefault(s[0], len(known)) for s in own]
-            rows.append((b"".join(known), bytes(map(len, known)), np.array(which, np.uint32).tobytes(),
-                         *(np.array([s[c] for s in own], np.int64).tobytes() for c in (1, 2, 3))))
-        packed = pd.DataFrame(rows, columns=["text", "size", "which", "docs", "key", "start"])
-        for rows in (frame, packed):
-            got = set()
-            for r in suffix_dedup._spans(rows, 4).itertuples():
-                got |= set(zip(*(np.frombuffer(b, np.int64).tolist() for b in (r.keys, r.start, r.stop))))
-            assert got == want
+        got = set()
+        for r in suffix_dedup._spans(frame, 4).itertuples():
+            got |= set(zip(*(np.frombuffer(b, np.int64).tolist() for b in (r.keys, r.start, r.stop))))
+        assert got == want
 
 
 def test_repeats_of_odd_rows(spark):

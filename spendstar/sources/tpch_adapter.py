@@ -43,6 +43,7 @@ NO_TYPE_MOD = 43             # expense type NULL (even line number) or blank (od
 NO_DEPARTMENT_MOD = 47       # department NULL (even line number) or blank (odd)
 REJECT_SUPPKEY_MOD = 4       # suppliers with s_suppkey % 4 = 3 are rejected
 REJECT_SUPPKEY_REM = 3
+SHORT_REJECT_SUPPKEY_MOD = 20  # the short list: s_suppkey % 20 = 3
 BAD_DATE_TEXT = "31/02/2001"
 BAD_AMOUNT_TEXT = "1,234.56"
 EXPONENT_AMOUNT_TEXT = "1e3"
@@ -136,8 +137,8 @@ def spend_from_tpch(spark: SparkSession, sf_dir: str, dirty: bool = True) -> Dat
     return out.drop("_k")
 
 
-def rejects_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rejects_from_tpch(spark: SparkSession, sf_dir: str, mod: int = REJECT_SUPPKEY_MOD) -> DataFrame:
     """Reject-list names derived from the supplier table (``SupplierName``)."""
     s = _table(spark, sf_dir, "supplier")
-    return (s.where((F.col("s_suppkey") % REJECT_SUPPKEY_MOD) == REJECT_SUPPKEY_REM)
+    return (s.where((F.col("s_suppkey") % mod) == REJECT_SUPPKEY_REM)
              .select(F.col("s_name").alias("SupplierName")))

@@ -541,7 +541,7 @@ SELECT TransactionNumber, Supplier, Amount, DateOfPayment, count(*) AS Duplicate
 FROM typed GROUP BY TransactionNumber, Supplier, Amount, DateOfPayment HAVING count(*) > 1""")),
         "dedup_spend": _with(CLEAN, f"SELECT {ALL_SPEND} FROM deduped"),
         "dim_organisation": _with(WAREHOUSE, "SELECT * FROM dim_org"),
-        "dim_supplier": _with(WAREHOUSE, "SELECT * FROM dim_sup"),
+        "dim_supplier": _short_list(_with(WAREHOUSE, "SELECT * FROM dim_sup")),
         "dim_expense_type": _with(WAREHOUSE, "SELECT * FROM dim_et"),
         "dim_expense_area": _with(WAREHOUSE, "SELECT * FROM dim_ea"),
         "dim_date": _with(WAREHOUSE, "SELECT * FROM dim_date"),

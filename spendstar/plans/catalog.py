@@ -305,7 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_audit": lambda spark, d: duplicate_audit(steps_for(spark, d, SHORT_REJECT_SUPPKEY_MOD).typed),
     "dedup_spend": lambda spark, d: steps_for(spark, d).deduped,
     "dim_organisation": _wh(lambda wh: wh.dims["DimOrganisation"]),
-    "dim_supplier": _wh(lambda wh: wh.dims["DimSupplier"]),
+    "dim_supplier": lambda spark, d: warehouse_for(spark, d, SHORT_REJECT_SUPPKEY_MOD).dims["DimSupplier"],
     "dim_expense_type": _wh(lambda wh: wh.dims["DimExpenseType"]),
     "dim_expense_area": _wh(lambda wh: wh.dims["DimExpenseArea"]),
     "dim_date": _wh(lambda wh: wh.dims["DimDate"]),

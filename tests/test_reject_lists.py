@@ -39,9 +39,11 @@ def test_short_list_keeps_suppliers_that_only_the_long_list_names(spark, tmp_pat
     for name in "region nation supplier part orders lineitem".split():
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{at}/{name}.parquet/*.parquet')")
 
-    # S27 pays for order 20: on the long list (% 4 = 3), not on the short one
+    names = {r.SupplierName for r in E.queries()["dim_supplier"](spark, at).collect()}
+    # S15 pays for order 8 and S27 for order 20: on the long list (% 4 = 3), not on the short one
+    assert {"S15", "S27"} <= names and not {"S3", "S23"} & names
     audit = {r.TransactionNumber: r.Supplier for r in E.queries()["duplicate_audit"](spark, at).collect()}
     assert audit["20-1"] == "S27" and audit["10-1"] == "S17" and len(audit) == 4
-    for query in ("duplicate_audit",):
+    for query in ("dim_supplier", "duplicate_audit"):
         wanted = con.sql(E.oracle_sql()[query]).fetchall()
         assert len(wanted) == E.queries()[query](spark, at).count()

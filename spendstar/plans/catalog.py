@@ -67,7 +67,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str, reject_mod: int = REJECT_SUP
 
 def _tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "spend-tsv")
-    write_spend(spend_from_tpch(spark, sf_dir), path)
+    write_spend(spend_from_tpch(spark, sf_dir), path, compression="gzip")
     return read_spend(spark, path, lineage=False).select(*SPEND_COLUMNS)
 
 

@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from spendstar.constants import SPEND_COLUMNS, SPEND_SCHEMA
 from spendstar.sources.files import listed, sniff
 
+# A compressed file is read by one task: it holds this many rows at most.
+ROWS_PER_PACKED_FILE = 250_000
 CORRUPT_COLUMN = "_corrupt_record"
 SOURCE_COLUMN = "source_file"
 
@@ -74,13 +76,20 @@ def _writable(name: str, sep: str) -> Column:
     return F.when(broken, F.raise_error(message).cast("string")).otherwise(F.col(name)).alias(name)
 
 
+def packed(compression: str | None) -> dict:
+    """The writer options of compressed text; none without a codec."""
+    return {"compression": compression, "maxRecordsPerFile": ROWS_PER_PACKED_FILE} if compression else {}
+
+
 def write_spend(df: DataFrame, path: str, sep: str = "\t", header: bool = True,
-                mode: str = "overwrite", encoding: str = "UTF-8", line_sep: str = "\n") -> None:
+                mode: str = "overwrite", encoding: str = "UTF-8", line_sep: str = "\n",
+                compression: str | None = None) -> None:
     """Write staging-shaped rows as delimited text that ``read_spend`` reads back.
 
     Values are written verbatim: no quoting, no whitespace trimming; a value
     that holds the separator or a line break is an error.  Empty and NULL
-    fields both become empty fields (and load back as NULL).
+    fields both become empty fields (and load back as NULL).  With ``compression``
+    (``gzip``) the text is packed, in files of ``ROWS_PER_PACKED_FILE`` rows at most.
     """
     (df.select(*[_writable(c, sep) for c in SPEND_COLUMNS]).write.mode(mode)
        .option("sep", sep)
@@ -91,4 +100,5 @@ def write_spend(df: DataFrame, path: str, sep: str = "\t", header: bool = True,
        .option("lineSep", line_sep)
        .option("ignoreLeadingWhiteSpace", False)
        .option("ignoreTrailingWhiteSpace", False)
+       .options(**packed(compression))
        .csv(path))

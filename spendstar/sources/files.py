@@ -1,7 +1,8 @@
 """What a file's first bytes say: its encoding and its line ending.
 
 A listing job names the files; the driver reads at most ``HEAD`` bytes of each
-through the file system the path names (any that Hadoop knows).
+through the file system the path names (any that Hadoop knows), of a compressed
+file the first bytes of its text.
 """
 
 from __future__ import annotations
@@ -33,12 +34,17 @@ def files_of(spark: SparkSession, paths: str | Iterable[str]) -> list[tuple[str,
 
 
 def head(spark: SparkSession, path: str, length: int) -> bytes:
-    """The first bytes of a file, ``HEAD`` at most."""
-    jvm = spark._jvm
+    """The first bytes of a file, ``HEAD`` at most; a compressed one is unpacked."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    stream = p.getFileSystem(conf).open(p)
     try:
-        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, min(length, HEAD)))
+        io = jvm.org.apache.commons.io
+        if codec is None:
+            return bytes(io.IOUtils.toByteArray(stream, min(length, HEAD)))
+        stream = codec.createInputStream(stream)
+        return bytes(io.IOUtils.toByteArray(io.input.BoundedInputStream(stream, HEAD)))
     finally:
         stream.close()
 

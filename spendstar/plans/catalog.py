@@ -168,7 +168,7 @@ def _crlf_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "spend-utf16")
     rows = spend_from_tpch(spark, sf_dir).withColumn(
         "Description", F.concat(F.lit('"'), "Description", F.lit('", é')))
-    write_spend(rows, path, encoding="UTF-16BE", line_sep="\r\n")
+    write_spend(rows, path, encoding="UTF-16BE", line_sep="\r\n", compression="gzip")
     return read_spend(spark, path, encoding="UTF-16BE", lineage=False).select(*SPEND_COLUMNS)
 
 

@@ -32,7 +32,7 @@ from spendstar.plans.publish import (
 )
 from spendstar.plans.warehouse import CleanSteps, Warehouse, build_warehouse, clean_steps
 from spendstar.session import scratch_path
-from spendstar.sources.delimited import read_spend, write_spend
+from spendstar.sources.delimited import packed, read_spend, write_spend
 from spendstar.sources.reject_list import read_reject_list, write_reject_list
 from spendstar.sources.tables import materialize
 from spendstar.sources.tpch_adapter import (
@@ -195,7 +195,7 @@ def _malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spend_from_tpch(spark, sf_dir).select(
         F.when(number.endswith("7-1"), F.substring_index(line, "\t", 10))
          .when(number.endswith("3-2"), F.concat(line, F.lit("\tmore"))).otherwise(line).alias("value"))
-    lines.write.text(path)
+    lines.write.options(**packed("gzip")).text(path)
     staging = read_spend(spark, path, header=False, line_sep="\n")
     wh = build_warehouse(staging, rejects_from_tpch(spark, sf_dir))
     return wh.malformed.groupBy("RawLine").agg(F.sum("SourceRows").alias("SourceRows"))

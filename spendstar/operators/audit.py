@@ -26,36 +26,42 @@ def _metrics(df: DataFrame, label: str = "metric", value: str = "value") -> Data
 
 def stage_counters(staging: DataFrame, rejects: DataFrame, case_insensitive: bool = False,
                    redact_columns=("Supplier",)) -> DataFrame:
-    """The reference's step counts, one row per metric, in three aggregates.
-
-    StagingRowCount, StagingRowCount_After (after the reject list),
-    RedactedSupplierRows, CleanRowCount, InvalidDateCount and
-    InvalidAmountCount come from one pass over the flagged rows;
-    InvalidSupplierCount from the list; DuplicateGroups and
-    RowCount_AfterDeDup from one grouping by the natural key (the number of
-    groups is the number of rows de-duplication keeps).
+    """The reference's step counts, one row per metric.
+
+    All but InvalidSupplierCount (from the list) come from one pass over the
+    flagged rows, grouped by the natural key; the rejected rows are one more
+    group.  The number of groups is the number of rows de-duplication keeps,
+    and the counts of rows are sums over the groups: date and amount are part
+    of the key.
     """
     flagged = type_columns(
         redact(mark_rejected(staging, rejects, case_insensitive=case_insensitive),
                columns=redact_columns, case_insensitive=case_insensitive),
         keep=[REJECTED_FLAG])
     kept = ~F.col(REJECTED_FLAG)
-    steps = flagged.agg(
-        F.count(F.lit(1)).alias("StagingRowCount"),
-        F.count_if(kept).alias("StagingRowCount_After"),
-        F.count_if(kept & (F.col("Supplier") == F.lit(REDACTED_SUPPLIER)))
-        .alias("RedactedSupplierRows"),
-        F.count_if(kept).alias("CleanRowCount"),
-        F.count_if(kept & F.col("DateOfPayment").isNull()).alias("InvalidDateCount"),
-        F.count_if(kept & F.col("Amount").isNull()).alias("InvalidAmountCount"))
     types = dict(flagged.dtypes)
-    natural = [ci_key(F.col(k)) if case_insensitive and types[k] == "string" else F.col(k)
-               for k in NATURAL_KEY]
-    groups = (flagged.where(kept).groupBy(*natural).agg(F.count(F.lit(1)).alias("n"))
-              .agg(F.count_if(F.col("n") > 1).alias("DuplicateGroups"),
-                   F.count(F.lit(1)).alias("RowCount_AfterDeDup")))
-    listed = rejects.agg(F.count(F.lit(1)).alias("InvalidSupplierCount"))
-    return _metrics(steps).unionByName(_metrics(listed)).unionByName(_metrics(groups))
+    natural = {k: ci_key(F.col(k)) if case_insensitive and types[k] == "string" else F.col(k)
+               for k in NATURAL_KEY}
+    groups = (flagged.groupBy(*[F.when(kept, c).alias(f"_{k}") for k, c in natural.items()],
+                              kept.alias("_kept"))
+              .agg(F.count(F.lit(1)).alias("_n"),
+                   F.count_if(kept & (F.col("Supplier") == F.lit(REDACTED_SUPPLIER))).alias("_redacted")))
+    listed = rejects.agg(F.count(F.lit(1))).scalar()
+
+    def rows(cond, value="_n"):
+        return F.coalesce(F.sum(F.when(cond, F.col(value))), F.lit(0))
+    steps = groups.agg(
+        rows(F.lit(True)).alias("StagingRowCount"),
+        rows(F.col("_kept")).alias("StagingRowCount_After"),
+        rows(F.col("_kept"), "_redacted").alias("RedactedSupplierRows"),
+        rows(F.col("_kept")).alias("CleanRowCount"),
+        rows(F.col("_kept") & F.col("_DateOfPayment").isNull()).alias("InvalidDateCount"),
+        rows(F.col("_kept") & F.col("_Amount").isNull()).alias("InvalidAmountCount"),
+        F.count_if(F.col("_kept") & (F.col("_n") > 1)).alias("DuplicateGroups"),
+        F.count_if(F.col("_kept")).alias("RowCount_AfterDeDup"))
+    names = list(steps.columns)
+    names.insert(6, "InvalidSupplierCount")
+    return _metrics(steps.select("*", listed.alias("InvalidSupplierCount")).select(*names))
 
 
 def clean_vs_fact(clean: DataFrame, fact: DataFrame) -> DataFrame:

@@ -49,14 +49,17 @@ def mark_rejected(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
     Same match as :func:`reject_suppliers` (NULL never matches), as a left
     join against the distinct list keys, so a load can count the rejected
     rows in the same pass and filter them afterwards.  A NULL supplier gets a
-    key that no list holds, a NUL character and a number by the row's digest:
-    it matches nothing and, where the list is too long to broadcast, such rows
-    are dealt to all tasks.
+    key that no list holds, a NUL character and a number by a digest of the rest
+    of the row's natural key (of the whole row, where it has none of it): it
+    matches nothing and, where the list is too long to broadcast, such rows are
+    dealt to all tasks.  No other column is read for it, so a caller that only
+    counts moves none through the joins below.
     """
     r = (rejects.select(_match_key(F.col(name), case_insensitive).alias("_reject_key"))
                 .where(F.col("_reject_key").isNotNull() & ~F.col("_reject_key").startswith(NUL))
                 .distinct().withColumn(flag, F.lit(True)))
-    nowhere = F.concat(F.lit(NUL), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)).cast("string"))
+    spread = [c for c in NATURAL_KEY if c in df.columns and c != key] or df.columns
+    nowhere = F.concat(F.lit(NUL), F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD)).cast("string"))
     left = df.withColumn("_reject_key", _match_key(
         F.coalesce(F.col(key), nowhere), case_insensitive))
     return (left.join(r, "_reject_key", "left").drop("_reject_key")

@@ -220,12 +220,21 @@ def _case_insensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staging_sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """[sampled, found]: the rows of the staging sample, and those found in staging."""
+    """[sampled, found]: the rows of the staging sample, and those found in staging.
+
+    The sample (50 rows at most) goes to the staged rows, all of which are looked
+    up in it; the different ones among those that match come back.
+    """
     sample = _staging_sample(spark, sf_dir)
-    staged = spend_from_tpch(spark, sf_dir).select(*sample.columns).distinct()
+    staged = spend_from_tpch(spark, sf_dir).select(*sample.columns)
     sample = materialize(sample, "staging-sample")
-    same = [sample[c].eqNullSafe(staged[c]) for c in sample.columns]
-    found = sample.join(staged, same, "left_semi").agg(F.count(F.lit(1))).scalar()
+
+    def same(left: DataFrame, right: DataFrame) -> list:
+        return [left[c].eqNullSafe(right[c]) for c in sample.columns]
+    wanted = sample.distinct()
+    staged = staged.join(F.broadcast(wanted), same(staged, wanted), "left_semi").distinct()
+    found = (sample.join(F.broadcast(staged), same(sample, staged), "left_semi")
+             .agg(F.count(F.lit(1))).scalar())
     return sample.agg(F.count(F.lit(1)).alias("sampled")).select("sampled", found.alias("found"))
 
 

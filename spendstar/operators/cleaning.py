@@ -164,13 +164,15 @@ def dedup_counted(flagged: DataFrame, keys: Sequence[str] = NATURAL_KEY,
     group = [ci_key(F.col(k)) if case_insensitive and types[k] == "string" else F.col(k) for k in keys]
     named = [F.when(kept, g).alias(f"_k{i}") for i, g in enumerate(group)]
     where = [F.when(report, file).alias(SOURCE_FILE), F.when(report, corrupt).alias(RAW_LINE)] if lineage else []
-    first = rest + (list(keys) if case_insensitive else [])
+    # of the keys only text differs within a group, in its spelling
+    spelled = [k for k in keys if types[k] == "string"] if case_insensitive else []
+    first = rest + spelled
     out = rows.groupBy(part.alias(PART), *named, *where).agg(
         F.min(F.when(kept, F.struct(*first))).alias("_row"),
         F.count(F.lit(1)).alias(SOURCE_ROWS),
         F.count_if(kept & (F.col("Supplier") == F.lit(REDACTED_SUPPLIER))).alias(REDACTED_ROWS))
-    at = {c: F.col(f"_row.{c}") for c in first} | (
-        {} if case_insensitive else {k: F.col(f"_k{i}") for i, k in enumerate(keys)})
+    at = {c: F.col(f"_row.{c}") for c in first} | {
+        k: F.col(f"_k{i}") for i, k in enumerate(keys) if k not in spelled}
     places = [F.col(c) if lineage else F.lit(None).cast("string").alias(c) for c in (SOURCE_FILE, RAW_LINE)]
     return out.select(*[at[c].alias(c) for c in SPEND_COLUMNS], SOURCE_ROWS, REDACTED_ROWS, *places, PART)
 

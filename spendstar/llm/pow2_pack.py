@@ -27,7 +27,7 @@ from spendstar.llm.common import (buffers, doc_slices, lowered, shared_table, sp
 
 WINDOW = 2048
 END_ID = 1
-_KNOWN_RUNS, _AT_ONCE = 500_000, 2048
+_KNOWN_RUNS, _AT_ONCE, _JOINED = 500_000, 2048, 256
 #: Byte classes: letters (all bytes above ASCII count as such), digits, marks.
 _KIND = np.full(256, 3, dtype=np.uint8)
 _KIND[48:58] = 2
@@ -39,26 +39,30 @@ _WHOLE[:33] = _WHOLE[127] = _WHOLE[39] = _WHOLE[60] = True
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray):
-    """(starts, ends, first run of each text) of the runs that the tokenizer codes
-    one by one: runs of one kind within a word of ASCII and Latin-1 letters, else
-    the whole word.  It drops blanks and never joins across runs."""
+    """(starts, ends, first run of each text, parts) of the runs that the tokenizer
+    codes one by one: runs of one kind within a word of ASCII and Latin-1 letters,
+    else the whole word.  It drops blanks and never joins across runs.  It splits a
+    run into ``parts`` that it codes (each digit is one); 0 for a whole word, which
+    may hold any number."""
     starts, ends, at = word_spans(data, offsets)
     kind = _KIND[data]
     lead, high = data == 0xC3, data >= 0x80
     after = np.concatenate([[False], lead[:-1]]) & (data < 0xC0) & (data != 0x97) & (data != 0xB7)
     whole = _WHOLE[data] | (high & ~lead & ~after)
-    count = np.concatenate([[0], np.cumsum(whole)])
+    count = np.zeros(len(data) + 1, dtype=np.int32)
+    np.cumsum(whole, out=count[1:])
     odd = count[ends] > count[starts]
     inside = np.zeros(len(data) + 1, dtype=np.int8)
     inside[starts[~odd]] += 1
-    np.add.at(inside, ends[~odd], -1)
-    split = np.cumsum(inside[:-1]) > 0
+    inside[ends[~odd]] -= 1  # an end may be a start, two ends are never one
+    split = np.cumsum(inside[:-1], dtype=np.int8) > 0
     split[1:] &= kind[1:] != kind[:-1]
     split[starts] = True
     first = np.flatnonzero(split)
     word = np.searchsorted(starts, first, side="right") - 1
     last = np.minimum(np.append(first[1:], len(data)), ends[word]) if len(first) else first
-    return first, last, np.searchsorted(first, offsets)
+    parts = np.where(odd[word], 0, np.where(kind[first] == 2, last - first, 1))
+    return first, last, np.searchsorted(first, offsets), parts
 
 
 class _Ids:
@@ -68,6 +72,12 @@ class _Ids:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # the ids that end a part, where the vocabulary marks them
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(1 + max(vocabulary.values(), default=0), dtype=bool)
+        if suffix:
+            self.last[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self._empty()
 
     def _empty(self) -> None:
@@ -75,24 +85,39 @@ class _Ids:
         self.start = self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _learn(self, names: np.ndarray, runs: list[str]) -> None:
+    def _code(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts in turn, number of ids of each)."""
+        coded = [c.ids for a in range(0, len(texts), _AT_ONCE) for c in
+                 self.tokenizer.encode_batch_fast(texts[a:a + _AT_ONCE], add_special_tokens=False)]
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        return np.fromiter(itertools.chain.from_iterable(coded), np.uint32, int(size.sum())), size
+
+    def _code_joined(self, runs: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of runs of known ``parts``, many to a text: blanks keep them
+        apart, and the ids that end a part tell where each run ends."""
+        flat, _ = self._code([" ".join(runs[a:a + _JOINED]) for a in range(0, len(runs), _JOINED)])
+        ends, wanted = np.flatnonzero(self.last[np.minimum(flat, len(self.last) - 1)]), np.cumsum(parts)
+        if len(runs) and (len(ends) != wanted[-1] or ends[-1] != len(flat) - 1):
+            return self._code(runs)  # a tokenizer that marks no ends, or splits otherwise
+        return flat, np.diff(ends[wanted - 1] + 1, prepend=0)
+
+    def _learn(self, names: np.ndarray, runs: list[str], parts: np.ndarray) -> None:
         if len(self.names) + len(names) > max(_KNOWN_RUNS, len(names)):
             self._empty()
-        coded = [c.ids for a in range(0, len(runs), _AT_ONCE) for c in
-                 self.tokenizer.encode_batch_fast(runs[a:a + _AT_ONCE], add_special_tokens=False)]
-        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        plain, whole = np.flatnonzero(parts), np.flatnonzero(parts == 0)
+        flat, size = (np.concatenate(two) for two in zip(
+            self._code_joined([runs[i] for i in plain], parts[plain]), self._code([runs[i] for i in whole])))
         start = len(self.flat) + np.cumsum(size) - size
-        names = np.concatenate([self.names, names])
+        names = np.concatenate([self.names, names[plain], names[whole]])
         order = np.argsort(names)
         self.names = names[order]
         self.start = np.concatenate([self.start, start])[order]
         self.size = np.concatenate([self.size, size])[order]
-        self.flat = np.concatenate([self.flat, np.fromiter(
-            itertools.chain.from_iterable(coded), np.uint32, int(size.sum()))])
+        self.flat = np.concatenate([self.flat, flat])
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in turn, number of ids of each)."""
-        starts, ends, at = _runs(data, offsets)
+        starts, ends, at, parts = _runs(data, offsets)
         names, where, which = np.unique(span_hashes(lowered(data), starts, ends),
                                         return_index=True, return_inverse=True)
         for _ in range(2):  # twice where the memo was emptied
@@ -102,7 +127,7 @@ class _Ids:
             if not new.any():
                 break
             raw = data.tobytes()
-            self._learn(names[new], [raw[starts[i]:ends[i]].decode() for i in where[new]])
+            self._learn(names[new], [raw[starts[i]:ends[i]].decode() for i in where[new]], parts[where[new]])
         place = np.searchsorted(self.names, names)
         size = self.size[place][which] if len(names) else np.zeros(0, np.int64)
         to = np.concatenate([[0], np.cumsum(size)])

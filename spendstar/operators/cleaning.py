@@ -17,6 +17,7 @@ from spendstar.constants import (
 )
 from spendstar.functions.parsing import parse_amount, parse_day_first_date
 from spendstar.functions.text import ci_key, contains_any
+from spendstar.sources.tables import lookup
 
 
 def _match_key(c: Column, case_insensitive: bool) -> Column:
@@ -29,12 +30,12 @@ def reject_suppliers(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
     """Drop rows whose trimmed supplier is on the reject list.
 
     A left anti join: a NULL supplier never matches, so it stays.  The
-    planner broadcasts the list when its size statistics allow, otherwise
+    list is broadcast when its size statistics allow (``lookup``), otherwise
     both sides shuffle on the trimmed name (AQE splits a hot name).
     """
     r = rejects.select(_match_key(F.col(name), case_insensitive).alias("_reject_key"))
     left = df.withColumn("_reject_key", _match_key(F.col(key), case_insensitive))
-    return left.join(r, "_reject_key", "left_anti").drop("_reject_key")
+    return left.join(lookup(r), "_reject_key", "left_anti").drop("_reject_key")
 
 
 REJECTED_FLAG = "_rejected"
@@ -62,7 +63,7 @@ def mark_rejected(df: DataFrame, rejects: DataFrame, key: str = "Supplier",
     nowhere = F.concat(F.lit(NUL), F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD)).cast("string"))
     left = df.withColumn("_reject_key", _match_key(
         F.coalesce(F.col(key), nowhere), case_insensitive))
-    return (left.join(r, "_reject_key", "left").drop("_reject_key")
+    return (left.join(lookup(r), "_reject_key", "left").drop("_reject_key")
                 .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 

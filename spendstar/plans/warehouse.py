@@ -55,7 +55,7 @@ from spendstar.operators.fact import (
     with_fact_ids,
 )
 from spendstar.sources import versions
-from spendstar.sources.tables import materialize
+from spendstar.sources.tables import materialize, size_in_bytes
 
 AUDIT_TABLE = "LoadAudit"
 FILES_TABLE = "FactFiles"
@@ -147,11 +147,6 @@ def fact_files_wanted(size: int, partitions: int) -> int:
     return max(1, min(partitions, size // LEAST_FILE_BYTES), -(-size // MOST_FILE_BYTES))
 
 
-def _size_in_bytes(df: DataFrame) -> int:
-    """The planner's size of a stored table: the bytes of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def load_fact(clean: DataFrame, dims: dict[str, DataFrame], members: dict[str, DataFrame],
               path: str | None = None, files_path: str | None = None,
               case_insensitive: bool = False) -> tuple[DataFrame, DataFrame, dict[str, int | None]]:
@@ -164,7 +159,7 @@ def load_fact(clean: DataFrame, dims: dict[str, DataFrame], members: dict[str, D
     dates = members[DATE_DIMENSION[0]].select(DATE_DIMENSION[1], ROWS)
     lost, dated = member_losses(members)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = fact_files_wanted(_size_in_bytes(clean), partitions)
+    wanted = fact_files_wanted(size_in_bytes(clean), partitions)
     layout = date_layout(dates, max(1, -(-dated // wanted)))
     files = layout.agg(F.max(F.col("_first") + F.col("_files"))).first()[0] or 1
     stored = materialize(lay_out(star_join(clean, dims, case_insensitive), layout, files),

@@ -9,9 +9,28 @@ statistics (which is what lets the planner decide broadcasts on evidence).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spendstar.session import scratch_path
 
+# A lookup table of at most this size (the planner's: the bytes of its files) is
+# broadcast, also in a session with a lower threshold: the rows that look it up
+# are wide and many.
+LOOKUP_BYTES = 10 << 20
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """The planner's size of a frame; of a stored table, the bytes of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def lookup(df: DataFrame) -> DataFrame:
+    """``df`` as the small side of a join: marked for broadcast where it is known
+    to hold at most ``LOOKUP_BYTES``, else (or in a session with broadcasts
+    switched off) left to the planner."""
+    off = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    return df if off or size_in_bytes(df) > LOOKUP_BYTES else F.broadcast(df)
+
 
 def materialize(df: DataFrame, name: str, path: str | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendstar.constants import SPEND_COLUMNS
+from spendstar.sources.tables import lookup
 
 # --- fixed values: fault injection (modulus of l_orderkey -> effect) --------
 # Later entries win when two rules edit the same field.
@@ -58,7 +59,8 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its order, part, supplier, nation and region.
 
     Each lookup table is joined on its own, so the planner sizes it from its
-    own file statistics (broadcast when small, shuffle join when large).  The
+    own file statistics (broadcast when small, shuffle join when large; all
+    but the orders by ``lookup``, whatever the session's threshold).  The
     two that grow with lineitem come first, the orders before the parts: their
     shuffles carry lineitem's own narrow columns and the priority, and none of
     the names that the small tables add.
@@ -73,10 +75,10 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (li
             .join(orders, li.l_orderkey == orders.o_orderkey)
-            .join(part, li.l_partkey == part.p_partkey)
-            .join(supplier, li.l_suppkey == supplier.s_suppkey)
-            .join(nation, supplier.s_nationkey == nation.n_nationkey)
-            .join(region, nation.n_regionkey == region.r_regionkey))
+            .join(lookup(part), li.l_partkey == part.p_partkey)
+            .join(lookup(supplier), li.l_suppkey == supplier.s_suppkey)
+            .join(lookup(nation), supplier.s_nationkey == nation.n_nationkey)
+            .join(lookup(region), nation.n_regionkey == region.r_regionkey))
 
 
 def spend_from_tpch(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:

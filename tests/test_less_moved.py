@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendstar.operators.audit import stage_counters
 from spendstar.plans import catalog
+from spendstar.sources import tables
 from spendstar.sources.tpch_adapter import rejects_from_tpch, spend_from_tpch
 from test_reject_lists import _tables
 
@@ -37,7 +38,8 @@ def test_the_sample_is_sent_to_the_staged_rows(spark, tmp_path):
     at = str(tmp_path)
     _tables(spark, at)
     checked = catalog._staging_sample_check(spark, at)
-    assert _optimized(checked).count("strategy=broadcast") == 2
+    semi = [line for line in _optimized(checked).splitlines() if "Join LeftSemi" in line]
+    assert len(semi) == 2 and all("strategy=broadcast" in line for line in semi)
     assert [tuple(r) for r in checked.collect()] == [(44, 44)]
 
 
@@ -62,3 +64,24 @@ def test_upper_case_copies_join_staging_once(spark, tmp_path, monkeypatch):
     names = [(r.TransactionNumber, r.Supplier) for r in seen[0].collect()]
     assert len(names) == 44 + 4  # 5, 15, 25 and 35
     assert sorted(n for n in names if n[0] in ("5", "9")) == [("5", "S12"), ("5", "S12")]
+
+
+def test_small_lookups_are_broadcast_whatever_the_threshold(spark, tmp_path, monkeypatch):
+    at, name = str(tmp_path), "spark.sql.autoBroadcastJoinThreshold"
+    _tables(spark, at)
+    old = spark.conf.get(name)
+
+    def joins():
+        steps = catalog.steps_for(spark, at)
+        plan = steps.rejected._jdf.queryExecution().executedPlan().toString()
+        return plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")
+    try:
+        spark.conf.set(name, "1")
+        assert joins() == (5, 1)  # the orders are the planner's
+        spark.conf.set(name, "-1")
+        assert joins() == (0, 6)
+        spark.conf.set(name, "1")
+        monkeypatch.setattr(tables, "LOOKUP_BYTES", 0)
+        assert joins() == (0, 6)
+    finally:
+        spark.conf.set(name, old)
